@@ -105,14 +105,18 @@ def top_category_per_period(
     )
     if method == "window":
         w = Window.partitionBy(period_name)
-        ordered = w.orderBy(F.col(cnt).desc(), F.col(category_name).asc_nulls_first())
-        pick = F.row_number() if ties == "first" else F.rank()
+        if ties == "first":
+            pick = F.row_number().over(
+                w.orderBy(F.col(cnt).desc(), F.col(category_name).asc_nulls_first())
+            )
+        else:
+            pick = F.rank().over(w.orderBy(F.col(cnt).desc()))
         return (
             counts.select(
                 period_name,
                 category_name,
                 ratio(cnt, F.sum(cnt).over(w)).alias(share_name),
-                pick.over(ordered).alias("__rk"),
+                pick.alias("__rk"),
             )
             .filter(F.col("__rk") == 1)
             .drop("__rk")

@@ -2,10 +2,17 @@
 
 from qalens.sources.csv import CSV_OPTIONS, read_csv
 from qalens.sources.sinks import write_csv, write_parquet
-from qalens.sources.tables import convert_to_parquet, load_table, load_tables, text_schema
+from qalens.sources.tables import (
+    apply_schema,
+    convert_to_parquet,
+    load_table,
+    load_tables,
+    text_schema,
+)
 
 __all__ = [
     "CSV_OPTIONS",
+    "apply_schema",
     "convert_to_parquet",
     "load_table",
     "load_tables",

@@ -27,7 +27,7 @@ def text_schema(table: str) -> StructType:
     )
 
 
-def _typed(df: DataFrame, table: str) -> DataFrame:
+def apply_schema(df: DataFrame, table: str) -> DataFrame:
     """Keep the known columns, by name, with their declared types; time text
     that matches no accepted layout becomes NULL."""
     cols = []
@@ -58,7 +58,7 @@ def load_table(spark: SparkSession, directory: str, table: str, fmt: str = "csv.
         raw = spark.read.parquet(path)
     else:
         raw = read_csv(spark, path, text_schema(table), by_header=True)
-    return _typed(raw, table)
+    return apply_schema(raw, table)
 
 
 def load_tables(
