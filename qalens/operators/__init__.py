@@ -4,6 +4,7 @@ from qalens.operators.aggregate import count_by_key, count_by_period, sum_by_key
 from qalens.operators.category import (
     period_category_counts,
     share_of_period,
+    top_category_from_counts,
     top_category_per_period,
 )
 from qalens.operators.compare import rows_only_in, schema_diff, table_diff, union_tagged
@@ -29,6 +30,7 @@ __all__ = [
     "table_diff",
     "top_by_period_counts",
     "top_by_rollup",
+    "top_category_from_counts",
     "top_category_per_period",
     "top_k",
     "union_tagged",

@@ -96,13 +96,31 @@ def top_category_per_period(
     on (period, count) -- the self-join of the SQL text, on pre-aggregated rows.
     ``method='window'`` ranks inside ``Window.partitionBy(period)``.
     """
-    if ties not in ("first", "all"):
-        raise ValueError("ties must be 'first' or 'all'")
     cnt = "__count"
     counts = period_category_counts(
         df, ts, category, grain,
         period_name=period_name, category_name=category_name, count_name=cnt,
     )
+    return top_category_from_counts(
+        counts, period_name=period_name, category_name=category_name, count_name=cnt,
+        share_name=share_name, ties=ties, method=method,
+    )
+
+
+def top_category_from_counts(
+    counts: DataFrame,
+    *,
+    period_name: str = "Year",
+    category_name: str = "Name",
+    count_name: str = "Count",
+    share_name: str = "MaxPercentage",
+    ties: str = "first",
+    method: str = "aggregate",
+) -> DataFrame:
+    """:func:`top_category_per_period` on rows already counted per (period, category)."""
+    if ties not in ("first", "all"):
+        raise ValueError("ties must be 'first' or 'all'")
+    cnt = count_name
     if method == "window":
         w = Window.partitionBy(period_name)
         if ties == "first":

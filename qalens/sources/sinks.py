@@ -32,11 +32,25 @@ def write_csv(
     *,
     mode: str = "overwrite",
     compression: str = "gzip",
+    files: int | str | None = "auto",
 ) -> None:
     """Write CSV in the dialect :func:`qalens.sources.csv.read_csv` reads back
     unchanged: header, quoted fields, microsecond timestamps (the default
-    writer keeps only milliseconds) and untrimmed whitespace."""
+    writer keeps only milliseconds) and untrimmed whitespace.
+
+    A gzip file can only be read by one task, so the file count decides how
+    parallel every later read is. ``files='auto'`` spreads the rows over the
+    cluster's default parallelism when the input has fewer partitions than
+    that (and leaves a wider input as it is); an int forces that many files;
+    ``None`` keeps the input partitioning.
+    """
+    out = df
+    if files == "auto":
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            out = df.repartition(target)
+    elif files:
+        out = df.repartition(int(files))
     opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("mode", "multiLine")}
     opts["compression"] = compression
-    opts["quoteAll"] = "false"
-    df.write.mode(mode).options(**opts).csv(path)
+    out.write.mode(mode).options(**opts).csv(path)
