@@ -35,6 +35,7 @@ from qalens.plans.sql import run_sql
 from qalens.session import shared_dir
 from qalens.sources.csv import read_csv
 from qalens.sources.sinks import write_csv, write_parquet
+from qalens.sources.supplied import read_supplied
 
 # Fixed values of the stand-in workloads.
 FINISHED = "F"
@@ -54,7 +55,7 @@ SITE_TS_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
 
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    return read_supplied(spark, data_dir, name)
 
 
 def cents(c: str) -> F.Column:
@@ -299,7 +300,7 @@ def parquet_roundtrip(spark, d):
     src = table(spark, d, "events")
     path = shared_dir(spark, "parquet-events")
     write_parquet(src, path)
-    return spark.read.parquet(path)
+    return spark.read.schema(src.schema).parquet(path)
 
 
 WORKLOADS: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -2,6 +2,7 @@
 
 from qalens.sources.csv import CSV_OPTIONS, read_csv
 from qalens.sources.sinks import write_csv, write_parquet
+from qalens.sources.supplied import SUPPLIED_SCHEMAS, read_supplied
 from qalens.sources.tables import (
     apply_schema,
     convert_to_parquet,
@@ -12,11 +13,13 @@ from qalens.sources.tables import (
 
 __all__ = [
     "CSV_OPTIONS",
+    "SUPPLIED_SCHEMAS",
     "apply_schema",
     "convert_to_parquet",
     "load_table",
     "load_tables",
     "read_csv",
+    "read_supplied",
     "text_schema",
     "write_csv",
     "write_parquet",
