@@ -13,14 +13,10 @@ GRAINS = {
 }
 
 # Timestamp text layouts found in the site's CSV exports
-# ('2019-03-01T08:00:00.000'), plus the same without fraction or without 'T'.
-SOURCE_TIMESTAMP_FORMATS = (
-    "yyyy-MM-dd'T'HH:mm:ss.SSS",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss.SSS",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd",
-)
+# ('2019-03-01T08:00:00.000'), also without the fraction, with a space for the
+# 'T', or as a bare date. One pattern with optional sections, so a bad value
+# is rejected after a single parse attempt.
+SOURCE_TIMESTAMP_FORMATS = ("yyyy-MM-dd[['T'HH:mm:ss[.SSS]][ HH:mm:ss[.SSS]]]",)
 
 
 def _col(c: str | Column) -> Column:
