@@ -1,5 +1,6 @@
 """Reusable DataFrame operators (DataFrame in, DataFrame out)."""
 
+from qalens.operators.attach import attach_columns
 from qalens.operators.aggregate import count_by_key, count_by_period, sum_by_key
 from qalens.operators.category import (
     period_category_counts,
@@ -14,6 +15,7 @@ from qalens.operators.rollup import rollup_children, top_by_rollup
 from qalens.operators.topk import top_k
 
 __all__ = [
+    "attach_columns",
     "count_by_key",
     "count_by_period",
     "full_outer_merge",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qalens.operators._util import as_col
+from qalens.operators.attach import attach_columns
 from qalens.operators.topk import top_k
 
 
@@ -54,21 +55,25 @@ def top_by_period_counts(
     ``min_lead`` in the ``lead`` column, rank by ``lead`` then ``total`` (both
     descending) then ``count_key``, keep ``k``.
 
-    Output: ``entity_cols``, then every column of ``counts``. The ``lead`` filter
-    sits on the aggregate side and the ``entity_filter`` on the entity scan, so
-    both run before the join.
+    Output, ordered: ``entity_cols``, then every column of ``counts``;
+    ``entity_key`` must be unique. Plan: the ``lead`` filter runs on the counts
+    and the ``entity_filter`` on the entity scan; the counts are matched to the
+    entity keys by a key-only semi-join and ranked; the ``entity_cols`` (e.g. a
+    title) are fetched for the k winners only, through a broadcast of k rows.
     """
     ents = entities.filter(entity_filter) if entity_filter is not None else entities
-    ents = ents.select(F.col(entity_key).alias("__ekey"), *entity_cols)
+    keys = ents.select(F.col(entity_key).alias("__ekey"))
     cnts = counts.filter(F.col(lead) > F.lit(min_lead))
-    joined = ents.join(cnts, F.col("__ekey") == cnts[count_key], "inner")
-    out_cols = [c for c in ents.columns if c != "__ekey"] + counts.columns
-    joined = joined.select(*out_cols)
+    known = cnts.join(keys, cnts[count_key] == keys["__ekey"], "left_semi")
+    order = [F.col(lead).desc_nulls_last(), F.col(total).desc_nulls_last(), F.col(count_key).asc()]
     if ties == "keep":
-        return top_k(joined, lead, k, ties="keep")
-    return joined.orderBy(
-        F.col(lead).desc_nulls_last(), F.col(total).desc_nulls_last(), F.col(count_key).asc()
-    ).limit(k)
+        top = top_k(known, lead, k, ties="keep")
+    else:
+        top = known.orderBy(*order).limit(k)
+    names = ents.select(*entity_cols).columns
+    full = attach_columns(top, count_key, ents, entity_key, entity_cols, bounded=ties != "keep")
+    out = full.select(*names, *counts.columns).orderBy(*order)
+    return out if ties == "keep" else out.limit(k)
 
 
 def full_outer_merge(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qalens.operators._util import as_col
+from qalens.operators.attach import attach_columns
 from qalens.operators.topk import top_k
 
 
@@ -15,6 +16,11 @@ def _key_match(left: Column, right: Column, null_safe: bool) -> Column:
     return left.eqNullSafe(right) if null_safe else left == right
 
 
+def _final_order(df: DataFrame, measure: str, key: str, k: int, ties: str) -> DataFrame:
+    ordered = df.orderBy(F.col(measure).desc_nulls_last(), F.col(key).asc())
+    return ordered.limit(k) if ties == "cut" else ordered
+
+
 def top_by_rollup(
     dim: DataFrame,
     fact: DataFrame,
@@ -32,21 +38,31 @@ def top_by_rollup(
     """Sum ``measure`` over the (filtered) fact rows of each key, attach the
     dimension columns, keep the top ``k`` by the sum (ties broken by ``dim_key``).
 
-    The sum is computed per ``fact_key`` *before* the join, so the join sees one
-    row per key rather than one per fact row; this needs ``dim_key`` unique.
-    Output: ``dim_key``, ``dim_cols``, ``measure_name``. A key whose values are
-    all NULL gets a NULL sum, which ranks last. Inner join: fact rows with a
-    NULL or unknown key are dropped (``null_safe=True`` matches NULL to NULL).
+    Output, ordered: ``dim_key``, ``dim_cols``, ``measure_name``. A key whose
+    values are all NULL gets a NULL sum, which ranks last. Fact rows with a
+    NULL or unknown key are dropped (``null_safe=True`` matches NULL to NULL);
+    ``dim_key`` must be unique.
+
+    Plan: the sum is computed per key *before* any join (one row per key per
+    task crosses the shuffle); keys are checked against the dimension with a
+    key-only semi-join; the top-k is taken on (key, sum); only then are the
+    ``dim_cols`` fetched, for k rows, through a broadcast of those k rows.
     """
     facts = fact.filter(fact_filter) if fact_filter is not None else fact
     per_key = facts.groupBy(F.col(fact_key).alias("__key")).agg(
         F.sum(as_col(measure)).alias(measure_name)
     )
-    dims = dim.select(dim_key, *dim_cols)
-    joined = dims.join(
-        per_key, _key_match(dims[dim_key], per_key["__key"], null_safe), "inner"
-    ).select(dim_key, *dim_cols, measure_name)
-    return top_k(joined, measure_name, k, tiebreak=[dim_key], ties=ties)
+    keys = dim.select(F.col(dim_key).alias("__dkey"))
+    known = per_key.join(keys, _key_match(per_key["__key"], keys["__dkey"], null_safe), "left_semi")
+    top = top_k(known, measure_name, k, tiebreak=["__key"], ties=ties)
+    if null_safe:
+        d = dim.select(F.col(dim_key).alias("__dk"), *dim_cols)
+        side = F.broadcast(top) if ties == "cut" else top
+        full = side.join(d, F.col("__key").eqNullSafe(F.col("__dk")), "inner")
+    else:
+        full = attach_columns(top, "__key", dim, dim_key, dim_cols, bounded=ties == "cut")
+    out = full.select(F.col("__key").alias(dim_key), *dim_cols, measure_name)
+    return _final_order(out, measure_name, dim_key, k, ties)
 
 
 def rollup_children(
@@ -69,30 +85,32 @@ def rollup_children(
     """Sum child scores per parent, join the (filtered) parents and their owners,
     keep the top ``k`` parents by the sum, ties broken by ``parent_key``.
 
-    Output: ``parent_cols``, ``score_name``, ``owner_cols``. Plan: partial and
-    final aggregate of the child table (one row per parent leaves the shuffle),
-    then two equi-joins whose strategy AQE picks from measured sizes, then a
-    per-task top-k merge. Parents without an owner row, and children with a
-    NULL parent, drop out (inner joins).
+    Output, ordered: ``parent_cols``, ``score_name``, ``owner_cols``. Parents
+    without an owner row, and children with a NULL parent, drop out (inner
+    joins); ``parent_key`` and ``owner_key`` must be unique.
+
+    Plan: the child table is partially and finally aggregated to one row per
+    parent; that joins the parents' (key, owner) pairs only, and the owner check
+    is a key-only semi-join, so the shuffles carry keys and scores, never text.
+    The top-k runs per task and merges k rows; the parent and owner columns are
+    then fetched for those k rows through broadcasts of the k rows, so the
+    parent and owner tables are scanned (pruned) and probed but not shuffled.
     """
     scores = child.groupBy(F.col(child_parent_key).alias("__parent")).agg(
         F.sum(as_col(child_score)).alias(score_name)
     )
     parents = parent.filter(parent_filter) if parent_filter is not None else parent
-    parents = parents.select(
-        F.col(parent_key).alias("__pkey"),
-        F.col(parent_owner_key).alias("__powner"),
-        *parent_cols,
-    )
-    owners = owner.select(F.col(owner_key).alias("__okey"), *owner_cols)
-    joined = scores.join(parents, F.col("__parent") == F.col("__pkey"), "inner").join(
-        owners, F.col("__powner") == F.col("__okey"), "inner"
-    )
-    ranked = top_k(
-        joined.select("__pkey", *parent_cols, score_name, *owner_cols),
-        score_name,
-        k,
-        tiebreak=["__pkey"],
-        ties=ties,
+    links = parents.select(F.col(parent_key).alias("__pkey"), F.col(parent_owner_key).alias("__powner"))
+    owner_keys = owner.select(F.col(owner_key).alias("__okey"))
+    candidates = (
+        scores.join(links, F.col("__parent") == F.col("__pkey"), "inner")
+        .join(owner_keys, F.col("__powner") == F.col("__okey"), "left_semi")
+        .select("__pkey", "__powner", score_name)
     )
+    top = top_k(candidates, score_name, k, tiebreak=["__pkey"], ties=ties)
+    bounded = ties == "cut"
+    # top has at most k rows; a unique parent key keeps it at k after the parent join
+    with_parent = attach_columns(top, "__pkey", parents, parent_key, parent_cols, bounded=bounded)
+    full = attach_columns(with_parent, "__powner", owner, owner_key, owner_cols, bounded=bounded)
+    ranked = _final_order(full, score_name, "__pkey", k, ties)
     return ranked.select(*parent_cols, score_name, *owner_cols)

@@ -1,5 +1,8 @@
 """Plan checks: no Python in any plan, pruning, pushdown, shuffle counts."""
 
+import contextlib
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -57,7 +60,41 @@ def test_counts_shuffle_is_reused_for_totals(spark):
     assert "ReusedExchange" in plan_text(df)
 
 
-def test_top_k_cut_plans_as_take_ordered(spark):
-    df = entry.queries()["child_score"](spark, SF_SMALL)
-    assert count_nodes(df, "TakeOrderedAndProject") == 1
-    assert count_nodes(df, "Sort") == 0
+@contextlib.contextmanager
+def no_auto_broadcast(spark):
+    """Plan as if every table were too large to broadcast."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def _shuffled_columns(df):
+    text = plan_text(df)
+    return re.findall(r"\(\d+\) Exchange\s*\nInput \[\d+\]: \[(.*?)\]", text)
+
+
+@pytest.mark.parametrize(
+    "key, text_cols",
+    [
+        ("child_score", ["o_orderpriority", "o_totalprice", "c_name", "c_mktsegment"]),
+        ("period_pivot", ["p_name"]),
+        ("top_owner", ["c_name"]),
+    ],
+)
+def test_top_k_shuffles_keys_only_and_fetches_text_for_k_rows(spark, key, text_cols):
+    with no_auto_broadcast(spark):
+        df = entry.queries()[key](spark, SF_SMALL)
+        shuffled = _shuffled_columns(df)
+        assert shuffled, "expected shuffles when broadcasts are off"
+        for inputs in shuffled:
+            for c in text_cols:
+                assert c not in inputs, (c, inputs)
+        # the only broadcasts are the explicit ones of k rows
+        assert count_nodes(df, "BroadcastExchange") == (2 if key == "child_score" else 1)
+        assert len(df.collect()) == (20 if key == "period_pivot" else 10)
