@@ -43,26 +43,21 @@ def top_by_rollup(
     NULL or unknown key are dropped (``null_safe=True`` matches NULL to NULL);
     ``dim_key`` must be unique.
 
-    Plan: the sum is computed per key *before* any join (one row per key per
-    task crosses the shuffle); keys are checked against the dimension with a
-    key-only semi-join; the top-k is taken on (key, sum); only then are the
-    ``dim_cols`` fetched, for k rows, through a broadcast of those k rows.
+    Plan: the sum is computed per key *before* the join, so the join sees one
+    row per key (the aggregate's output is already partitioned by key and is
+    not shuffled again); the top-k runs per task and merges k rows. The
+    dimension contributes only ``dim_key`` and ``dim_cols`` (pruned scan).
     """
     facts = fact.filter(fact_filter) if fact_filter is not None else fact
     per_key = facts.groupBy(F.col(fact_key).alias("__key")).agg(
         F.sum(as_col(measure)).alias(measure_name)
     )
-    keys = dim.select(F.col(dim_key).alias("__dkey"))
-    known = per_key.join(keys, _key_match(per_key["__key"], keys["__dkey"], null_safe), "left_semi")
-    top = top_k(known, measure_name, k, tiebreak=["__key"], ties=ties)
-    if null_safe:
-        d = dim.select(F.col(dim_key).alias("__dk"), *dim_cols)
-        side = F.broadcast(top) if ties == "cut" else top
-        full = side.join(d, F.col("__key").eqNullSafe(F.col("__dk")), "inner")
-    else:
-        full = attach_columns(top, "__key", dim, dim_key, dim_cols, bounded=ties == "cut")
-    out = full.select(F.col("__key").alias(dim_key), *dim_cols, measure_name)
-    return _final_order(out, measure_name, dim_key, k, ties)
+    dims = dim.select(F.col(dim_key).alias("__dkey"), *dim_cols)
+    joined = per_key.join(
+        dims, _key_match(per_key["__key"], dims["__dkey"], null_safe), "inner"
+    ).select(F.col("__dkey").alias(dim_key), *dim_cols, measure_name)
+    ranked = top_k(joined, measure_name, k, tiebreak=[dim_key], ties=ties)
+    return ranked if ties == "cut" else _final_order(ranked, measure_name, dim_key, k, ties)
 
 
 def rollup_children(

@@ -84,7 +84,6 @@ def _shuffled_columns(df):
     [
         ("child_score", ["o_orderpriority", "o_totalprice", "c_name", "c_mktsegment"]),
         ("period_pivot", ["p_name"]),
-        ("top_owner", ["c_name"]),
     ],
 )
 def test_top_k_shuffles_keys_only_and_fetches_text_for_k_rows(spark, key, text_cols):
