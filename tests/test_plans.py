@@ -97,3 +97,16 @@ def test_top_k_shuffles_keys_only_and_fetches_text_for_k_rows(spark, key, text_c
         # the only broadcasts are the explicit ones of k rows
         assert count_nodes(df, "BroadcastExchange") == (2 if key == "child_score" else 1)
         assert len(df.collect()) == (20 if key == "period_pivot" else 10)
+
+
+@pytest.mark.parametrize("grain, hinted", [("yyyy", True), ("yyyy-MM", True), ("yyyy-MM-dd", False)])
+def test_period_totals_broadcast_only_with_a_proven_bound(spark, grain, hinted):
+    from qalens.operators import share_of_period, top_category_per_period
+
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    for df in (
+        share_of_period(o, "o_orderdate", "o_orderpriority", grain),
+        top_category_per_period(o, "o_orderdate", "o_orderpriority", grain, ties="all"),
+    ):
+        logical = plan_text(df, mode="extended").split("== Physical Plan ==")[0]
+        assert ("strategy=broadcast" in logical) == hinted, logical
