@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Calendar grains accepted by the period operators (Spark datetime patterns).
@@ -14,27 +14,68 @@ GRAINS = {
 
 # Timestamp text layouts found in the site's CSV exports
 # ('2019-03-01T08:00:00.000'), also without the fraction, with a space for the
-# 'T', or as a bare date. One pattern with optional sections, so a bad value
-# is rejected after a single parse attempt.
+# 'T', or as a bare date.
 SOURCE_TIMESTAMP_FORMATS = ("yyyy-MM-dd[['T'HH:mm:ss[.SSS]][ HH:mm:ss[.SSS]]]",)
+SOURCE_TIMESTAMP_REGEX = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}:[0-5][0-9](\.[0-9]{3})?)?$"
 
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _field(text: Column, pos: int, length: int, default: int | None = None) -> Column:
+    part = F.substring(text, pos, length).try_cast("int")
+    return part if default is None else F.coalesce(part, F.lit(default))
+
+
+_UTC_ZONES = {"UTC", "GMT", "Z", "ETC/UTC", "ETC/GMT", "+00:00", "UCT", "UNIVERSAL", "ZULU"}
+
+
+def _session_zone_is_utc() -> bool:
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return False
+    return spark.conf.get("spark.sql.session.timeZone", "").upper() in _UTC_ZONES
+
+
+def _parse_with_patterns(text: Column, formats) -> Column:
+    attempts = [F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats]
+    parsed = attempts[0] if len(attempts) == 1 else F.coalesce(*attempts)
+    return parsed.cast("timestamp_ntz")
+
+
+def _parse_by_fields(text: Column) -> Column:
+    seconds = F.coalesce(
+        F.substring(text, 18, 6).try_cast("decimal(9,3)"), F.lit(0).cast("decimal(9,3)")
+    )
+    built = F.try_make_timestamp_ntz(
+        _field(text, 1, 4), _field(text, 6, 2), _field(text, 9, 2),
+        _field(text, 12, 2, 0), _field(text, 15, 2, 0), seconds,
+    )
+    return F.when(text.rlike(SOURCE_TIMESTAMP_REGEX), built)
+
+
 def parse_timestamp(
-    c: str | Column, formats: tuple[str, ...] | list[str] = SOURCE_TIMESTAMP_FORMATS
+    c: str | Column, formats: tuple[str, ...] | list[str] | None = None
 ) -> Column:
-    """Text to ``timestamp_ntz``; text matching none of ``formats`` becomes NULL.
+    """Text to ``timestamp_ntz``; anything else becomes NULL, never an error.
 
-    Uses fixed patterns rather than a cast so that partial text such as
-    '2011' is rejected instead of read as 2011-01-01.
+    Default: the site layouts (:data:`SOURCE_TIMESTAMP_FORMATS`) as wall-clock
+    time. Impossible dates (2019-02-29, month 13) and partial text such as
+    '2011' are NULL (a plain cast would read '2011' as 2011-01-01). In a UTC
+    session the pattern parser is used directly; in any other session zone the
+    fields are read one by one into ``try_make_timestamp_ntz``, so a time that
+    falls into a daylight-saving gap of that zone is kept as written.
+
+    ``formats``: Spark datetime patterns tried in order; these parse in the
+    session time zone and are then taken as wall-clock time.
     """
-    col = _col(c)
-    attempts = [F.try_to_timestamp(col, F.lit(fmt)) for fmt in formats]
-    parsed = attempts[0] if len(attempts) == 1 else F.coalesce(*attempts)
-    return parsed.cast("timestamp_ntz")
+    text = _col(c)
+    if formats:
+        return _parse_with_patterns(text, formats)
+    if _session_zone_is_utc():
+        return _parse_with_patterns(text, SOURCE_TIMESTAMP_FORMATS)
+    return _parse_by_fields(text)
 
 
 def period_label(c: str | Column, grain: str = "yyyy") -> Column:

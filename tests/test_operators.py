@@ -139,3 +139,28 @@ def test_full_outer_merge_fills_measures_only(spark):
     r = spark.createDataFrame([(2, 7), (3, 2)], "k long, b long")
     got = sorted(map(tuple, full_outer_merge(l, r, "k", total_name="t").collect()))
     assert got == [(1, 5, 0, 5), (2, 1, 7, 8), (3, 0, 2, 2)]
+
+
+def test_parse_is_independent_of_session_time_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2019-03-10T02:30:00.000",), ("2019-11-03 01:30:00",)], "s string")
+        got = [str(r.t) for r in df.select(parse_timestamp("s").alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == ["2019-03-10 02:30:00", "2019-11-03 01:30:00"]
+
+
+def test_both_parse_paths_agree(spark):
+    from qalens.functions.dates import SOURCE_TIMESTAMP_FORMATS, _parse_by_fields, _parse_with_patterns
+
+    vals = ["2019-03-01T08:00:00.000", "2019-03-01T08:00:00", "2019-03-01 08:00:00.123",
+            "2019-03-01", "2011", "not a date", "", None, "2019-03-01T08:00", "2019-13-01",
+            "2019-03-01T08:00:00.1234", "2019-02-29", "2020-02-29T23:59:59.999",
+            "2019-03-01T24:00:00", "2019-03-01T08:60:00", "2019-03-01T08:00:60", " 2019-03-01"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    s = F.col("s")
+    rows = df.select(_parse_by_fields(s).alias("a"), _parse_with_patterns(s, SOURCE_TIMESTAMP_FORMATS).alias("b")).collect()
+    assert all(r.a == r.b for r in rows), rows
+    assert sum(r.a is not None for r in rows) == 5
