@@ -43,7 +43,10 @@ def get_session(
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # no driver-side context (Spark Connect)
+        pass
     return spark
 
 
@@ -53,14 +56,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only when the session has none (local runs, tests) is a fresh local one
     created and registered, so ``DataFrame.checkpoint()`` works too.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a driver-side context (Spark Connect)
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="qalens-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 

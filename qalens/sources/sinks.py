@@ -46,9 +46,12 @@ def write_csv(
     """
     out = df
     if files == "auto":
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            out = df.repartition(target)
+        try:
+            target = df.sparkSession.sparkContext.defaultParallelism
+            if df.rdd.getNumPartitions() < target:
+                out = df.repartition(target)
+        except Exception:  # no RDD view of the plan (Spark Connect): keep the layout
+            out = df
     elif files:
         out = df.repartition(int(files))
     opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("mode", "multiLine")}
