@@ -7,6 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Largest top-k whose rows are broadcast by plan. A few descriptive columns of
+# this many rows stay far below the default 10 MB broadcast threshold; beyond
+# it the attaching join is left to AQE's measured choice.
+BROADCAST_MAX_ROWS = 10_000
+
+
+def broadcastable_top(k: int, ties: str) -> bool:
+    """True when a top-k result is bounded (cut ties) and small enough to broadcast."""
+    return ties == "cut" and k <= BROADCAST_MAX_ROWS
+
 
 def attach_columns(
     rows: DataFrame,

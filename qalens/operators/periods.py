@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qalens.operators._util import as_col
-from qalens.operators.attach import attach_columns
+from qalens.operators.attach import attach_columns, broadcastable_top
 from qalens.operators.topk import top_k
 
 
@@ -71,7 +71,9 @@ def top_by_period_counts(
     else:
         top = known.orderBy(*order).limit(k)
     names = ents.select(*entity_cols).columns
-    full = attach_columns(top, count_key, ents, entity_key, entity_cols, bounded=ties != "keep")
+    full = attach_columns(
+        top, count_key, ents, entity_key, entity_cols, bounded=broadcastable_top(k, ties)
+    )
     out = full.select(*names, *counts.columns).orderBy(*order)
     return out if ties == "keep" else out.limit(k)
 

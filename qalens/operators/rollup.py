@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qalens.operators._util import as_col
-from qalens.operators.attach import attach_columns
+from qalens.operators.attach import attach_columns, broadcastable_top
 from qalens.operators.topk import top_k
 
 
@@ -103,7 +103,7 @@ def rollup_children(
         .select("__pkey", "__powner", score_name)
     )
     top = top_k(candidates, score_name, k, tiebreak=["__pkey"], ties=ties)
-    bounded = ties == "cut"
+    bounded = broadcastable_top(k, ties)
     # top has at most k rows; a unique parent key keeps it at k after the parent join
     with_parent = attach_columns(top, "__pkey", parents, parent_key, parent_cols, bounded=bounded)
     full = attach_columns(with_parent, "__powner", owner, owner_key, owner_cols, bounded=bounded)

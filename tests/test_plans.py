@@ -110,3 +110,15 @@ def test_period_totals_broadcast_only_with_a_proven_bound(spark, grain, hinted):
     ):
         logical = plan_text(df, mode="extended").split("== Physical Plan ==")[0]
         assert ("strategy=broadcast" in logical) == hinted, logical
+
+
+@pytest.mark.parametrize("k, hinted", [(10, True), (20_000, False)])
+def test_top_k_rows_are_broadcast_only_when_k_is_small(spark, k, hinted):
+    from qalens.plans import analyses as A
+    from site_fixture import site_tables
+
+    t = site_tables(spark)
+    df = A.top_questions_by_comment_score(t["Comments"], t["Posts"], t["Users"], k=k)
+    logical = plan_text(df, mode="extended").split("== Physical Plan ==")[0]
+    assert ("strategy=broadcast" in logical) == hinted
+    assert len(df.collect()) == 3
