@@ -176,3 +176,5 @@ ORACLE_SQL: dict[str, str] = {
     "csv_roundtrip_events": "SELECT * FROM events",
     "parquet_roundtrip": "SELECT * FROM events",
 }
+ORACLE_SQL["stream_year_count"] = ORACLE_SQL["year_count"]
+ORACLE_SQL["stream_argmax_one"] = ORACLE_SQL["argmax_one"]

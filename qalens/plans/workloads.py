@@ -35,7 +35,13 @@ from qalens.plans.sql import run_sql
 from qalens.session import shared_dir
 from qalens.sources.csv import read_csv
 from qalens.sources.sinks import write_csv, write_parquet
-from qalens.sources.supplied import read_supplied
+from qalens.sources.supplied import SUPPLIED_SCHEMAS, read_supplied
+from qalens.streaming import (
+    read_stream,
+    run_to_completion,
+    start_count_by_period,
+    start_top_category_per_period,
+)
 
 # Fixed values of the stand-in workloads.
 FINISHED = "F"
@@ -303,6 +309,27 @@ def parquet_roundtrip(spark, d):
     return spark.read.schema(src.schema).parquet(path)
 
 
+# --- streaming: the same counts kept current over arriving files ----------
+
+def _orders_stream(spark, d):
+    # a file stream source reads folders or globs; this glob matches one file
+    return read_stream(spark, f"{d.rstrip('/')}/orders.parque[t]", SUPPLIED_SCHEMAS["orders"])
+
+
+def stream_year_count(spark, d):
+    out = shared_dir(spark, "stream-year-count")
+    run_to_completion(start_count_by_period(_orders_stream(spark, d), "o_orderdate", out))
+    return spark.read.schema("Year STRING, TotalNumber BIGINT").parquet(out)
+
+
+def stream_argmax_one(spark, d):
+    out = shared_dir(spark, "stream-argmax-one")
+    run_to_completion(
+        start_top_category_per_period(_orders_stream(spark, d), "o_orderdate", "o_orderpriority", out)
+    )
+    return spark.read.schema("Year STRING, Name STRING, MaxPercentage DOUBLE").parquet(out)
+
+
 WORKLOADS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "year_count": year_count,
     "sql_year_count": sql_year_count,
@@ -328,4 +355,6 @@ WORKLOADS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_roundtrip": csv_roundtrip,
     "csv_roundtrip_events": csv_roundtrip_events,
     "parquet_roundtrip": parquet_roundtrip,
+    "stream_year_count": stream_year_count,
+    "stream_argmax_one": stream_argmax_one,
 }

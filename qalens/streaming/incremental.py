@@ -25,14 +25,15 @@ from qalens.session import shared_dir
 def read_stream(
     spark: SparkSession,
     path: str,
-    schema: StructType,
+    schema: StructType | str,
     *,
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """A streaming DataFrame over the files appearing under ``path`` (a folder or
-    glob). The schema is explicit: file sources do not infer it."""
+    a glob; a single file is named by a glob matching only it). The schema
+    (``StructType`` or DDL text) is explicit: file sources do not infer it."""
     reader = spark.readStream.schema(schema).format(fmt).options(**(options or {}))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -120,3 +121,11 @@ def start_top_category_per_period(
         )
 
     return start_counts(filtered, keys, sink_path, derive=derive, **kwargs)
+
+
+def run_to_completion(query: StreamingQuery) -> None:
+    """Wait for an ``available_now`` query to finish; raise its error if it failed."""
+    query.awaitTermination()
+    error = query.exception()
+    if error is not None:
+        raise error
