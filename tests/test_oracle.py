@@ -57,5 +57,6 @@ def test_join_counts_mid(spark):
 
 def test_entry_runs(spark):
     df = entry.entry(spark)
-    assert df.columns[:2] == ["Title", "PostId"]
+    assert df.columns == ["Title", "Date", "PostId", "BeforeCOVIDVotes", "DuringCOVIDVotes",
+                          "AfterCOVIDVotes", "Votes"]
     assert df.count() >= 0
