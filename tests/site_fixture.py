@@ -1,7 +1,5 @@
 """Edge fixture: the five site tables with NULLs, empty text, bad dates and ties."""
 
-from pyspark.sql import functions as F
-
 from qalens.sources.tables import apply_schema, text_schema
 
 N = None

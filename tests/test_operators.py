@@ -3,7 +3,6 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from qalens.functions import label_by_value, not_blank, null_if, parse_timestamp, period_label

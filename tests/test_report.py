@@ -1,8 +1,5 @@
 """The end-to-end report: both forms of every analysis agree; the CLI runs."""
 
-import os
-import tempfile
-
 from pyspark.sql import functions as F
 
 from qalens.__main__ import main

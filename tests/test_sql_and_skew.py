@@ -5,7 +5,6 @@ import re
 from pyspark.sql import functions as F
 from pyspark.testing import assertDataFrameEqual
 
-from conftest import SF_SMALL
 from qalens.operators import rollup_children
 from qalens.plans import analyses as A
 from qalens.plans.inspect import plan_text
