@@ -60,7 +60,11 @@ def top_by_period_counts(
     and the ``entity_filter`` on the entity scan; the counts are matched to the
     entity keys by a key-only semi-join and ranked; the ``entity_cols`` (e.g. a
     title) are fetched for the k winners only, through a broadcast of k rows.
+    ``ties='keep'`` returns every entity whose ``rank()`` on ``lead`` alone is
+    at most ``k``.
     """
+    if ties not in ("cut", "keep"):
+        raise ValueError(f"ties must be 'cut' or 'keep', got {ties!r}")
     ents = entities.filter(entity_filter) if entity_filter is not None else entities
     keys = ents.select(F.col(entity_key).alias("__ekey"))
     cnts = counts.filter(F.col(lead) > F.lit(min_lead))

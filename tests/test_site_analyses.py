@@ -107,3 +107,18 @@ def test_question_filter_is_applied(site):
 def test_sql_text_equals_dataframe(spark, site, name, fn):
     via_sql = run_sql(spark, SITE_SQL[name], site)
     assert rows(via_sql) == rows(fn(site))
+
+
+def test_q5_keep_ties_and_bad_tie_rule(site):
+    from qalens.operators import top_by_period_counts
+
+    counts = A.covid_vote_counts(site["Votes"])
+    kw = dict(entity_key="Id", count_key="PostId", lead="DuringCOVIDVotes", total="Votes",
+              entity_cols=[F.col("Title")], k=1)
+    keep = top_by_period_counts(site["Posts"], counts, ties="keep", **kw).collect()
+    assert sorted(r.PostId for r in keep) == [1, 2]  # both have 2 during-votes: rank 1
+    kw["k"] = 3  # posts 3, 5 and 6 share rank 3 with 1 during-vote each
+    keep = top_by_period_counts(site["Posts"], counts, ties="keep", **kw).collect()
+    assert sorted(r.PostId for r in keep) == [1, 2, 3, 5, 6]
+    with pytest.raises(ValueError):
+        top_by_period_counts(site["Posts"], counts, ties="bogus", **kw)
