@@ -8,33 +8,38 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:
-    """Expose each table under its key as a temporary view (no data is copied)."""
+    """Expose each table under its key as a session temporary view (no data is
+    copied), for SQL written against plain table names."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
 
 
 def run_sql(spark: SparkSession, text: str, tables: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Run SQL text, after registering ``tables`` as views if given."""
+    """Run SQL text. With ``tables``, each ``{name}`` in the text is bound to
+    that DataFrame for this query only (no session-wide view is created, so
+    concurrent queries cannot see each other's tables); without, the text
+    refers to views already registered."""
     if tables:
-        register_views(tables)
+        return spark.sql(text, **tables)
     return spark.sql(text)
 
 
 # The five analyses as Spark SQL over the site tables, for users who keep their
-# queries as text. Time columns are typed at load, so no parsing appears here.
+# queries as text; ``{Posts}`` etc. are bound by :func:`run_sql` (or replace them
+# with view names). Time columns are typed at load, so no parsing appears here.
 # Q3 ranks on the count with a window instead of a bare column next to MAX()
 # (rejected by Spark); ties go to the smallest name.
 SITE_SQL = {
     "posts_per_year": """
         SELECT date_format(CreationDate, 'yyyy') AS Year, COUNT(*) AS TotalNumber
-        FROM Posts
+        FROM {Posts}
         GROUP BY date_format(CreationDate, 'yyyy')
     """,
     "top_question_owners": """
         SELECT u.Id, u.DisplayName, q.TotalViews
-        FROM Users u
+        FROM {Users} u
         JOIN (SELECT OwnerUserId, SUM(ViewCount) AS TotalViews
-              FROM Posts WHERE PostTypeId = 1 GROUP BY OwnerUserId) q
+              FROM {Posts} WHERE PostTypeId = 1 GROUP BY OwnerUserId) q
           ON u.Id = q.OwnerUserId
         ORDER BY q.TotalViews DESC NULLS LAST, u.Id
         LIMIT 10
@@ -45,23 +50,23 @@ SITE_SQL = {
                      SUM(Count) OVER (PARTITION BY Year) AS Total,
                      ROW_NUMBER() OVER (PARTITION BY Year ORDER BY Count DESC, Name ASC NULLS FIRST) AS rk
               FROM (SELECT date_format(Date, 'yyyy') AS Year, Name, COUNT(*) AS Count
-                    FROM Badges WHERE Date IS NOT NULL
+                    FROM {Badges} WHERE Date IS NOT NULL
                     GROUP BY date_format(Date, 'yyyy'), Name) c) r
         WHERE rk = 1
     """,
     "top_questions_by_comment_score": """
         SELECT p.Title, p.CommentCount, p.ViewCount, s.CommentsTotalScore,
                u.DisplayName, u.Reputation, u.Location
-        FROM (SELECT PostId, SUM(Score) AS CommentsTotalScore FROM Comments GROUP BY PostId) s
-        JOIN Posts p ON p.Id = s.PostId
-        JOIN Users u ON p.OwnerUserId = u.Id
+        FROM (SELECT PostId, SUM(Score) AS CommentsTotalScore FROM {Comments} GROUP BY PostId) s
+        JOIN {Posts} p ON p.Id = s.PostId
+        JOIN {Users} u ON p.OwnerUserId = u.Id
         WHERE p.PostTypeId = 1
         ORDER BY s.CommentsTotalScore DESC NULLS LAST, p.Id
         LIMIT 10
     """,
     "top_posts_by_covid_votes": """
         SELECT p.Title, date_format(p.CreationDate, 'yyyy-MM-dd') AS Date, v.*
-        FROM Posts p
+        FROM {Posts} p
         JOIN (SELECT PostId,
                      count_if(VoteDate = 'before') AS BeforeCOVIDVotes,
                      count_if(VoteDate = 'during') AS DuringCOVIDVotes,
@@ -74,7 +79,7 @@ SITE_SQL = {
                              WHEN '2020' THEN 'during'
                              WHEN '2019' THEN 'during'
                              ELSE 'before' END AS VoteDate
-                    FROM Votes WHERE VoteTypeId IN (3, 4, 12)) d
+                    FROM {Votes} WHERE VoteTypeId IN (3, 4, 12)) d
               GROUP BY PostId) v
           ON p.Id = v.PostId
         WHERE p.Title NOT IN ('') AND v.DuringCOVIDVotes > 0

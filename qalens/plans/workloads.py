@@ -79,7 +79,7 @@ def sql_year_count(spark, d):
     return run_sql(
         spark,
         "SELECT date_format(o_orderdate, 'yyyy') AS Year, COUNT(*) AS TotalNumber "
-        "FROM orders GROUP BY Year",
+        "FROM {orders} GROUP BY Year",
         {"orders": table(spark, d, "orders")},
     )
 

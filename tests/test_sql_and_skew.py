@@ -12,7 +12,7 @@ from qalens.plans.sql import run_sql
 
 
 def test_group_by_select_alias_is_case_insensitive(spark, site):
-    q = "SELECT date_format(CreationDate, 'yyyy') AS Year, COUNT(*) AS TotalNumber FROM Posts GROUP BY YEAR"
+    q = "SELECT date_format(CreationDate, 'yyyy') AS Year, COUNT(*) AS TotalNumber FROM {Posts} GROUP BY YEAR"
     got = run_sql(spark, q, site)
     assertDataFrameEqual(got, A.posts_per_year(site["Posts"]))
 
@@ -20,12 +20,12 @@ def test_group_by_select_alias_is_case_insensitive(spark, site):
 def test_source_column_wins_over_select_alias(spark):
     # D21: a source column named like the alias is what GROUP BY uses
     df = spark.createDataFrame([("2019-01", 1), ("2019-02", 2), ("2020-01", 3)], "Year string, v int")
-    got = run_sql(spark, "SELECT substr(Year, 1, 2) AS Year, COUNT(*) AS n FROM t GROUP BY Year", {"t": df})
+    got = run_sql(spark, "SELECT substr(Year, 1, 2) AS Year, COUNT(*) AS n FROM {t} GROUP BY Year", {"t": df})
     assert got.count() == 3  # grouped by the source column, not by the two-character alias
 
 
 def test_derived_table_without_alias(spark, site):
-    q = "SELECT COUNT(*) AS n FROM (SELECT Id FROM Posts WHERE PostTypeId = 1)"
+    q = "SELECT COUNT(*) AS n FROM (SELECT Id FROM {Posts} WHERE PostTypeId = 1)"
     assert run_sql(spark, q, site).collect()[0].n == 5
 
 
