@@ -1,7 +1,8 @@
 """Command line: convert a CSV dump once, then run (and cross-check) the analyses.
 
-    python -m qalens convert SRC_DIR DST_DIR [--files N]
-    python -m qalens run DATA_DIR [--format parquet|csv.gz|csv] [--out DIR] [--out-format parquet|csv] [--check]
+    python -m qalens convert SRC_DIR DST_DIR [--files N] [--null-value NA]
+    python -m qalens run DATA_DIR [--format parquet|csv.gz|csv] [--out DIR] [--out-format parquet|csv]
+                                  [--check] [--null-value NA]
 """
 
 from __future__ import annotations
@@ -20,25 +21,29 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("dst")
     c.add_argument("--files", type=int, default=None, help="Parquet files per table")
     c.add_argument("--format", default="csv.gz")
+    c.add_argument("--null-value", default=None, help="CSV null marker, e.g. NA for R exports")
     r = sub.add_parser("run", help="run the five analyses")
     r.add_argument("data")
     r.add_argument("--format", default="parquet")
     r.add_argument("--out", default=None, help="write each result here (default: print)")
     r.add_argument("--out-format", default="parquet")
     r.add_argument("--check", action="store_true", help="cross-check DataFrame and SQL forms")
+    r.add_argument("--null-value", default=None, help="CSV null marker, e.g. NA for R exports")
     args = p.parse_args(argv)
 
     spark = get_session()
     from qalens.plans.report import cross_check, run_analyses, write_analyses
     from qalens.sources import convert_to_parquet, load_tables
 
+    csv_options = {"nullValue": args.null_value} if args.null_value else None
     if args.cmd == "convert":
         for name, path in convert_to_parquet(
-            spark, args.src, args.dst, fmt=args.format, files_per_table=args.files
+            spark, args.src, args.dst, fmt=args.format, files_per_table=args.files,
+            csv_options=csv_options,
         ).items():
             print(f"{name}\t{path}")
         return 0
-    tables = load_tables(spark, args.data, args.format)
+    tables = load_tables(spark, args.data, args.format, csv_options=csv_options)
     if args.out:
         for name, path in write_analyses(tables, args.out, args.out_format).items():
             print(f"{name}\t{path}")

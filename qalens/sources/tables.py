@@ -49,15 +49,27 @@ def table_path(directory: str, table: str, fmt: str) -> str:
     return os.path.join(directory, f"{table}.{fmt}")
 
 
-def load_table(spark: SparkSession, directory: str, table: str, fmt: str = "csv.gz") -> DataFrame:
-    """One site table with its declared column types."""
+def load_table(
+    spark: SparkSession,
+    directory: str,
+    table: str,
+    fmt: str = "csv.gz",
+    *,
+    csv_options: dict[str, str] | None = None,
+) -> DataFrame:
+    """One site table with its declared column types.
+
+    ``csv_options`` adjust the CSV dialect, e.g. ``{"nullValue": "NA"}`` for
+    files written by R's ``write.csv`` (missing values as ``NA``, empty text as
+    ``""``); extra columns such as R's unnamed row-name column are ignored.
+    """
     if fmt not in FORMATS:
         raise ValueError(f"fmt must be one of {FORMATS}")
     path = table_path(directory, table, fmt)
     if fmt == "parquet":
         raw = spark.read.parquet(path)
     else:
-        raw = read_csv(spark, path, text_schema(table), by_header=True)
+        raw = read_csv(spark, path, text_schema(table), by_header=True, options=csv_options)
     return apply_schema(raw, table)
 
 
@@ -66,9 +78,11 @@ def load_tables(
     directory: str,
     fmt: str = "csv.gz",
     tables: Iterable[str] = tuple(TABLES),
+    *,
+    csv_options: dict[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """The named tables (default all five), lazily; nothing is read until a query runs."""
-    return {t: load_table(spark, directory, t, fmt) for t in tables}
+    return {t: load_table(spark, directory, t, fmt, csv_options=csv_options) for t in tables}
 
 
 def convert_to_parquet(
@@ -79,6 +93,7 @@ def convert_to_parquet(
     fmt: str = "csv.gz",
     tables: Iterable[str] = tuple(TABLES),
     files_per_table: int | None = None,
+    csv_options: dict[str, str] | None = None,
 ) -> dict[str, str]:
     """Convert the CSV exports once: parse and type them, spread each
     (unsplittable) gzip file over ``files_per_table`` Parquet files, and return
@@ -86,7 +101,7 @@ def convert_to_parquet(
     column pruning and filter pushdown."""
     out = {}
     for t in tables:
-        df = load_table(spark, src_dir, t, fmt)
+        df = load_table(spark, src_dir, t, fmt, csv_options=csv_options)
         path = table_path(dst_dir, t, "parquet")
         write_parquet(df, path, files=files_per_table)
         out[t] = path

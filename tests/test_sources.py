@@ -81,3 +81,20 @@ def test_csv_roundtrip_exact_for_text_and_microseconds(spark):
 
 def test_posts_fixture_has_bad_date():
     assert any(p[3] == "not a date" for p in POSTS)
+
+
+def test_r_style_csv_row_names_and_na(spark):
+    d = tempfile.mkdtemp(prefix="qalens-csv-")
+    _write_gz(
+        os.path.join(d, "Users.csv.gz"),
+        '"","Id","DisplayName","Reputation","Location"\n'
+        '"1",10,"ana",500,"Oslo"\n'
+        '"2",11,NA,20,""\n'
+        '"3",12,"NA",NA,NA\n',
+    )
+    u = load_table(spark, d, "Users", "csv.gz", csv_options={"nullValue": "NA"})
+    got = sorted(tuple(r) for r in u.collect())
+    # unquoted NA is missing; quoted "" stays empty text under this dialect
+    assert got[0] == (10, "ana", 500, "Oslo")
+    assert got[1] == (11, None, 20, "")
+    assert got[2][0] == 12 and got[2][2] is None and got[2][3] is None
