@@ -7,10 +7,12 @@ from qalens.functions.dates import (
     period_label,
 )
 from qalens.functions.labels import label_by_value, not_blank, null_if
+from qalens.functions.numbers import cents
 
 __all__ = [
     "GRAINS",
     "SOURCE_TIMESTAMP_FORMATS",
+    "cents",
     "label_by_value",
     "not_blank",
     "null_if",

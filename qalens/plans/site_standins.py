@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qalens.functions.numbers import cents
 from qalens.plans import analyses as A
 from qalens.plans.sql import SITE_SQL, run_sql
 from qalens.sources.supplied import read_supplied
@@ -22,15 +23,11 @@ OTHER_VOTE_TYPE = 2
 YEARS_FORWARD = 21
 
 
-def _cents(c: str):
-    return F.round(F.col(c) * 100).cast("bigint")
-
-
 def site_users(spark: SparkSession, d: str) -> DataFrame:
     return read_supplied(spark, d, "customer").select(
         F.col("c_custkey").alias("Id"),
         F.col("c_name").alias("DisplayName"),
-        _cents("c_acctbal").alias("Reputation"),
+        cents("c_acctbal").alias("Reputation"),
         F.col("c_mktsegment").alias("Location"),
     )
 
@@ -42,7 +39,7 @@ def site_posts_from_orders(spark: SparkSession, d: str) -> DataFrame:
         F.col("o_custkey").alias("OwnerUserId"),
         F.col("o_orderdate").alias("CreationDate"),
         F.col("o_orderpriority").alias("Title"),
-        _cents("o_totalprice").alias("ViewCount"),
+        cents("o_totalprice").alias("ViewCount"),
         F.year("o_orderdate").cast("bigint").alias("CommentCount"),
     )
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from qalens.functions.dates import parse_timestamp, period_label
 from qalens.functions.labels import label_by_value, not_blank, null_if
+from qalens.functions.numbers import cents
 from qalens.operators import (
     count_by_key,
     count_by_period,
@@ -64,11 +65,6 @@ def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     return read_supplied(spark, data_dir, name)
 
 
-def cents(c: str) -> F.Column:
-    """Money as whole cents, so sums are exact integers."""
-    return F.round(F.col(c) * 100).cast("bigint")
-
-
 # --- Q1: counts per period -------------------------------------------------
 
 def year_count(spark, d):
