@@ -22,12 +22,17 @@ from qalens.operators import (
 from conftest import SF_SMALL
 
 
-def _brute_rank_keep(values, k):
+def _brute_rank_keep(values, k, ascending=False):
     nonnull = [v for v in values if v is not None]
     out = []
     for v in values:
-        rank = 1 + (sum(1 for x in nonnull if x > v) if v is not None else len(nonnull))
-        if rank <= k:
+        if v is None:
+            better = len(nonnull)  # NULLs rank after every value
+        elif ascending:
+            better = sum(1 for x in nonnull if x < v)
+        else:
+            better = sum(1 for x in nonnull if x > v)
+        if 1 + better <= k:
             out.append(v)
     return sorted(out, key=lambda x: (x is None, x))
 
@@ -36,11 +41,13 @@ def _brute_rank_keep(values, k):
 @given(
     values=st.lists(st.one_of(st.none(), st.integers(0, 6)), min_size=0, max_size=25),
     k=st.integers(1, 8),
+    ascending=st.booleans(),
 )
-def test_top_k_keep_equals_rank(spark, values, k):
+def test_top_k_keep_equals_rank(spark, values, k, ascending):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, m long")
-    got = sorted((r.m for r in top_k(df, "m", k, ties="keep").collect()), key=lambda x: (x is None, x))
-    assert got == _brute_rank_keep(values, k)
+    got = top_k(df, "m", k, ascending=ascending, ties="keep").collect()
+    got = sorted((r.m for r in got), key=lambda x: (x is None, x))
+    assert got == _brute_rank_keep(values, k, ascending)
 
 
 def test_top_k_cut_is_deterministic(spark):
