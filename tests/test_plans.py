@@ -122,3 +122,26 @@ def test_top_k_rows_are_broadcast_only_when_k_is_small(spark, k, hinted):
     logical = plan_text(df, mode="extended").split("== Physical Plan ==")[0]
     assert ("strategy=broadcast" in logical) == hinted
     assert len(df.collect()) == 3
+
+
+def test_bucketed_tables_skip_the_child_and_owner_shuffles(spark):
+    from qalens.plans import analyses as A
+    from qalens.plans.site_standins import site_comments, site_posts_from_orders, site_users
+    from qalens.session import shared_dir
+    from qalens.sources import load_bucketed, write_bucketed
+
+    t = {
+        "Posts": site_posts_from_orders(spark, SF_SMALL),
+        "Users": site_users(spark, SF_SMALL),
+        "Comments": site_comments(spark, SF_SMALL),
+    }
+    write_bucketed(spark, t, shared_dir(spark, "bucketed"), 8, database="qalens_test")
+    b = load_bucketed(spark, database="qalens_test", tables=list(t))
+    with no_auto_broadcast(spark):
+        plain = A.top_questions_by_comment_score(t["Comments"], t["Posts"], t["Users"])
+        bucketed = A.top_questions_by_comment_score(b["Comments"], b["Posts"], b["Users"])
+        shuffled = " | ".join(_shuffled_columns(bucketed))
+        assert "PostId" not in shuffled and "Score" not in shuffled  # comments never move
+        assert "Reputation" not in shuffled and "DisplayName" not in shuffled
+        assert len(_shuffled_columns(bucketed)) < len(_shuffled_columns(plain))
+        assert sorted(map(tuple, bucketed.collect())) == sorted(map(tuple, plain.collect()))
