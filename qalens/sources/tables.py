@@ -132,11 +132,12 @@ def write_bucketed(
     shuffle partitions (bytes / 200 MB). The bucket layout lives in the catalog:
     with a persistent metastore it survives the session, otherwise re-register.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    root = dst_dir.rstrip("/")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_{database}.db'")
     names = {}
     for name, df in tables.items():
         writer = df.write.mode("overwrite").format("parquet").option(
-            "path", f"{dst_dir.rstrip('/')}/{name}"
+            "path", f"{root}/{name}"
         )
         key = keys.get(name)
         if key:
