@@ -57,6 +57,10 @@ def start_counts(
 
     ``available_now=True`` processes what is there and stops (scheduled
     catch-up runs); otherwise it triggers every ``processing_time``.
+
+    The published Parquet is replaced in place, which is not atomic: a reader
+    running during a micro-batch may see it half written. Readers that run
+    concurrently need a table format with atomic commits as the sink.
     """
     spark = source.sparkSession
     counts = source.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name))
