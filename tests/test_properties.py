@@ -114,3 +114,37 @@ def test_top_by_rollup_cut(spark, facts, k):
             sums[o] = (sums.get(o) or 0) + v
     order = sorted(sums.items(), key=lambda kv: (kv[1] is None, -(kv[1] or 0), kv[0]))[:k]
     assert got == [(o, f"n{o}", s) for o, s in order]
+
+
+@SETTINGS
+@given(
+    rows=st.lists(
+        st.tuples(st.one_of(st.none(), st.sampled_from(["2019-05-01", "2020-01-02", "2021-12-31"])),
+                  st.one_of(st.none(), st.sampled_from(["a", "b", "c"]))),
+        max_size=30,
+    ),
+    ties=st.sampled_from(["first", "all"]),
+    method=st.sampled_from(["aggregate", "window"]),
+)
+def test_top_category_and_share(spark, rows, ties, method):
+    from qalens.operators import share_of_period, top_category_per_period
+
+    df = spark.createDataFrame(rows, "d string, c string").select(
+        F.to_date("d").cast("timestamp_ntz").alias("ts"), "c"
+    )
+    counts = defaultdict(Counter)
+    for d, c in rows:
+        if d is not None:
+            counts[d[:4]][c] += 1
+    exp_share = {(y, c): n / sum(cnt.values()) for y, cnt in counts.items() for c, n in cnt.items()}
+    got_share = {(r.Year, r.Name): r.Share for r in share_of_period(df, "ts", "c", method=method).collect()}
+    assert got_share.keys() == exp_share.keys()
+    assert all(abs(got_share[k] - v) < 1e-12 for k, v in exp_share.items())
+    exp_top = set()
+    for y, cnt in counts.items():
+        best = max(cnt.values())
+        names = sorted((c for c, n in cnt.items() if n == best), key=lambda c: (c is not None, c))
+        for c in (names[:1] if ties == "first" else names):
+            exp_top.add((y, c, best / sum(cnt.values())))
+    got_top = {tuple(r) for r in top_category_per_period(df, "ts", "c", ties=ties, method=method).collect()}
+    assert got_top == exp_top
