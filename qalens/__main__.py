@@ -2,7 +2,7 @@
 
     python -m qalens convert SRC_DIR DST_DIR [--files N] [--null-value NA]
     python -m qalens run DATA_DIR [--format parquet|csv.gz|csv] [--out DIR] [--out-format parquet|csv]
-                                  [--check] [--null-value NA]
+                                  [--check] [--time N] [--null-value NA]
 """
 
 from __future__ import annotations
@@ -28,11 +28,13 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--out", default=None, help="write each result here (default: print)")
     r.add_argument("--out-format", default="parquet")
     r.add_argument("--check", action="store_true", help="cross-check DataFrame and SQL forms")
+    r.add_argument("--time", type=int, default=0, metavar="N",
+                   help="median seconds of N runs per analysis, DataFrame and SQL forms")
     r.add_argument("--null-value", default=None, help="CSV null marker, e.g. NA for R exports")
     args = p.parse_args(argv)
 
     spark = get_session()
-    from qalens.plans.report import cross_check, run_analyses, write_analyses
+    from qalens.plans.report import cross_check, run_analyses, time_forms, write_analyses
     from qalens.sources import convert_to_parquet, load_tables
 
     csv_options = {"nullValue": args.null_value} if args.null_value else None
@@ -51,6 +53,9 @@ def main(argv: list[str] | None = None) -> int:
         for name, df in run_analyses(tables).items():
             print(f"== {name}")
             df.show(truncate=False)
+    if args.time:
+        for name, frame_sec, sql_sec in time_forms(spark, tables, args.time):
+            print(f"{name}\tdataframe {frame_sec:.3f} s\tsql {sql_sec:.3f} s")
     if args.check:
         rows = cross_check(spark, tables).collect()
         for row in rows:

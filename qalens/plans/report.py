@@ -80,3 +80,28 @@ def write_analyses(tables: Mapping[str, DataFrame], out_dir: str, fmt: str = "pa
             write_csv(df, path, files=None)
         paths[name] = path
     return paths
+
+
+def time_forms(
+    spark: SparkSession, tables: Mapping[str, DataFrame], runs: int = 5
+) -> list[tuple[str, float, float]]:
+    """Median wall seconds of ``runs`` executions of each analysis, in the
+    DataFrame form and in the SQL form, each executed fully into the ``noop``
+    sink (nothing collected). Returns (analysis, dataframe_sec, sql_sec)."""
+    import statistics
+    import time
+
+    def once(make: Callable[[], DataFrame]) -> float:
+        start = time.perf_counter()
+        make().write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    out = []
+    for name, fn in ANALYSES.items():
+        forms = (lambda: fn(tables), lambda: run_sql(spark, SITE_SQL[name], tables))
+        medians = []
+        for make in forms:
+            once(make)  # warm-up
+            medians.append(statistics.median(once(make) for _ in range(runs)))
+        out.append((name, medians[0], medians[1]))
+    return out

@@ -29,8 +29,9 @@ def test_cli_convert_and_run(spark, site, capsys):
     for name, df in site.items():
         write_parquet(df, f"{data}/{name}.parquet")
     out = shared_dir(spark, "site-out")
-    assert main(["run", data, "--format", "parquet", "--out", out, "--check"]) == 0
+    assert main(["run", data, "--format", "parquet", "--out", out, "--check", "--time", "1"]) == 0
     printed = capsys.readouterr().out
     assert "top_badge_per_year" in printed
+    assert printed.count("dataframe ") == 5 and printed.count("\tsql ") == 5
     q5 = spark.read.parquet(f"{out}/top_posts_by_covid_votes").collect()
     assert sorted(r.PostId for r in q5) == [1, 2, 6]
