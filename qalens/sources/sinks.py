@@ -9,6 +9,24 @@ from pyspark.sql import DataFrame
 from qalens.sources.csv import CSV_OPTIONS
 
 
+def _spread_scan(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the default parallelism if it is a shuffle-free
+    plan with fewer partitions. Counting partitions is free only without a
+    shuffle (with one, AQE would run the shuffle stages just to count), and a
+    shuffled plan is already spread over the shuffle partitions."""
+    from qalens.plans.inspect import plan_text
+
+    try:
+        if "Exchange" in plan_text(df):
+            return df
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            return df.repartition(target)
+    except Exception:  # no driver-side RDD view (Spark Connect): keep the layout
+        pass
+    return df
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
@@ -39,19 +57,14 @@ def write_csv(
     writer keeps only milliseconds) and untrimmed whitespace.
 
     A gzip file can only be read by one task, so the file count decides how
-    parallel every later read is. ``files='auto'`` spreads the rows over the
-    cluster's default parallelism when the input has fewer partitions than
-    that (and leaves a wider input as it is); an int forces that many files;
-    ``None`` keeps the input partitioning.
+    parallel every later read is. ``files='auto'`` spreads a shuffle-free input
+    (a scan, filters, projections) over the cluster's default parallelism when
+    it has fewer partitions than that, and otherwise keeps the layout; an int
+    forces that many files; ``None`` keeps the input partitioning.
     """
     out = df
     if files == "auto":
-        try:
-            target = df.sparkSession.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < target:
-                out = df.repartition(target)
-        except Exception:  # no RDD view of the plan (Spark Connect): keep the layout
-            out = df
+        out = _spread_scan(df)
     elif files:
         out = df.repartition(int(files))
     opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("mode", "multiLine")}
