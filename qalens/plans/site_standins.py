@@ -76,7 +76,6 @@ def site_votes(spark: SparkSession, d: str) -> DataFrame:
     for f, t in VOTE_TYPE_BY_FLAG.items():
         vote_type = F.when(flag == f, F.lit(t)).otherwise(vote_type)
     return read_supplied(spark, d, "lineitem").select(
-        F.col("l_linenumber").cast("bigint").alias("Id"),
         F.col("l_partkey").alias("PostId"),
         vote_type.alias("VoteTypeId"),
         (F.col("l_shipdate") + F.make_ym_interval(F.lit(YEARS_FORWARD), F.lit(0))).alias("CreationDate"),

@@ -36,7 +36,6 @@ TABLES: dict[str, dict[str, DataType]] = {
         "Location": TEXT,
     },
     "Comments": {
-        "Id": LONG,
         "PostId": LONG,
         "Score": LONG,
     },
@@ -46,7 +45,6 @@ TABLES: dict[str, dict[str, DataType]] = {
         "Date": TS,
     },
     "Votes": {
-        "Id": LONG,
         "PostId": LONG,
         "VoteTypeId": INT,
         "CreationDate": TS,

@@ -32,9 +32,19 @@ VOTES = [
 ]
 
 
+# As exported: every table has its own Id; time columns are text.
+RAW_SCHEMAS = {
+    "Posts": text_schema("Posts"),
+    "Users": text_schema("Users"),
+    "Comments": "Id long, PostId long, Score long",
+    "Badges": text_schema("Badges"),
+    "Votes": "Id long, PostId long, VoteTypeId int, CreationDate string",
+}
+
+
 def site_tables(spark):
     raw = {"Posts": POSTS, "Users": USERS, "Comments": COMMENTS, "Badges": BADGES, "Votes": VOTES}
     return {
-        name: apply_schema(spark.createDataFrame(rows, text_schema(name)), name)
+        name: apply_schema(spark.createDataFrame(rows, RAW_SCHEMAS[name]), name)
         for name, rows in raw.items()
     }

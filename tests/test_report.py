@@ -35,3 +35,44 @@ def test_cli_convert_and_run(spark, site, capsys):
     assert printed.count("dataframe ") == 5 and printed.count("\tsql ") == 5
     q5 = spark.read.parquet(f"{out}/top_posts_by_covid_votes").collect()
     assert sorted(r.PostId for r in q5) == [1, 2, 6]
+
+
+def test_csv_export_to_analyses_end_to_end(spark):
+    """Site-shaped CSV exports of the supplied tables -> convert once -> analyses."""
+    from pyspark.sql import functions as F
+
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+    from qalens.plans import site_standins as S
+    from qalens.plans.report import run_analyses
+    from qalens.sources import convert_to_parquet, load_tables, write_csv
+
+    views = {
+        "Posts": S.site_posts_from_orders(spark, SF_SMALL),
+        "Users": S.site_users(spark, SF_SMALL),
+        "Comments": S.site_comments(spark, SF_SMALL),
+        "Badges": S.site_badges(spark, SF_SMALL),
+        "Votes": S.site_votes(spark, SF_SMALL),
+    }
+    src = shared_dir(spark, "site-csv")
+    for name, df in views.items():
+        ts_cols = [c for c, t in df.dtypes if t == "timestamp_ntz"]
+        text = df.select(*[
+            F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS").alias(c) if c in ts_cols else F.col(c)
+            for c in df.columns
+        ])
+        write_csv(text, f"{src}/{name}.csv.gz")
+    dst = shared_dir(spark, "site-pq")
+    convert_to_parquet(spark, src, dst, files_per_table=4)
+    results = run_analyses(load_tables(spark, dst, "parquet"))
+    expected = {
+        "posts_per_year": "site_q1_posts_per_year",
+        "top_question_owners": "site_q2_top_question_owners",
+        "top_badge_per_year": "site_q3_top_badge_per_year",
+        "top_questions_by_comment_score": "site_q4_top_questions_by_comment_score",
+    }
+    for analysis, key in expected.items():
+        want = entry.queries()[key](spark, SF_SMALL)
+        assert sorted(map(tuple, results[analysis].collect()), key=repr) == sorted(
+            map(tuple, want.collect()), key=repr
+        ), analysis
