@@ -1,8 +1,8 @@
 """Command line: convert a CSV dump once, then run (and cross-check) the analyses.
 
-    python -m qalens convert SRC_DIR DST_DIR [--files N] [--null-value NA]
+    python -m qalens convert SRC_DIR DST_DIR [--files N | --buckets N] [--null-value NA]
     python -m qalens run DATA_DIR [--format parquet|csv.gz|csv] [--out DIR] [--out-format parquet|csv]
-                                  [--check] [--time N] [--null-value NA]
+                                  [--check] [--time N] [--null-value NA] [--buckets N]
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--files", type=int, default=None, help="Parquet files per table")
     c.add_argument("--format", default="csv.gz")
     c.add_argument("--null-value", default=None, help="CSV null marker, e.g. NA for R exports")
+    c.add_argument("--buckets", type=int, default=0, metavar="N",
+                   help="write tables bucketed on their join keys into N buckets")
     r = sub.add_parser("run", help="run the five analyses")
     r.add_argument("data")
     r.add_argument("--format", default="parquet")
@@ -31,13 +33,26 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--time", type=int, default=0, metavar="N",
                    help="median seconds of N runs per analysis, DataFrame and SQL forms")
     r.add_argument("--null-value", default=None, help="CSV null marker, e.g. NA for R exports")
+    r.add_argument("--buckets", type=int, default=0, metavar="N",
+                   help="DATA_DIR holds tables written by 'convert --buckets N'")
     args = p.parse_args(argv)
 
     spark = get_session()
     from qalens.plans.report import cross_check, run_analyses, time_forms, write_analyses
-    from qalens.sources import convert_to_parquet, load_tables
+    from qalens.sources import (
+        convert_to_parquet,
+        load_bucketed,
+        load_tables,
+        register_bucketed,
+        write_bucketed,
+    )
 
     csv_options = {"nullValue": args.null_value} if args.null_value else None
+    if args.cmd == "convert" and args.buckets:
+        tables = load_tables(spark, args.src, args.format, csv_options=csv_options)
+        for name, table in write_bucketed(spark, tables, args.dst, args.buckets).items():
+            print(f"{name}\t{table}")
+        return 0
     if args.cmd == "convert":
         for name, path in convert_to_parquet(
             spark, args.src, args.dst, fmt=args.format, files_per_table=args.files,
@@ -45,7 +60,11 @@ def main(argv: list[str] | None = None) -> int:
         ).items():
             print(f"{name}\t{path}")
         return 0
-    tables = load_tables(spark, args.data, args.format, csv_options=csv_options)
+    if args.buckets:
+        register_bucketed(spark, args.data, args.buckets)
+        tables = load_bucketed(spark)
+    else:
+        tables = load_tables(spark, args.data, args.format, csv_options=csv_options)
     if args.out:
         for name, path in write_analyses(tables, args.out, args.out_format).items():
             print(f"{name}\t{path}")

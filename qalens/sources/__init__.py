@@ -10,6 +10,7 @@ from qalens.sources.tables import (
     load_bucketed,
     load_table,
     load_tables,
+    register_bucketed,
     text_schema,
     write_bucketed,
 )
@@ -25,6 +26,7 @@ __all__ = [
     "load_tables",
     "read_csv",
     "read_supplied",
+    "register_bucketed",
     "text_schema",
     "write_bucketed",
     "write_csv",

@@ -153,3 +153,33 @@ def load_bucketed(
 ) -> dict[str, DataFrame]:
     """The tables written by :func:`write_bucketed`, with their bucket layout."""
     return {t: spark.table(f"{database}.{t}") for t in tables}
+
+
+def register_bucketed(
+    spark: SparkSession,
+    dst_dir: str,
+    buckets: int,
+    *,
+    database: str = "qalens",
+    tables: Iterable[str] = tuple(TABLES),
+    keys: dict[str, str] = SITE_BUCKET_KEYS,
+) -> dict[str, str]:
+    """Declare tables written by :func:`write_bucketed` in this session's
+    catalog again (their files stay where they are), so a new session without a
+    persistent metastore still plans with the bucket layout."""
+    root = dst_dir.rstrip("/")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_{database}.db'")
+    names = {}
+    for name in tables:
+        path = f"{root}/{name}"
+        columns = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields
+        )
+        key = keys.get(name)
+        layout = f" CLUSTERED BY ({key}) SORTED BY ({key}) INTO {int(buckets)} BUCKETS" if key else ""
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet{layout} "
+            f"LOCATION '{path}'"
+        )
+        names[name] = f"{database}.{name}"
+    return names
