@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from qalens._columns import as_col
+
 # Calendar grains accepted by the period operators (Spark datetime patterns).
 GRAINS = {
     "year": "yyyy",
@@ -19,10 +21,6 @@ SOURCE_TIMESTAMP_FORMATS = ("yyyy-MM-dd[['T'HH:mm:ss[.SSS]][ HH:mm:ss[.SSS]]]",)
 SOURCE_TIMESTAMP_REGEX = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}:[0-5][0-9](\.[0-9]{3})?)?$"
 
 
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def _field(text: Column, pos: int, length: int, default: int | None = None) -> Column:
     part = F.substring(text, pos, length).try_cast("int")
     return part if default is None else F.coalesce(part, F.lit(default))
@@ -70,7 +68,7 @@ def parse_timestamp(
     ``formats``: Spark datetime patterns tried in order; these parse in the
     session time zone and are then taken as wall-clock time.
     """
-    text = _col(c)
+    text = as_col(c)
     if formats:
         return _parse_with_patterns(text, formats)
     if _session_zone_is_utc():
@@ -81,4 +79,4 @@ def parse_timestamp(
 def period_label(c: str | Column, grain: str = "yyyy") -> Column:
     """Calendar label as text ('2019', '2019-03', '2019-03-01'); NULL stays NULL."""
     pattern = GRAINS.get(grain, grain)
-    return F.date_format(_col(c), pattern)
+    return F.date_format(as_col(c), pattern)

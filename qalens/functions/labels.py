@@ -7,9 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from qalens._columns import as_col
 
 
 def label_by_value(
@@ -19,7 +17,7 @@ def label_by_value(
 
     NULL input gets ``default`` too, as in ``CASE x WHEN ... ELSE default END``.
     """
-    col = _col(c)
+    col = as_col(c)
     expr = None
     for label, values in mapping.items():
         cond = col.isin(list(values))
@@ -31,9 +29,9 @@ def label_by_value(
 
 def not_blank(c: str | Column) -> Column:
     """``c NOT IN ('')``: false for the empty string; NULL (so filtered out) for NULL."""
-    return _col(c) != F.lit("")
+    return as_col(c) != F.lit("")
 
 
 def null_if(c: str | Column, value: object) -> Column:
     """NULL where ``c`` equals ``value``."""
-    return F.nullif(_col(c), F.lit(value))
+    return F.nullif(as_col(c), F.lit(value))

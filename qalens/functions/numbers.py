@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from qalens._columns import as_col
+
 
 def cents(c: str | Column) -> Column:
     """Money as whole cents (``bigint``), so sums are exact and engine-independent."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.round(col * 100).cast("bigint")
+    return F.round(as_col(c) * 100).cast("bigint")

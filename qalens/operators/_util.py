@@ -3,9 +3,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def as_col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from qalens._columns import as_col
 
 
 def ratio(numerator: str | Column, denominator: str | Column) -> Column:
