@@ -170,3 +170,15 @@ def test_both_parse_paths_agree(spark):
     rows = df.select(_parse_by_fields(s).alias("a"), _parse_with_patterns(s, SOURCE_TIMESTAMP_FORMATS).alias("b")).collect()
     assert all(r.a == r.b for r in rows), rows
     assert sum(r.a is not None for r in rows) == 5
+
+
+def test_top_by_rollup_null_safe_matches_null_keys(spark):
+    from qalens.operators import top_by_rollup
+
+    dim = spark.createDataFrame([(1, "a"), (None, "nobody")], "id long, name string")
+    fact = spark.createDataFrame([(1, 5), (None, 7), (None, 1), (2, 9)], "owner long, v long")
+    kw = dict(dim_key="id", fact_key="owner", measure="v", dim_cols=["name"], k=5)
+    plain = [tuple(r) for r in top_by_rollup(dim, fact, **kw).collect()]
+    safe = [tuple(r) for r in top_by_rollup(dim, fact, null_safe=True, **kw).collect()]
+    assert plain == [(1, "a", 5)]  # SQL '=': NULL owners and unknown owner 2 drop out
+    assert safe == [(None, "nobody", 8), (1, "a", 5)]
