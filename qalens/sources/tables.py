@@ -29,7 +29,8 @@ def text_schema(table: str) -> StructType:
 
 def apply_schema(df: DataFrame, table: str) -> DataFrame:
     """Keep the known columns, by name, with their declared types; time text
-    that matches no accepted layout becomes NULL."""
+    that matches no accepted layout, and any value that does not convert
+    (e.g. 'NA' in a number column), becomes NULL, as in the CSV reader."""
     cols = []
     for name, t in TABLES[table].items():
         if name not in df.columns:
@@ -39,7 +40,7 @@ def apply_schema(df: DataFrame, table: str) -> DataFrame:
         if isinstance(t, TimestampNTZType) and isinstance(current, StringType):
             cols.append(parse_timestamp(src).alias(name))
         elif current != t:
-            cols.append(src.cast(t).alias(name))
+            cols.append(src.try_cast(t).alias(name))
         else:
             cols.append(src)
     return df.select(*cols)

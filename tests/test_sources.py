@@ -98,3 +98,15 @@ def test_r_style_csv_row_names_and_na(spark):
     assert got[0] == (10, "ana", 500, "Oslo")
     assert got[1] == (11, None, 20, "")
     assert got[2][0] == 12 and got[2][2] is None and got[2][3] is None
+
+
+def test_text_columns_from_parquet_convert_leniently(spark):
+    from qalens.sources import apply_schema
+
+    raw = spark.createDataFrame(
+        [("1", "10", "NA", "2019-01-01T00:00:00.000", "x", "12", "3")],
+        "Id string, PostTypeId string, OwnerUserId string, CreationDate string, "
+        "Title string, ViewCount string, CommentCount string",
+    )
+    row = apply_schema(raw, "Posts").collect()[0]
+    assert (row.Id, row.PostTypeId, row.OwnerUserId, row.ViewCount) == (1, 10, None, 12)
