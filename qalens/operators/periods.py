@@ -99,6 +99,9 @@ def full_outer_merge(
     """
     l_measures = [c for c in left.columns if c != key]
     r_measures = [c for c in right.columns if c != key]
+    shared = sorted(set(l_measures) & set(r_measures))
+    if shared:
+        raise ValueError(f"both sides have measure columns {shared}; rename one side first")
     lhs = left.withColumnRenamed(key, "__lk")
     rhs = right.withColumnRenamed(key, "__rk")
     joined = lhs.join(rhs, F.col("__lk") == F.col("__rk"), "full_outer")

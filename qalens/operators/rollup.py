@@ -91,6 +91,9 @@ def rollup_children(
     then fetched for those k rows through broadcasts of the k rows, so the
     parent and owner tables are scanned (pruned) and probed but not shuffled.
     """
+    names = [*parent_cols, score_name, *owner_cols]
+    if len(set(names)) != len(names):
+        raise ValueError(f"output columns must be distinct, got {names}")
     scores = child.groupBy(F.col(child_parent_key).alias("__parent")).agg(
         F.sum(as_col(child_score)).alias(score_name)
     )

@@ -182,3 +182,14 @@ def test_top_by_rollup_null_safe_matches_null_keys(spark):
     safe = [tuple(r) for r in top_by_rollup(dim, fact, null_safe=True, **kw).collect()]
     assert plain == [(1, "a", 5)]  # SQL '=': NULL owners and unknown owner 2 drop out
     assert safe == [(None, "nobody", 8), (1, "a", 5)]
+
+
+def test_ambiguous_output_columns_are_rejected(spark):
+    from qalens.operators import rollup_children
+
+    a = spark.createDataFrame([(1, 2)], "k long, n long")
+    with pytest.raises(ValueError):
+        full_outer_merge(a, a, "k")
+    with pytest.raises(ValueError):
+        rollup_children(a, a, a, child_parent_key="k", child_score="n", parent_key="k",
+                        parent_owner_key="n", owner_key="k", parent_cols=["n"], owner_cols=["n"])
