@@ -46,3 +46,11 @@ def summary(df: DataFrame) -> dict[str, object]:
         "pushed_filters": re.findall(r"PushedFilters: (\[.*?\])", text),
         "read_schemas": re.findall(r"ReadSchema: (.*)", text),
     }
+
+
+def shuffled_columns(df: DataFrame) -> list[list[str]]:
+    """For every hash or range ``Exchange`` in the plan (subqueries included),
+    the columns it moves, without expression ids."""
+    text = plan_text(df)
+    inputs = re.findall(r"^\(\d+\) Exchange\s*\nInput \[\d+\]: \[(.*?)\]", text, flags=re.M)
+    return [[re.sub(r"#\d+L?$", "", c.strip()) for c in i.split(",")] for i in inputs]

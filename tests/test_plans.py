@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from qalens.plans import analyses as A
-from qalens.plans.inspect import count_nodes, plan_text, summary
+from qalens.plans.inspect import count_nodes, plan_text, shuffled_columns, summary
 
 KEYS = sorted(k for k in entry.queries() if "roundtrip" not in k)
 
@@ -75,8 +75,7 @@ def no_auto_broadcast(spark):
 
 
 def _shuffled_columns(df):
-    text = plan_text(df)
-    return re.findall(r"\(\d+\) Exchange\s*\nInput \[\d+\]: \[(.*?)\]", text)
+    return [", ".join(cols) for cols in shuffled_columns(df)]
 
 
 @pytest.mark.parametrize(
