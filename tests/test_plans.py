@@ -1,7 +1,6 @@
 """Plan checks: no Python in any plan, pruning, pushdown, shuffle counts."""
 
 import contextlib
-import re
 
 import pytest
 
