@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import math
+import os
 
 import duckdb
 
@@ -16,7 +17,12 @@ TABLES = (
 def duck(data_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{data_dir}/{t}.parquet')")
+        path = f"{data_dir}/{t}.parquet"
+        if os.path.isdir(path):
+            path = f"{path}/*.parquet"  # a folder written by Spark
+        elif not os.path.exists(path):
+            continue
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}')")
     return con
 
 
