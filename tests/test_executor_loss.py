@@ -1,0 +1,19 @@
+"""Workloads survive the loss of an executor JVM mid-run (separate process: local-cluster)."""
+
+import json
+import os
+import subprocess
+import sys
+
+from conftest import ROOT, SF_MID
+
+
+def test_results_stay_exact_when_an_executor_is_killed():
+    script = os.path.join(ROOT, "scripts", "executor_loss_check.py")
+    out = subprocess.run(
+        [sys.executable, script, SF_MID, "2"], capture_output=True, text=True, timeout=600
+    )
+    report = json.loads(out.stdout.strip().splitlines()[-1])
+    assert report["killed"] is not None
+    assert report["killed"] not in report["executors_after"]
+    assert report["all_exact"], report
