@@ -137,10 +137,11 @@ def write_bucketed(
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_{database}.db'")
     names = {}
     for name, df in tables.items():
-        writer = df.write.mode("overwrite").format("parquet").option(
-            "path", f"{root}/{name}"
-        )
         key = keys.get(name)
+        # hash-partition on the bucket key first: task i then holds exactly bucket i
+        # and writes one file, instead of every task writing a file per bucket
+        out = df.repartition(buckets, key) if key else df
+        writer = out.write.mode("overwrite").format("parquet").option("path", f"{root}/{name}")
         if key:
             writer = writer.bucketBy(buckets, key).sortBy(key)
         qualified = f"{database}.{name}"

@@ -143,3 +143,17 @@ def test_bucketed_tables_skip_the_child_and_owner_shuffles(spark):
         assert "Reputation" not in shuffled and "DisplayName" not in shuffled
         assert len(_shuffled_columns(bucketed)) < len(_shuffled_columns(plain))
         assert sorted(map(tuple, bucketed.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_bucketed_write_makes_one_file_per_bucket(spark):
+    import glob
+
+    from qalens.plans.site_standins import site_comments
+    from qalens.session import shared_dir
+    from qalens.sources import write_bucketed
+
+    out = shared_dir(spark, "bucket-files")
+    comments = site_comments(spark, SF_SMALL).repartition(5)  # five writer inputs
+    write_bucketed(spark, {"Comments": comments}, out, 4, database="qalens_files")
+    files = glob.glob(f"{out.replace('file:', '')}/Comments/*.parquet")
+    assert len(files) <= 4, files
