@@ -1,3 +1,5 @@
+"""Column argument helper shared by functions and operators."""
+
 from __future__ import annotations
 
 from pyspark.sql import Column

@@ -1,3 +1,5 @@
+"""Small expression helpers for the operators."""
+
 from __future__ import annotations
 
 from pyspark.sql import Column

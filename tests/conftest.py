@@ -1,3 +1,5 @@
+"""Shared pytest fixtures: one Spark session and the edge fixture tables."""
+
 import os
 import sys
 
