@@ -5,6 +5,9 @@ import sys
 
 import pytest
 
+# pyspark.testing imports pandas-on-Spark, which asks for this before a JVM starts
+os.environ.setdefault("PYARROW_IGNORE_TIMEZONE", "1")
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
