@@ -59,6 +59,8 @@ def site_badges(spark: SparkSession, d: str) -> DataFrame:
 
 
 def site_posts_from_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Parts as titled posts for Q5. Parts carry no date, owner, views or comment
+    count, so those are NULL (Q5's ``Date`` column is NULL on these views)."""
     return read_supplied(spark, d, "part").select(
         F.col("p_partkey").alias("Id"),
         F.lit(1).alias("PostTypeId"),
