@@ -20,7 +20,9 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from qalens.session import get_session
 
-    s = get_session("local[4]", app_name="qalens-tests", shuffle_partitions=8)
+    # QALENS_TEST_MASTER=local-cluster[2,2,2048] runs the suite on two executor JVMs
+    master = os.environ.get("QALENS_TEST_MASTER", "local[4]")
+    s = get_session(master, app_name="qalens-tests", shuffle_partitions=8)
     yield s
     s.stop()
 
