@@ -57,8 +57,10 @@ def load_table(
     fmt: str = "csv.gz",
     *,
     csv_options: dict[str, str] | None = None,
+    path: str | None = None,
 ) -> DataFrame:
-    """One site table with its declared column types.
+    """One site table with its declared column types, from
+    ``directory/<Table>.<fmt>`` or from ``path`` when given (a file, folder or glob).
 
     ``csv_options`` adjust the CSV dialect, e.g. ``{"nullValue": "NA"}`` for
     files written by R's ``write.csv`` (missing values as ``NA``, empty text as
@@ -66,7 +68,7 @@ def load_table(
     """
     if fmt not in FORMATS:
         raise ValueError(f"fmt must be one of {FORMATS}")
-    path = table_path(directory, table, fmt)
+    path = path or table_path(directory, table, fmt)
     if fmt == "parquet":
         raw = spark.read.parquet(path)
     else:
@@ -81,9 +83,16 @@ def load_tables(
     tables: Iterable[str] = tuple(TABLES),
     *,
     csv_options: dict[str, str] | None = None,
+    paths: dict[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """The named tables (default all five), lazily; nothing is read until a query runs."""
-    return {t: load_table(spark, directory, t, fmt, csv_options=csv_options) for t in tables}
+    """The named tables (default all five), lazily; nothing is read until a query
+    runs. ``paths`` maps a table to its own location when files are named
+    differently (e.g. ``{"Posts": "/data/posts-*.csv.gz"}``)."""
+    paths = paths or {}
+    return {
+        t: load_table(spark, directory, t, fmt, csv_options=csv_options, path=paths.get(t))
+        for t in tables
+    }
 
 
 def convert_to_parquet(

@@ -110,3 +110,11 @@ def test_text_columns_from_parquet_convert_leniently(spark):
     )
     row = apply_schema(raw, "Posts").collect()[0]
     assert (row.Id, row.PostTypeId, row.OwnerUserId, row.ViewCount) == (1, 10, None, 12)
+
+
+def test_load_tables_with_explicit_paths(spark):
+    d = tempfile.mkdtemp(prefix="qalens-csv-")
+    _write_gz(os.path.join(d, "users-export.csv.gz"), "Id,DisplayName,Reputation,Location\n10,ana,500,Oslo\n")
+    t = load_tables(spark, "/nonexistent", "csv.gz", tables=["Users"],
+                    paths={"Users": os.path.join(d, "users-*.csv.gz")})
+    assert [tuple(r) for r in t["Users"].collect()] == [(10, "ana", 500, "Oslo")]
