@@ -122,3 +122,9 @@ def test_q5_keep_ties_and_bad_tie_rule(site):
     assert sorted(r.PostId for r in keep) == [1, 2, 3, 5, 6]
     with pytest.raises(ValueError):
         top_by_period_counts(site["Posts"], counts, ties="bogus", **kw)
+
+
+def test_q4_keep_ties(site):
+    got = ordered(A.top_questions_by_comment_score(
+        site["Comments"], site["Posts"], site["Users"], k=1, ties="keep"))
+    assert got == [("Visa", 2, 100, 5, "ana", 500, "Oslo"), ("Rail", 1, 50, 5, "bo", 20, N)]
