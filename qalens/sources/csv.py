@@ -23,12 +23,12 @@ CSV_OPTIONS = {
 def read_csv(
     spark: SparkSession,
     path: str,
-    schema: StructType,
+    schema: StructType | str,
     *,
     by_header: bool = False,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Read CSV with an explicit schema (never inferred).
+    """Read CSV with an explicit schema (``StructType`` or DDL text; never inferred).
 
     ``by_header=True``: the file's own header decides the column order; columns
     of ``schema`` are typed and any other column is read as text, so files
@@ -40,6 +40,8 @@ def read_csv(
     """
     opts = dict(CSV_OPTIONS)
     opts.update(options or {})
+    if isinstance(schema, str):  # DDL text, e.g. "Id long, Name string"
+        schema = spark.createDataFrame([], schema).schema
     if by_header:
         header = spark.read.options(**{**opts, "inferSchema": "false"}).csv(path).columns
         typed = {f.name: f for f in schema.fields}

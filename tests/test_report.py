@@ -99,3 +99,17 @@ def test_cli_bucketed_convert_and_run(spark, site, capsys):
     assert spark.table("qalens.Comments").count() == 7
     info = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED qalens.Comments").collect()}
     assert info.get("Num Buckets") == "4" and "PostId" in info.get("Bucket Columns", "")
+
+
+def test_cli_writes_csv_results(spark, site):
+    from qalens.sources import read_csv
+
+    data = shared_dir(spark, "site-pq-csvout")
+    for name, df in site.items():
+        write_parquet(df, f"{data}/{name}.parquet")
+    out = shared_dir(spark, "site-csv-out")
+    assert main(["run", data, "--out", out, "--out-format", "csv"]) == 0
+    back = read_csv(spark, f"{out}/posts_per_year", "Year string, TotalNumber long", by_header=True)
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(
+        [(None, 2), ("2018", 1), ("2019", 2), ("2020", 1), ("2021", 1), ("2022", 1)], key=repr
+    )
