@@ -193,3 +193,12 @@ def test_ambiguous_output_columns_are_rejected(spark):
     with pytest.raises(ValueError):
         rollup_children(a, a, a, child_parent_key="k", child_score="n", parent_key="k",
                         parent_owner_key="n", owner_key="k", parent_cols=["n"], owner_cols=["n"])
+
+
+def test_sum_by_key_all_null_group(spark):
+    from qalens.operators import sum_by_key
+
+    df = spark.createDataFrame([("a", 1), ("a", None), ("b", None)], "k string, v long")
+    assert sorted(map(tuple, sum_by_key(df, "k", "v").collect())) == [("a", 1), ("b", None)]
+    filled = sorted(map(tuple, sum_by_key(df, "k", "v", fill_empty=0).collect()))
+    assert filled == [("a", 1), ("b", 0)]  # the na.rm / pandas behaviour, on request
