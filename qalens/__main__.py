@@ -2,7 +2,7 @@
 
     python -m qalens convert SRC_DIR DST_DIR [--files N | --buckets N] [--null-value NA]
     python -m qalens run DATA_DIR [--format parquet|csv.gz|csv] [--out DIR] [--out-format parquet|csv]
-                                  [--check] [--time N] [--null-value NA] [--buckets N]
+                                  [--check] [--time N] [--explain] [--null-value NA] [--buckets N]
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--out", default=None, help="write each result here (default: print)")
     r.add_argument("--out-format", default="parquet")
     r.add_argument("--check", action="store_true", help="cross-check DataFrame and SQL forms")
+    r.add_argument("--explain", action="store_true",
+                   help="print each analysis's physical plan instead of running it")
     r.add_argument("--time", type=int, default=0, metavar="N",
                    help="median seconds of N runs per analysis, DataFrame and SQL forms")
     r.add_argument("--null-value", default=None, help="CSV null marker, e.g. NA for R exports")
@@ -65,6 +67,12 @@ def main(argv: list[str] | None = None) -> int:
         tables = load_bucketed(spark)
     else:
         tables = load_tables(spark, args.data, args.format, csv_options=csv_options)
+    if args.explain:
+        from qalens.plans.inspect import plan_text
+
+        for name, df in run_analyses(tables).items():
+            print(f"== {name}\n{plan_text(df)}")
+        return 0
     if args.out:
         for name, path in write_analyses(tables, args.out, args.out_format).items():
             print(f"{name}\t{path}")

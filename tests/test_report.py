@@ -113,3 +113,12 @@ def test_cli_writes_csv_results(spark, site):
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(
         [(None, 2), ("2018", 1), ("2019", 2), ("2020", 1), ("2021", 1), ("2022", 1)], key=repr
     )
+
+
+def test_cli_explain(spark, site, capsys):
+    data = shared_dir(spark, "site-pq-explain")
+    for name, df in site.items():
+        write_parquet(df, f"{data}/{name}.parquet")
+    assert main(["run", data, "--explain"]) == 0
+    printed = capsys.readouterr().out
+    assert printed.count("== Physical Plan ==") == 5 and "TakeOrderedAndProject" in printed
