@@ -5,6 +5,8 @@ Inputs are the typed tables from :func:`qalens.sources.load_tables`.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,10 +102,17 @@ def top_questions_by_comment_score(
     )
 
 
-def covid_vote_counts(votes: DataFrame) -> DataFrame:
+def covid_vote_counts(
+    votes: DataFrame,
+    *,
+    periods: Mapping[str, Sequence[str]] = COVID_PERIODS,
+    default: str = COVID_DEFAULT_PERIOD,
+    vote_types: Sequence[int] = COVID_VOTE_TYPES,
+) -> DataFrame:
     """PostId, BeforeCOVIDVotes, DuringCOVIDVotes, AfterCOVIDVotes, Votes for
-    votes of the kept types; a vote without a valid date counts as 'before'."""
-    label = label_by_value(period_label("CreationDate", "yyyy"), COVID_PERIODS, COVID_DEFAULT_PERIOD)
+    votes of the kept types; a vote whose year is not listed in ``periods``
+    (or has no valid date) counts under ``default``."""
+    label = label_by_value(period_label("CreationDate", "yyyy"), periods, default)
     return period_counts(
         votes,
         "PostId",
@@ -111,17 +120,26 @@ def covid_vote_counts(votes: DataFrame) -> DataFrame:
         COVID_COLUMNS,
         entity_name="PostId",
         total_name="Votes",
-        where=F.col("VoteTypeId").isin(list(COVID_VOTE_TYPES)),
+        where=F.col("VoteTypeId").isin(list(vote_types)),
     )
 
 
-def top_posts_by_covid_votes(posts: DataFrame, votes: DataFrame, k: int = 20) -> DataFrame:
+def top_posts_by_covid_votes(
+    posts: DataFrame,
+    votes: DataFrame,
+    k: int = 20,
+    *,
+    periods: Mapping[str, Sequence[str]] = COVID_PERIODS,
+    default: str = COVID_DEFAULT_PERIOD,
+    vote_types: Sequence[int] = COVID_VOTE_TYPES,
+) -> DataFrame:
     """Q5. Title, Date, PostId, BeforeCOVIDVotes, DuringCOVIDVotes,
     AfterCOVIDVotes, Votes: titled posts with votes during 2019-2021, most such
-    votes first, then most votes, then PostId."""
+    votes first, then most votes, then PostId. ``periods`` maps 'after' and
+    'during' to their years; other years count as ``default`` ('before')."""
     return top_by_period_counts(
         posts,
-        covid_vote_counts(votes),
+        covid_vote_counts(votes, periods=periods, default=default, vote_types=vote_types),
         entity_key="Id",
         count_key="PostId",
         lead="DuringCOVIDVotes",

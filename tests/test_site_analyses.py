@@ -128,3 +128,11 @@ def test_q4_keep_ties(site):
     got = ordered(A.top_questions_by_comment_score(
         site["Comments"], site["Posts"], site["Users"], k=1, ties="keep"))
     assert got == [("Visa", 2, 100, 5, "ana", 500, "Oslo"), ("Rail", 1, 50, 5, "bo", 20, N)]
+
+
+def test_q5_custom_periods(site):
+    # 'during' = 2020 only, 'after' = 2021 onwards; other years are 'before'
+    got = ordered(A.top_posts_by_covid_votes(
+        site["Posts"], site["Votes"], periods={"after": ("2021", "2022", "2023"), "during": ("2020",)}))
+    assert [(r[0], r[3], r[4], r[5]) for r in got] == [
+        ("Visa", 2, 1, 0), ("Orphan", 1, 1, 1)]
