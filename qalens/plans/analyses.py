@@ -43,7 +43,12 @@ def posts_per_year(posts: DataFrame) -> DataFrame:
 
 
 def top_question_owners(
-    users: DataFrame, posts: DataFrame, k: int = 10, ties: str = "cut"
+    users: DataFrame,
+    posts: DataFrame,
+    k: int = 10,
+    ties: str = "cut",
+    *,
+    post_type: int = QUESTION_POST_TYPE,
 ) -> DataFrame:
     """Q2. Id, DisplayName, TotalViews: the users whose questions have the most
     views in total."""
@@ -54,7 +59,7 @@ def top_question_owners(
         fact_key="OwnerUserId",
         measure="ViewCount",
         dim_cols=["DisplayName"],
-        fact_filter=F.col("PostTypeId") == QUESTION_POST_TYPE,
+        fact_filter=F.col("PostTypeId") == post_type,
         measure_name="TotalViews",
         k=k,
         ties=ties,
@@ -80,7 +85,13 @@ def top_badge_per_year(
 
 
 def top_questions_by_comment_score(
-    comments: DataFrame, posts: DataFrame, users: DataFrame, k: int = 10, ties: str = "cut"
+    comments: DataFrame,
+    posts: DataFrame,
+    users: DataFrame,
+    k: int = 10,
+    ties: str = "cut",
+    *,
+    post_type: int = QUESTION_POST_TYPE,
 ) -> DataFrame:
     """Q4. Title, CommentCount, ViewCount, CommentsTotalScore, DisplayName,
     Reputation, Location: the questions whose comments score highest in total."""
@@ -95,7 +106,7 @@ def top_questions_by_comment_score(
         owner_key="Id",
         parent_cols=["Title", "CommentCount", "ViewCount"],
         owner_cols=["DisplayName", "Reputation", "Location"],
-        parent_filter=F.col("PostTypeId") == QUESTION_POST_TYPE,
+        parent_filter=F.col("PostTypeId") == post_type,
         score_name="CommentsTotalScore",
         k=k,
         ties=ties,

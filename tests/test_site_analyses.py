@@ -136,3 +136,11 @@ def test_q5_custom_periods(site):
         site["Posts"], site["Votes"], periods={"after": ("2021", "2022", "2023"), "during": ("2020",)}))
     assert [(r[0], r[3], r[4], r[5]) for r in got] == [
         ("Visa", 2, 1, 0), ("Orphan", 1, 1, 1)]
+
+
+def test_post_type_parameter(site):
+    # answers (type 2) instead of questions: post 3 (owner 10, comment score 9) and post 7
+    got = ordered(A.top_questions_by_comment_score(
+        site["Comments"], site["Posts"], site["Users"], post_type=2))
+    assert got == [(N, 3, N, 9, "ana", 500, "Oslo")]
+    assert ordered(A.top_question_owners(site["Users"], site["Posts"], post_type=5)) == [(13, "di", 7)]
