@@ -22,7 +22,8 @@ def spark():
 
     # QALENS_TEST_MASTER=local-cluster[2,2,2048] runs the suite on two executor JVMs
     master = os.environ.get("QALENS_TEST_MASTER", "local[4]")
-    s = get_session(master, app_name="qalens-tests", shuffle_partitions=8)
+    partitions = int(os.environ.get("QALENS_TEST_PARTITIONS", "8"))
+    s = get_session(master, app_name="qalens-tests", shuffle_partitions=partitions)
     yield s
     s.stop()
 
