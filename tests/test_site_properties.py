@@ -48,3 +48,48 @@ def test_dataframe_and_sql_forms_agree(spark, raw):
             and name in ("posts_per_year", "top_badge_per_year")  # unordered results
         ), name
     assert A.posts_per_year(tables["Posts"]).count() >= 1
+
+
+RANK_SQL = {
+    "q3_all": """
+        SELECT Year, Name, CAST(Count AS DOUBLE) / CAST(Total AS DOUBLE) AS MaxPercentage
+        FROM (SELECT Year, Name, Count, SUM(Count) OVER (PARTITION BY Year) AS Total,
+                     RANK() OVER (PARTITION BY Year ORDER BY Count DESC) AS rk
+              FROM (SELECT date_format(Date, 'yyyy') AS Year, Name, COUNT(*) AS Count
+                    FROM {Badges} WHERE Date IS NOT NULL GROUP BY 1, 2) c) r
+        WHERE rk = 1
+    """,
+    "q2_keep": """
+        SELECT Id, DisplayName, TotalViews FROM (
+          SELECT u.Id, u.DisplayName, q.TotalViews,
+                 RANK() OVER (ORDER BY q.TotalViews DESC NULLS LAST) AS rk
+          FROM {Users} u JOIN (SELECT OwnerUserId, SUM(ViewCount) AS TotalViews FROM {Posts}
+                              WHERE PostTypeId = 1 GROUP BY OwnerUserId) q ON u.Id = q.OwnerUserId) r
+        WHERE rk <= 2
+    """,
+    "q4_keep": """
+        SELECT Title, CommentCount, ViewCount, CommentsTotalScore, DisplayName, Reputation, Location
+        FROM (SELECT p.Title, p.CommentCount, p.ViewCount, s.CommentsTotalScore, u.DisplayName,
+                     u.Reputation, u.Location,
+                     RANK() OVER (ORDER BY s.CommentsTotalScore DESC NULLS LAST) AS rk
+              FROM (SELECT PostId, SUM(Score) AS CommentsTotalScore FROM {Comments} GROUP BY PostId) s
+              JOIN {Posts} p ON p.Id = s.PostId JOIN {Users} u ON p.OwnerUserId = u.Id
+              WHERE p.PostTypeId = 1) r
+        WHERE rk <= 2
+    """,
+}
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(raw=site())
+def test_tie_keeping_variants_equal_rank_sql(spark, raw):
+    tables = {n: apply_schema(spark.createDataFrame(rows, RAW_SCHEMAS[n]), n) for n, rows in raw.items()}
+    pairs = {
+        "q3_all": A.top_badge_per_year(tables["Badges"], ties="all"),
+        "q2_keep": A.top_question_owners(tables["Users"], tables["Posts"], k=2, ties="keep"),
+        "q4_keep": A.top_questions_by_comment_score(
+            tables["Comments"], tables["Posts"], tables["Users"], k=2, ties="keep"),
+    }
+    for key, frame in pairs.items():
+        sql = run_sql(spark, RANK_SQL[key], tables)
+        assert sorted(map(tuple, frame.collect()), key=repr) == sorted(map(tuple, sql.collect()), key=repr), key
