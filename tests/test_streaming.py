@@ -33,6 +33,10 @@ def test_stream_matches_batch_then_grows(spark):
     assert _rows(spark.read.parquet(out_q1)) == _rows(entry.queries()["year_count"](spark, SF_SMALL))
     assert _rows(spark.read.parquet(out_q3)) == _rows(entry.queries()["argmax_one"](spark, SF_SMALL))
 
+    # a restart with nothing new changes nothing: no file is counted twice
+    run()
+    assert _rows(spark.read.parquet(out_q1)) == _rows(entry.queries()["year_count"](spark, SF_SMALL))
+
     # a second file arrives: the restarted query adds it from its checkpoint, once
     shutil.copy(f"{SF_SMALL}/orders.parquet", os.path.join(inbox, "part-1.parquet"))
     run()
