@@ -3,6 +3,7 @@
     python -m qalens convert SRC_DIR DST_DIR [--files N | --buckets N] [--null-value NA]
     python -m qalens run DATA_DIR [--format parquet|csv.gz|csv] [--out DIR] [--out-format parquet|csv]
                                   [--check] [--time N] [--explain] [--null-value NA] [--buckets N]
+                                  [--path TABLE=PATH ...]
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--time", type=int, default=0, metavar="N",
                    help="median seconds of N runs per analysis, DataFrame and SQL forms")
     r.add_argument("--null-value", default=None, help="CSV null marker, e.g. NA for R exports")
+    r.add_argument("--path", action="append", default=[], metavar="TABLE=PATH",
+                   help="location of one table when not DATA_DIR/<Table>.<format> (repeatable)")
     r.add_argument("--buckets", type=int, default=0, metavar="N",
                    help="DATA_DIR holds tables written by 'convert --buckets N'")
     args = p.parse_args(argv)
@@ -66,7 +69,8 @@ def main(argv: list[str] | None = None) -> int:
         register_bucketed(spark, args.data, args.buckets)
         tables = load_bucketed(spark)
     else:
-        tables = load_tables(spark, args.data, args.format, csv_options=csv_options)
+        paths = dict(item.split("=", 1) for item in args.path)
+        tables = load_tables(spark, args.data, args.format, csv_options=csv_options, paths=paths)
     if args.explain:
         from qalens.plans.inspect import plan_text
 

@@ -122,3 +122,14 @@ def test_cli_explain(spark, site, capsys):
     assert main(["run", data, "--explain"]) == 0
     printed = capsys.readouterr().out
     assert printed.count("== Physical Plan ==") == 5 and "TakeOrderedAndProject" in printed
+
+
+def test_cli_table_paths(spark, site, capsys):
+    data = shared_dir(spark, "site-pq-paths")
+    for name, df in site.items():
+        write_parquet(df, f"{data}/{name.lower()}-export.parquet")
+    args = ["run", "/nonexistent", "--explain"]
+    for name in site:
+        args += ["--path", f"{name}={data}/{name.lower()}-export.parquet"]
+    assert main(args) == 0
+    assert capsys.readouterr().out.count("== Physical Plan ==") == 5
