@@ -1,6 +1,7 @@
 """Command line: convert a CSV dump once, then run (and cross-check) the analyses.
 
     python -m qalens convert SRC_DIR DST_DIR [--files N | --buckets N] [--null-value NA]
+                                             [--path TABLE=PATH ...]
     python -m qalens run DATA_DIR [--format parquet|csv.gz|csv] [--out DIR] [--out-format parquet|csv]
                                   [--check] [--time N] [--explain] [--null-value NA] [--buckets N]
                                   [--path TABLE=PATH ...]
@@ -25,6 +26,8 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--null-value", default=None, help="CSV null marker, e.g. NA for R exports")
     c.add_argument("--buckets", type=int, default=0, metavar="N",
                    help="write tables bucketed on their join keys into N buckets")
+    c.add_argument("--path", action="append", default=[], metavar="TABLE=PATH",
+                   help="location of one source table when not SRC_DIR/<Table>.<format>")
     r = sub.add_parser("run", help="run the five analyses")
     r.add_argument("data")
     r.add_argument("--format", default="parquet")
@@ -53,15 +56,16 @@ def main(argv: list[str] | None = None) -> int:
     )
 
     csv_options = {"nullValue": args.null_value} if args.null_value else None
+    paths = dict(item.split("=", 1) for item in args.path)
     if args.cmd == "convert" and args.buckets:
-        tables = load_tables(spark, args.src, args.format, csv_options=csv_options)
+        tables = load_tables(spark, args.src, args.format, csv_options=csv_options, paths=paths)
         for name, table in write_bucketed(spark, tables, args.dst, args.buckets).items():
             print(f"{name}\t{table}")
         return 0
     if args.cmd == "convert":
         for name, path in convert_to_parquet(
             spark, args.src, args.dst, fmt=args.format, files_per_table=args.files,
-            csv_options=csv_options,
+            csv_options=csv_options, paths=paths,
         ).items():
             print(f"{name}\t{path}")
         return 0
@@ -69,7 +73,6 @@ def main(argv: list[str] | None = None) -> int:
         register_bucketed(spark, args.data, args.buckets)
         tables = load_bucketed(spark)
     else:
-        paths = dict(item.split("=", 1) for item in args.path)
         tables = load_tables(spark, args.data, args.format, csv_options=csv_options, paths=paths)
     if args.explain:
         from qalens.plans.inspect import plan_text

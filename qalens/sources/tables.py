@@ -104,6 +104,7 @@ def convert_to_parquet(
     tables: Iterable[str] = tuple(TABLES),
     files_per_table: int | None = None,
     csv_options: dict[str, str] | None = None,
+    paths: dict[str, str] | None = None,
 ) -> dict[str, str]:
     """Convert the CSV exports once: parse and type them, spread each
     (unsplittable) gzip file over ``files_per_table`` Parquet files, and return
@@ -111,7 +112,7 @@ def convert_to_parquet(
     column pruning and filter pushdown."""
     out = {}
     for t in tables:
-        df = load_table(spark, src_dir, t, fmt, csv_options=csv_options)
+        df = load_table(spark, src_dir, t, fmt, csv_options=csv_options, path=(paths or {}).get(t))
         path = table_path(dst_dir, t, "parquet")
         write_parquet(df, path, files=files_per_table)
         out[t] = path
