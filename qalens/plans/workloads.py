@@ -312,17 +312,22 @@ def _orders_stream(spark, d):
     return read_stream(spark, f"{d.rstrip('/')}/orders.parque[t]", SUPPLIED_SCHEMAS["orders"])
 
 
+# The state is one row per period (and category): a few state partitions suffice.
+STREAM_STATE_PARTITIONS = 4
+
+
 def stream_year_count(spark, d):
     out = shared_dir(spark, "stream-year-count")
-    run_to_completion(start_count_by_period(_orders_stream(spark, d), "o_orderdate", out))
+    run_to_completion(start_count_by_period(
+        _orders_stream(spark, d), "o_orderdate", out, state_partitions=STREAM_STATE_PARTITIONS))
     return spark.read.schema("Year STRING, TotalNumber BIGINT").parquet(out)
 
 
 def stream_argmax_one(spark, d):
     out = shared_dir(spark, "stream-argmax-one")
-    run_to_completion(
-        start_top_category_per_period(_orders_stream(spark, d), "o_orderdate", "o_orderpriority", out)
-    )
+    run_to_completion(start_top_category_per_period(
+        _orders_stream(spark, d), "o_orderdate", "o_orderpriority", out,
+        state_partitions=STREAM_STATE_PARTITIONS))
     return spark.read.schema("Year STRING, Name STRING, MaxPercentage DOUBLE").parquet(out)
 
 

@@ -50,6 +50,7 @@ def start_counts(
     checkpoint: str | None = None,
     available_now: bool = True,
     processing_time: str = "1 minute",
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a query that counts ``source`` rows per ``keys`` and, after each
     micro-batch, writes ``derive(counts)`` (default: the counts) as Parquet to
@@ -57,6 +58,9 @@ def start_counts(
 
     ``available_now=True`` processes what is there and stops (scheduled
     catch-up runs); otherwise it triggers every ``processing_time``.
+    ``state_partitions`` sets how many state-store partitions the count state
+    gets (default: the session's shuffle partitions); the state holds one row
+    per group, so a few suffice however large the input.
 
     The published Parquet is replaced in place, which is not atomic: a reader
     running during a micro-batch may see it half written. Readers that run
@@ -80,7 +84,17 @@ def start_counts(
         if available_now
         else writer.trigger(processingTime=processing_time)
     )
-    return writer.start()
+    if state_partitions is None:
+        return writer.start()
+    # the state store's partition count is fixed by the shuffle partitions in force
+    # when the query first starts (and kept in its checkpoint afterwards)
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, previous)
 
 
 def start_count_by_period(

@@ -42,3 +42,10 @@ def test_stream_matches_batch_then_grows(spark):
     run()
     doubled = [(y, 2 * n) for y, n in _rows(entry.queries()["year_count"](spark, SF_SMALL))]
     assert _rows(spark.read.parquet(out_q1)) == doubled
+
+
+def test_state_partitions_option_restores_the_session(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    df = entry.queries()["stream_year_count"](spark, SF_SMALL)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert _rows(df) == _rows(entry.queries()["year_count"](spark, SF_SMALL))
