@@ -312,8 +312,9 @@ def _orders_stream(spark, d):
     return read_stream(spark, f"{d.rstrip('/')}/orders.parque[t]", SUPPLIED_SCHEMAS["orders"])
 
 
-# The state is one row per period (and category): a few state partitions suffice.
-STREAM_STATE_PARTITIONS = 4
+# The state is one row per period (and category), at most a few thousand rows whatever
+# the input size: two state partitions suffice.
+STREAM_STATE_PARTITIONS = 2
 
 
 def stream_year_count(spark, d):
