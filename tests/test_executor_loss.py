@@ -11,9 +11,10 @@ from conftest import ROOT, SF_MID
 def test_results_stay_exact_when_an_executor_is_killed():
     script = os.path.join(ROOT, "scripts", "executor_loss_check.py")
     out = subprocess.run(
-        [sys.executable, script, SF_MID, "2"], capture_output=True, text=True, timeout=600
+        [sys.executable, script, SF_MID, "3"], capture_output=True, text=True, timeout=600
     )
     report = json.loads(out.stdout.strip().splitlines()[-1])
     assert report["killed"] is not None, (report, out.stderr[-2000:])
     assert report["killed"] not in report["executors_after"]
+    assert report["killed_while_running"] and report["tasks_running_at_kill"] >= 1, report
     assert report["all_exact"], report
