@@ -76,6 +76,7 @@ def rollup_children(
     score_name: str = "total_score",
     k: int = 10,
     ties: str = "cut",
+    late: bool = True,
 ) -> DataFrame:
     """Sum child scores per parent, join the (filtered) parents and their owners,
     keep the top ``k`` parents by the sum, ties broken by ``parent_key``.
@@ -90,6 +91,10 @@ def rollup_children(
     The top-k runs per task and merges k rows; the parent and owner columns are
     then fetched for those k rows through broadcasts of the k rows, so the
     parent and owner tables are scanned (pruned) and probed but not shuffled.
+
+    ``late=False`` joins the parent and owner columns before the top-k instead:
+    fewer stages, so faster when both tables are small enough to be broadcast,
+    but at size their text columns would cross the shuffles.
     """
     names = [*parent_cols, score_name, *owner_cols]
     if len(set(names)) != len(names):
@@ -98,6 +103,23 @@ def rollup_children(
         F.sum(as_col(child_score)).alias(score_name)
     )
     parents = parent.filter(parent_filter) if parent_filter is not None else parent
+    if not late:
+        wide = scores.join(
+            parents.select(
+                F.col(parent_key).alias("__pkey"), F.col(parent_owner_key).alias("__powner"),
+                *parent_cols,
+            ),
+            F.col("__parent") == F.col("__pkey"),
+            "inner",
+        ).join(
+            owner.select(F.col(owner_key).alias("__okey"), *owner_cols),
+            F.col("__powner") == F.col("__okey"),
+            "inner",
+        )
+        ranked = _final_order(
+            top_k(wide, score_name, k, tiebreak=["__pkey"], ties=ties), score_name, "__pkey", k, ties
+        )
+        return ranked.select(*parent_cols, score_name, *owner_cols)
     links = parents.select(F.col(parent_key).alias("__pkey"), F.col(parent_owner_key).alias("__powner"))
     owner_keys = owner.select(F.col(owner_key).alias("__okey"))
     candidates = (

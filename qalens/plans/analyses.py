@@ -92,6 +92,7 @@ def top_questions_by_comment_score(
     ties: str = "cut",
     *,
     post_type: int = QUESTION_POST_TYPE,
+    late: bool = True,
 ) -> DataFrame:
     """Q4. Title, CommentCount, ViewCount, CommentsTotalScore, DisplayName,
     Reputation, Location: the questions whose comments score highest in total."""
@@ -110,6 +111,7 @@ def top_questions_by_comment_score(
         score_name="CommentsTotalScore",
         k=k,
         ties=ties,
+        late=late,
     )
 
 

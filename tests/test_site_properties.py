@@ -93,3 +93,13 @@ def test_tie_keeping_variants_equal_rank_sql(spark, raw):
     for key, frame in pairs.items():
         sql = run_sql(spark, RANK_SQL[key], tables)
         assert sorted(map(tuple, frame.collect()), key=repr) == sorted(map(tuple, sql.collect()), key=repr), key
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(raw=site(), ties=st.sampled_from(["cut", "keep"]), k=st.integers(1, 4))
+def test_q4_late_and_plain_plans_agree(spark, raw, ties, k):
+    tables = {n: apply_schema(spark.createDataFrame(rows, RAW_SCHEMAS[n]), n) for n, rows in raw.items()}
+    args = (tables["Comments"], tables["Posts"], tables["Users"])
+    late = A.top_questions_by_comment_score(*args, k=k, ties=ties)
+    plain = A.top_questions_by_comment_score(*args, k=k, ties=ties, late=False)
+    assert [tuple(r) for r in late.collect()] == [tuple(r) for r in plain.collect()]
