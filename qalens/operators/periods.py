@@ -50,6 +50,7 @@ def top_by_period_counts(
     min_lead: int = 0,
     k: int = 20,
     ties: str = "cut",
+    late: bool = True,
 ) -> DataFrame:
     """Join per-entity period counts to their entities, keep those with more than
     ``min_lead`` in the ``lead`` column, rank by ``lead`` then ``total`` (both
@@ -61,20 +62,28 @@ def top_by_period_counts(
     entity keys by a key-only semi-join and ranked; the ``entity_cols`` (e.g. a
     title) are fetched for the k winners only, through a broadcast of k rows.
     ``ties='keep'`` returns every entity whose ``rank()`` on ``lead`` alone is
-    at most ``k``.
+    at most ``k``. ``late=False`` joins the entity columns before ranking
+    (fewer stages; the columns then cross the join's shuffle at size).
     """
     if ties not in ("cut", "keep"):
         raise ValueError(f"ties must be 'cut' or 'keep', got {ties!r}")
     ents = entities.filter(entity_filter) if entity_filter is not None else entities
     keys = ents.select(F.col(entity_key).alias("__ekey"))
     cnts = counts.filter(F.col(lead) > F.lit(min_lead))
-    known = cnts.join(keys, cnts[count_key] == keys["__ekey"], "left_semi")
     order = [F.col(lead).desc_nulls_last(), F.col(total).desc_nulls_last(), F.col(count_key).asc()]
+    names = ents.select(*entity_cols).columns
+    if not late:
+        wide = ents.select(F.col(entity_key).alias("__ekey"), *entity_cols).join(
+            cnts, F.col("__ekey") == cnts[count_key], "inner"
+        ).select(*names, *counts.columns)
+        if ties == "keep":
+            return top_k(wide, lead, k, ties="keep").orderBy(*order)
+        return wide.orderBy(*order).limit(k)
+    known = cnts.join(keys, cnts[count_key] == keys["__ekey"], "left_semi")
     if ties == "keep":
         top = top_k(known, lead, k, ties="keep")
     else:
         top = known.orderBy(*order).limit(k)
-    names = ents.select(*entity_cols).columns
     full = attach_columns(
         top, count_key, ents, entity_key, entity_cols, bounded=broadcastable_top(k, ties)
     )

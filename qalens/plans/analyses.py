@@ -145,6 +145,7 @@ def top_posts_by_covid_votes(
     periods: Mapping[str, Sequence[str]] = COVID_PERIODS,
     default: str = COVID_DEFAULT_PERIOD,
     vote_types: Sequence[int] = COVID_VOTE_TYPES,
+    late: bool = True,
 ) -> DataFrame:
     """Q5. Title, Date, PostId, BeforeCOVIDVotes, DuringCOVIDVotes,
     AfterCOVIDVotes, Votes: titled posts with votes during 2019-2021, most such
@@ -160,4 +161,5 @@ def top_posts_by_covid_votes(
         entity_cols=[F.col("Title"), period_label("CreationDate", "yyyy-MM-dd").alias("Date")],
         entity_filter=not_blank("Title"),
         k=k,
+        late=late,
     )

@@ -103,3 +103,12 @@ def test_q4_late_and_plain_plans_agree(spark, raw, ties, k):
     late = A.top_questions_by_comment_score(*args, k=k, ties=ties)
     plain = A.top_questions_by_comment_score(*args, k=k, ties=ties, late=False)
     assert [tuple(r) for r in late.collect()] == [tuple(r) for r in plain.collect()]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(raw=site(), k=st.integers(1, 4))
+def test_q5_late_and_plain_plans_agree(spark, raw, k):
+    tables = {n: apply_schema(spark.createDataFrame(rows, RAW_SCHEMAS[n]), n) for n, rows in raw.items()}
+    late = A.top_posts_by_covid_votes(tables["Posts"], tables["Votes"], k=k)
+    plain = A.top_posts_by_covid_votes(tables["Posts"], tables["Votes"], k=k, late=False)
+    assert [tuple(r) for r in late.collect()] == [tuple(r) for r in plain.collect()]
