@@ -8,13 +8,21 @@ import sys
 from conftest import ROOT, SF_MID
 
 
-def test_results_stay_exact_when_an_executor_is_killed():
+def _run():
     script = os.path.join(ROOT, "scripts", "executor_loss_check.py")
     out = subprocess.run(
         [sys.executable, script, SF_MID, "3"], capture_output=True, text=True, timeout=600
     )
-    report = json.loads(out.stdout.strip().splitlines()[-1])
-    assert report["killed"] is not None, (report, out.stderr[-2000:])
-    assert report["killed"] not in report["executors_after"]
+    return json.loads(out.stdout.strip().splitlines()[-1])
+
+
+def test_results_stay_exact_when_an_executor_is_killed():
+    # tasks at this size last milliseconds; retry until the kill lands while one runs
+    for _ in range(3):
+        report = _run()
+        assert report["killed"] is not None, report
+        assert report["killed"] not in report["executors_after"]
+        assert report["all_exact"], report
+        if report["killed_while_running"] and report["tasks_running_at_kill"] >= 1:
+            break
     assert report["killed_while_running"] and report["tasks_running_at_kill"] >= 1, report
-    assert report["all_exact"], report
