@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from conftest import SF_MID, SF_SMALL
 from oracle_compare import compare, duck
 
-KEYS = sorted(entry.queries())
+KEYS = sorted({**entry.WORKLOADS, **entry.SITE_WORKLOADS})
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +20,7 @@ def con_mid():
 
 
 def test_every_key_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(KEYS) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)
