@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from qalens.llm.bpe import op7_bpe
 from qalens.llm.decontaminate import OP9_SQL, op9_benchmark_decontamination
+from qalens.llm.near_dedup import op5_near_duplicates
 from qalens.llm.quality import OP8_SQL, op8_quality_ledger
+from qalens.llm.substring_dedup import op3_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_substring_dedup": op3_substring_dedup,
+    "op5_near_duplicates": op5_near_duplicates,
+    "op7_bpe": op7_bpe,
     "op8_quality_ledger": op8_quality_ledger,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
