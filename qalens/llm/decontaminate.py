@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qalens.llm._shared import materialise
+from qalens.llm._shared import materialise, pack, unpack
 from qalens.llm._text import ALNUM_WORDS, LOWER_ASCII, cover, window_hashes, word_chunks
 
 N = 10
@@ -171,21 +171,20 @@ def find_contamination(
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, text: str = "text", n: int = N) -> DataFrame:
     """Documents without any benchmark window, columns as given."""
-    flagged = find_contamination(documents, benchmark, text, documents.columns, n)
-    return flagged.where(~F.col("contaminated")).select(*documents.columns)
+    flagged = find_contamination(pack(documents, text), benchmark, "_text", ("_row", "_text"), n)
+    return unpack(flagged.where(~F.col("contaminated")), documents.columns, text)
 
 
 def remove_spans(documents: DataFrame, benchmark: DataFrame, text: str = "text", n: int = N) -> DataFrame:
     """Every document with the words inside benchmark windows cut out of ``text`` (the bytes
     from a span's first word to its last one become one space), columns as given."""
-    found = find_contamination(documents, benchmark, text, documents.columns, n).select(*documents.columns, "spans")
-    schema = documents.schema
+    found = find_contamination(pack(documents, text), benchmark, "_text", ("_row", "_text"), n).select("_row", "_text", "spans")
+    schema = T.StructType([found.schema["_row"], found.schema["_text"]])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = dict(zip(batch.schema.names, batch.columns))
-            spans, texts = own["spans"].to_pylist(), own[text].to_pylist()
-            for chunk in word_chunks(own[text], ALNUM_WORDS, LOWER_ASCII):
+            spans, texts = batch.column(2).to_pylist(), batch.column(1).to_pylist()
+            for chunk in word_chunks(batch.column(1), ALNUM_WORDS, LOWER_ASCII):
                 for r in range(chunk.lo, chunk.hi):
                     if spans[r]:
                         raw, f, base = texts[r].encode(), chunk.first[r - chunk.lo], chunk.offsets[r - chunk.lo]
@@ -194,10 +193,9 @@ def remove_spans(documents: DataFrame, benchmark: DataFrame, text: str = "text",
                             kept.append(raw[at : chunk.start[f + x["start"]] - base])
                             at = int(chunk.end[f + x["stop"] - 1] - base)
                         texts[r] = b" ".join([*kept, raw[at:]]).decode()
-            own[text] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([own[c] for c in schema.names], schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["_row", "_text"])
 
-    return found.mapInArrow(cut, schema)
+    return unpack(found.mapInArrow(cut, schema), documents.columns, text)
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qalens.llm._shared import pack, unpack
+
 #: White space between words, and the characters counted as symbols.
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -125,6 +127,12 @@ def apply_policy(ledger: DataFrame, policy: str | Sequence[str] = "v2") -> DataF
     return ledger.withColumn("kept", F.col("fail_bits").bitwiseAND(F.lit(mask)) == 0)
 
 
+def keep_good(documents: DataFrame, text: str = "text", policy: str | Sequence[str] = "v2") -> DataFrame:
+    """The documents that fail no rule of the policy, columns as given."""
+    judged = apply_policy(measure(pack(documents, text), "_text", ("_row", "_text")), policy)
+    return unpack(judged.where("kept"), documents.columns, text)
+
+
 def ablation(ledger: DataFrame, policy: str | Sequence[str] = "v2") -> DataFrame:
     """Per rule of the policy: documents failing it, and documents only it rejects.
 

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qalens.llm._shared import materialise
+from qalens.llm._shared import materialise, pack, unpack
 
 #: The key a caller should replace; surrogates cannot be linked to entities without it.
 KEY = "qalens"
@@ -243,10 +243,10 @@ def _written(kind: Column, entity: Column, own: Column) -> Column:
 def replace_pii(documents: DataFrame, text: str = "text", key: str = KEY, count: str | None = None) -> DataFrame:
     """The documents with every entity replaced in ``text``; ``count`` names an added column
     with the number of replacements."""
-    found = documents.select(
-        F.struct("*").alias("_row"),
-        F.col(text).alias("_text"),
-        F.when(F.col(text).rlike(HINT), F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>")).alias("_entities"),
+    body = F.col("_text")
+    none = F.array().cast("array<string>")
+    found = pack(documents, text).select(
+        "_row", "_text", F.when(body.rlike(HINT), F.regexp_extract_all(body, F.lit(ANY), F.lit(0))).otherwise(none).alias("_entities")
     )
     have = found.where(F.size("_entities") > 0)
     # the same text has the same entities: texts are known by 128 bits of hash
@@ -272,8 +272,7 @@ def replace_pii(documents: DataFrame, text: str = "text", key: str = KEY, count:
         "_row", merged(F.split("_text", ANY, -1), F.col("_new")).alias("_text"), F.size("_new").cast("bigint").alias("_n")
     )
     same = found.where(F.size("_entities") == 0).select("_row", "_text", F.lit(0).cast("bigint").alias("_n"))
-    columns = [F.col("_text").alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in documents.columns]
-    return same.union(changed).select(*columns, *([F.col("_n").alias(count)] if count else []))
+    return unpack(same.union(changed), documents.columns, text, *([F.col("_n").alias(count)] if count else []))
 
 
 def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
