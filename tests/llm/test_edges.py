@@ -1,0 +1,335 @@
+"""Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
+
+import os
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+import brute  # noqa: E402
+from qalens.llm import bpe, decontaminate, licences, near_dedup, quality, substring_dedup, surrogates, token_counts, toxicity, warc  # noqa: E402
+from qalens.llm._components import connected_components  # noqa: E402
+from qalens.session import shared_dir  # noqa: E402
+
+LONG = " ".join(f"w{i % 7919}x{i % 13}" for i in range(60_000))
+PASSAGE = " ".join(f"p{i}" for i in range(60))
+TEXTS = [
+    None, "", " \n\t ", "one", "One", "a b c d", "A b\nc D", LONG, LONG, PASSAGE, f"q r {PASSAGE} s t", f"{PASSAGE} u", "x\x00y z",
+    "naïve café 日本語 \U0001f600", "hot word " * 400, "hot word " * 400,
+]
+SCHEMA = "doc_id long, text string, n_words long, spans string, _row int, kept int, ids string, signature int"
+
+
+def frame(spark, texts=TEXTS, ids=None):
+    ids = list(range(len(texts))) if ids is None else ids
+    return spark.createDataFrame([(i, t, 7, "s", 1, 2, "i", 3) for i, t in zip(ids, texts)], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return frame(spark)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return frame(spark, [])
+
+
+def test_words_and_hashes_equal_a_plain_split():
+    import numpy as np
+    import pyarrow as pa
+
+    from qalens.llm._text import LOWER_ASCII, SPACE_WORDS, window_hashes, word_chunks
+
+    texts = [t for t in TEXTS if t != LONG] + ["\x85\xa0", "a" * 500, " x", "y "]
+    column = pa.array(["skip", *texts]).slice(1)
+    seen, windows = {}, {}
+    for chunk in word_chunks(column, SPACE_WORDS, LOWER_ASCII, chunk_bytes=50):
+        word = chunk.hashes()
+        for r in range(chunk.lo, chunk.hi):
+            own = (texts[r] or "").encode().translate(brute.LOWER).split()
+            at = range(chunk.first[r - chunk.lo], chunk.first[r - chunk.lo + 1])
+            assert [chunk.data[chunk.start[w] : chunk.end[w]].tobytes() for w in at] == own
+            for w, k in zip(at, own):
+                assert seen.setdefault(k, word[w]) == word[w]
+        starts = chunk.window_starts(3)
+        for s, h in zip(starts, window_hashes(word, starts, 3)):
+            r = int(np.searchsorted(chunk.first, s, side="right")) - 1
+            own = (texts[chunk.lo + r] or "").encode().translate(brute.LOWER).split()
+            k = tuple(own[s - chunk.first[r] : s - chunk.first[r] + 3])
+            assert len(k) == 3 and windows.setdefault(k, h) == h
+    assert len(set(seen.values())) == len(seen) and len(set(windows.values())) == len(windows)
+
+
+def test_quality(spark, docs, none):
+    got = {r.doc_id: r for r in quality.apply_policy(quality.measure(docs)).collect()}
+    assert [got[i].n_words for i in range(6)] == [0, 0, 0, 1, 1, 4] and got[0].fail_bits & 1 and not got[0].kept
+    assert got[14].n_repeat_words == 800 and got[9].n_repeat_words == 0 and got[8].n_words == 60_000
+    assert quality.measure(none).count() == 0
+    good = quality.keep_good(docs)
+    assert good.columns == docs.columns and {r.doc_id for r in good.collect()} == {i for i, r in got.items() if r.kept}
+    report = {r.rule: r for r in quality.ablation(quality.measure(docs), "v2").collect()}
+    assert report["few_words"].failing == sum(r.n_words < 10 for r in got.values())
+    assert all(r.only_this_rule <= r.failing for r in report.values())
+    assert {r.rule for r in quality.ablation(quality.measure(none), "base").collect()} <= set(quality.BASE)
+
+
+def test_decontamination(spark, docs, none):
+    items = spark.createDataFrame(
+        [(1, " ".join(f"P{i}" for i in range(10, 25))), (2, "ONE"), (2, "One"), (3, None), (4, " - "), (None, "x y z")], "item_id long, text string"
+    )
+    got = {r.doc_id: r for r in decontaminate.find_contamination(docs, items).collect()}
+    assert (got[9].n_hit, got[9].items, [tuple(x) for x in got[9].spans]) == (15, ["1"], [(10, 25)])
+    assert (got[3].items, got[4].n_hit, got[0].n_words, got[0].contaminated) == (["2"], 1, 0, False)
+    assert got[12].contaminated and got[12].items == []
+    parts = {r.doc_id: r for r in decontaminate.find_contamination(docs, items, max_windows=2).collect()}
+    assert {i: (r.n_words, r.n_hit, r.items, r.spans) for i, r in parts.items()} == {i: (r.n_words, r.n_hit, r.items, r.spans) for i, r in got.items()}
+    kept = decontaminate.drop_contaminated(docs, items)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if not r.contaminated}
+    cut = {r.doc_id: r.text for r in decontaminate.remove_spans(docs, items).collect()}
+    assert cut[9] == " ".join([f"p{i}" for i in range(10)]) + "   " + " ".join(f"p{i}" for i in range(25, 60)) and cut[7] == LONG and cut[0] is None
+    assert decontaminate.find_contamination(none, items).count() == 0
+    assert not decontaminate.find_contamination(docs, items.limit(0)).where("contaminated").count()
+
+
+@pytest.mark.parametrize("group_suffixes", [1, 2, 20_000])
+def test_substring_dedup(spark, docs, none, group_suffixes):
+    rows = substring_dedup.remove_repeats(docs, group_suffixes=group_suffixes).collect()
+    got = {r.doc_id: (r.n_words, r.n_removed, brute.sha(r.kept_text.encode())) for r in rows}
+    assert got == dict(enumerate(brute.substring_dedup(TEXTS)))
+    assert substring_dedup.remove_repeats(none).count() == 0
+
+
+@pytest.mark.parametrize("length, seed", [(3, 2), (4, 1), (5, 5), (9, 3)])
+def test_substring_dedup_of_other_lengths(spark, length, seed):
+    import random
+
+    rnd = random.Random(length)
+    texts = [" ".join(rnd.choices("abc", k=rnd.randint(0, 40))) for _ in range(40)]
+    for group_suffixes in (3, 20_000):
+        rows = substring_dedup.remove_repeats(frame(spark, texts), length=length, seed=seed, group_suffixes=group_suffixes).collect()
+        assert {r.doc_id: (r.n_words, r.n_removed, brute.sha(r.kept_text.encode())) for r in rows} == dict(enumerate(brute.substring_dedup(texts, length)))
+
+
+def test_substring_dedup_with_null_and_repeated_ids(spark):
+    rows = substring_dedup.remove_repeats(frame(spark, [PASSAGE, PASSAGE, PASSAGE + " z", "k"], [None, 5, 5, 5])).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed) for r in rows) == [("5", 1, 0), ("5", 60, 60), ("5", 61, 60), ("None", 60, 60)]
+
+
+def test_near_duplicates(spark, docs, none):
+    got = {r.doc_id: r for r in near_dedup.near_duplicates(docs).collect()}
+    want = brute.near_duplicates(list(enumerate(TEXTS)))
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == want
+    assert near_dedup.near_duplicates(none).count() == 0
+    kept = near_dedup.keep_one_of_each(docs)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, (_, c) in want.items() if i == c}
+    odd = near_dedup.near_duplicates(frame(spark, ["a b", "a b", "c", "c"], [None, 4, 4, 9])).collect()
+    assert sorted((str(r.doc_id), r.component_id, r.kept) for r in odd) == [("4", 4, True), ("4", 4, True), ("9", 4, False), ("None", None, True)]
+
+
+def test_near_duplicates_in_a_dense_region(spark):
+    import random
+
+    rnd = random.Random(3)
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for _ in range(300):
+        own = list(base)
+        for _ in range(rnd.randint(0, 12)):
+            own[rnd.randrange(300)] = f"v{rnd.randrange(10**6)}"
+        texts.append(" ".join(own))
+    want = brute.near_duplicates(list(enumerate(texts)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(frame(spark, texts)).collect()}
+    assert got == want
+
+
+def test_connected_components(spark):
+    links = [(i, i + 1) for i in range(100, 160)] + [(7, 3), (3, 7), (5, 5), (9, 200), (200, 130), (None, 4)]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {3: 3, 7: 3, 9: 9, 200: 9, **{i: 9 for i in range(100, 161)}}
+
+
+def test_token_counts(spark, docs, none):
+    import public_tokenizers
+
+    args = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    lengths = token_counts.token_lengths(docs, *args)
+    sizes = {r.doc_id: r.n_tokens for r in lengths.collect()}
+    assert sizes[0] == sizes[1] == 0 and sizes[3] == 1 and sizes[7] == sizes[8] > 60_000
+    sums = token_counts.suffix_sums(token_counts.length_histogram(lengths))
+    for r in token_counts.truncated_totals(sums, [0, 1, 5, 10**9]).collect():
+        assert r.total_tokens == sum(min(s, r.limit) for s in sizes.values()) and r.docs_cut == sum(s > r.limit for s in sizes.values())
+    ordered = sorted(sizes.values())
+    for r in token_counts.quantiles(sums, [0.1, 0.5, 1.0]).collect():
+        assert r.n_tokens == next(s for k, s in enumerate(ordered, 1) if k >= r.share * len(ordered) and ordered.count(s) and sum(x <= s for x in ordered) >= r.share * len(ordered))
+    assert token_counts.suffix_sums(token_counts.length_histogram(token_counts.token_lengths(none, *args))).count() == 0
+    by_group = token_counts.length_histogram(token_counts.token_lengths(docs, *args, keep_columns=("doc_id", "kept")), ("kept",))
+    assert token_counts.suffix_sums(by_group, ("kept",)).drop("kept").exceptAll(sums).count() == 0
+
+
+def test_licences(spark, none):
+    mit = licences.TEMPLATES["mit text"]
+    texts = [None, "", "Released under the MIT license!", f"some prose\n{mit.upper()}\nmore", "mit", mit, "word " * 30]
+    got = {r.doc_id: r for r in licences.scan_licences(frame(spark, texts)).collect()}
+    assert [got[i].licence for i in range(7)] == [None, None, "mit line", "mit text", None, "mit text", None]
+    assert (got[2].line, got[3].line, got[3].dice, got[5].line) == (-1, 1, 1.0, -1)
+    assert licences.scan_licences(none).count() == 0
+    tie = licences.scan_licences(frame(spark, ["a b c"]), {"z": "a b c", "y": "A b C"}).first()
+    assert (tie.licence, len(tie.matches)) == ("y", 2)
+
+
+def test_bpe(spark, docs, none):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    for r in bpe.decode(bpe.encode(docs, path), path).collect():
+        ids = tokenizer.encode(TEXTS[r.doc_id] or "", add_special_tokens=False).ids
+        assert (r.ids, r.n_tokens) == (" ".join(map(str, ids)), len(ids)) and r.decoded == tokenizer.decode(ids, skip_special_tokens=False)
+    assert bpe.decode(bpe.encode(none, path), path).count() == 0
+
+
+def test_bpe_on_odd_texts():
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, encoder = Tokenizer.from_file(path), bpe._encoder(bpe._tokenizer_json(path))
+    rnd = random.Random(5)
+    letters = "aabbcdeetthhiinnoo   \n'sstreve1239ÄßéÈñ日本ЖσΣİıﬁ \u0085\x1c\x1f​　é!!..,?-_#<|>\U0001f600"
+    texts = ["".join(rnd.choices(letters, k=rnd.randint(0, 60))) for _ in range(1500)]
+    texts += ["".join(chr(rnd.randrange(1, 0x3000)) for _ in range(40)) for _ in range(300)]
+    texts += ["<|endoftext|>", "x<|startoftext|>y <|endoftext|><|endoftext|", "'s'st'll we've I'M", "a" * 300]
+    assert encoder.encode(texts) == [" ".join(map(str, tokenizer.encode(t, add_special_tokens=False).ids)) for t in texts]
+
+
+def test_surrogates(spark, none):
+    texts = [
+        None, "", "no entity here", "Mail ann.lee@corp.example or Ann.Lee@corp.example.", "call +1 (743) 555-3824 or +17435553824 now",
+        "card 4111 1111 1111 1111, also 4111111111111111", "ip 10.0.0.1 not 1.2.3.4.5 nor 300.1.1.1", 'token = "1eb9c654e721b4f812088970e66a6345cee33dd6"',
+        "Mrs Jane Doe met Mr. John Roe; Mr John Roe left", "Господин Иван Петров", "password=hunter22!", "a@b.co" + " x" * 50_000,
+    ]
+    got = {r.doc_id: r for r in surrogates.replace_pii(frame(spark, texts), count="n").collect()}
+    assert got[0].text is None and got[1].text == "" and got[2].text == texts[2] and [got[i].n for i in (2, 3, 4, 5, 6)] == [0, 2, 2, 2, 1]
+    a, b = got[3].text.split()[1], got[3].text.split()[3][:-1]
+    assert a == b != "ann.lee@corp.example" and a.endswith(".example.org")
+    x, y = got[4].text[5:22], got[4].text[26:38]
+    assert x.startswith("+1 (") and "".join(c for c in x if c.isdigit()) == y[1:] != "17435553824"
+    p, q = got[5].text[5:24], got[5].text[-16:]
+    assert p.replace(" ", "") == q and q[0] == "4" and sum(sum(divmod(int(c) * (1 + (i + 1) % 2), 10)) for i, c in enumerate(q)) % 10 == 0
+    assert "1.2.3.4.5" in got[6].text and "300.1.1.1" in got[6].text and "10.0.0.1" not in got[6].text
+    assert got[7].text.startswith('token = "') and len(got[7].text) == len(texts[7]) and got[7].text != texts[7]
+    jane, john, again = got[8].text.split(" met ")[0], *got[8].text.split(" met ")[1].split("; ")
+    assert jane.split()[1] in surrogates.FIRST["latin f"] and john.split()[1] in surrogates.FIRST["latin m"] and john.split()[1:] == again.split()[1:3]
+    assert got[9].text.split()[1] in surrogates.FIRST["cyrillic m"] and got[10].text.startswith("password=") and "hunter22" not in got[10].text
+    assert surrogates.replace_pii(none).count() == 0 and surrogates.replace_pii(none).columns == none.columns
+    again = {r.doc_id: r.text for r in surrogates.replace_pii(frame(spark, texts)).collect()}
+    assert again == {i: r.text for i, r in got.items()}
+    other = {r.doc_id: r.text for r in surrogates.replace_pii(frame(spark, texts), key="another").collect()}
+    assert other[3] != again[3]
+
+
+def test_surrogates_stay_distinct_in_a_small_space(spark):
+    ips = [f"{a}.{b}.7.9" for a in range(1, 60) for b in range(60)]
+    entities = spark.createDataFrame([("ip", x) for x in ips] + [("ssn", f"9{i:08d}") for i in range(2000)], "kind string, canonical string")
+    got = surrogates.assign_surrogates(entities).collect()
+    assert len(got) == len({(r.kind, r.canonical) for r in got}) == len({(r.kind, r.surrogate) for r in got}) == len(ips) + 2000
+    assert not {(r.kind, r.surrogate) for r in got} & {(r.kind, r.canonical) for r in got}
+    short = spark.createDataFrame([("other", f"{i}") for i in range(10)], "kind string, canonical string")
+    with pytest.raises(ValueError, match="used up"):
+        surrogates.assign_surrogates(short, max_attempts=3)
+
+
+def test_toxicity(spark, none):
+    texts = [f"plain word{i} text" for i in range(60)] + [f"you idiot word{i}" for i in range(40)] + [None, "", "An IDIOT!"]
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(i, int(60 <= i < 100)) for i in range(100)] + [(1, 0), (2, None), (None, 1)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    assert len(got) == 103 and all(got[i].predicted == int(60 <= i < 100 or i == 102) for i in got)
+    assert set(got[102].evidence) <= set(range(60, 100)) and len(got[102].evidence) == 5
+    assert toxicity.score(none, toxicity.fit(docs, labels)).count() == 0
+    one_class = toxicity.fit(docs, labels.where("toxic = 0"))
+    assert {r.score for r in toxicity.score(docs, one_class).collect()} == {0.0}
+    assert {r.score for r in toxicity.score(docs, toxicity.fit(docs, labels.limit(0))).collect()} == {0.5}
+    few = toxicity.fit(docs, labels, most=20)
+    assert len(few.ids) <= 40 and few.weights.max() > 1
+
+
+def test_block_max_index_finds_the_exact_nearest():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    vectors = []
+    for _ in range(500):
+        terms = np.sort(rng.choice(40, rng.integers(1, 8), replace=False))
+        weights = rng.integers(1, 4, len(terms)).astype(float)  # many ties
+        vectors.append((terms, weights / np.sqrt(weights @ weights)))
+    index = toxicity.BlockMaxIndex(40, vectors)
+    dense = np.zeros((500, 40))
+    for i, (t, w) in enumerate(vectors):
+        dense[i, t] = w
+    for i, (t, w) in enumerate(vectors[:80]):
+        s = np.round(dense @ dense[i], 12)
+        s[i] = 0
+        want = sorted(((x, j) for j, x in enumerate(s) if x > 0), key=lambda x: (-x[0], x[1]))[:15]
+        got = index.nearest(t, w, 15, without=i)
+        assert [j for _, j in got] == [j for _, j in want] and np.allclose([x for x, _ in got], [x for x, _ in want])
+
+
+PAGES = [
+    (1, "http://a/1", "x" * 1000), (2, None, "x" * 1000), (3, "http://a/\r\nX: 3", "x" * 1000), (4, "u4", "x" * 999), (5, "u5", "x" * 999),
+    (6, "u6", None), (7, "u7", ""), (8, "u8", "café " * 3000), (None, "u9", "x" * 1000), (3, "u3", "x" * 1000), (10, "u10", "\r\n\r\n" + "y" * 50_000),
+]
+
+
+def pages(spark, rows=PAGES):
+    return spark.createDataFrame([(*r, 1, "k") for r in rows], "page_id long, url string, html string, shard int, kind string")
+
+
+def test_warc(spark):
+    path = shared_dir(spark, "warc-test")
+    files = warc.write_warc(pages(spark), path, shard_bytes=30_000, file_bytes=400).collect()
+    assert len(files) > 2 and sum(f.records for f in files) == len(PAGES) and len({f.name for f in files}) == len(files)
+    got = warc.read_warc(spark, path).collect()
+    html = {r[0]: r[2] or "" for r in PAGES}
+    assert sorted(str(r.page_id) for r in got) == sorted(str(r[0]) for r in PAGES)
+    for r in got:
+        assert r.record_type == ("revisit" if r.page_id in (1, 2) else "response") and r.refers_to == (3 if r.page_id in (1, 2) else None)
+        assert r.payload_bytes == len(html[r.page_id].encode()) and (r.payload is None or r.payload.decode() == html[r.page_id])
+    again = warc.write_warc(pages(spark).repartition(7), shared_dir(spark, "warc-test"), shard_bytes=30_000, file_bytes=400).collect()
+    strip = lambda rows: sorted((f.shard, f.file, f.records, f.bytes, f.sha1) for f in rows)
+    assert strip(again) == strip(files)
+
+
+def test_warc_of_nothing_and_damaged(spark):
+    path = shared_dir(spark, "warc-test")
+    assert warc.write_warc(pages(spark, []), path).count() == 0 and warc.read_warc(spark, path).count() == 0
+    path = shared_dir(spark, "warc-test")
+    name = warc.write_warc(pages(spark), path).first().name
+    data = open(name, "rb").read()
+    with open(name, "wb") as f:
+        f.write(data[: len(data) // 2])
+    with pytest.raises(Exception, match="ends within|match"):
+        warc.read_warc(spark, path).collect()
+
+
+def test_pipeline_stages_keep_the_columns(spark):
+    import corpus_pipeline
+
+    texts = [" ".join(f"a{i}b{k}" for i in range(40)) for k in range(4)] + [None, "", "too short"]
+    docs = frame(spark, [*texts, texts[0]])
+    stages = dict(corpus_pipeline.STAGES)
+    sf = "/root/testdata/sf0.001"
+    for name in list(stages)[:-1]:
+        docs = stages[name](spark, docs, sf)
+        assert docs.columns == frame(spark, []).columns
+    assert {r.doc_id for r in docs.select(F.col("doc_id")).collect()} == {0, 1, 2, 3}
+    assert stages["encoding"](spark, docs, sf).count() == 4
+    empty = frame(spark, [])
+    for name in stages:
+        assert stages[name](spark, empty, sf).count() == 0
