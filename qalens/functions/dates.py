@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from qalens._columns import as_col
@@ -14,11 +16,12 @@ GRAINS = {
     "day": "yyyy-MM-dd",
 }
 
-# Timestamp text layouts found in the site's CSV exports
-# ('2019-03-01T08:00:00.000'), also without the fraction, with a space for the
-# 'T', or as a bare date.
-SOURCE_TIMESTAMP_FORMATS = ("yyyy-MM-dd[['T'HH:mm:ss[.SSS]][ HH:mm:ss[.SSS]]]",)
-SOURCE_TIMESTAMP_REGEX = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}:[0-5][0-9](\.[0-9]{3})?)?$"
+# Timestamp text layouts accepted from exports. A date, alone or followed by
+# 'T' or a space and hours and minutes, with optional seconds, 1 to 9 fraction digits
+# (microseconds are kept) and a trailing 'Z'.
+SOURCE_TIMESTAMP_REGEX = (
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-5][0-9](\.[0-9]{1,9})?)?Z?)?$"
+)
 
 
 def _field(text: Column, pos: int, length: int, default: int | None = None) -> Column:
@@ -26,54 +29,60 @@ def _field(text: Column, pos: int, length: int, default: int | None = None) -> C
     return part if default is None else F.coalesce(part, F.lit(default))
 
 
-_UTC_ZONES = {"UTC", "GMT", "Z", "ETC/UTC", "ETC/GMT", "+00:00", "UCT", "UNIVERSAL", "ZULU"}
-
-
-def _session_zone_is_utc() -> bool:
-    spark = SparkSession.getActiveSession()
-    if spark is None:
-        return False
-    return spark.conf.get("spark.sql.session.timeZone", "").upper() in _UTC_ZONES
-
-
-def _parse_with_patterns(text: Column, formats) -> Column:
-    attempts = [F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats]
-    parsed = attempts[0] if len(attempts) == 1 else F.coalesce(*attempts)
-    return parsed.cast("timestamp_ntz")
-
-
-def _parse_by_fields(text: Column) -> Column:
-    seconds = F.coalesce(
-        F.substring(text, 18, 6).try_cast("decimal(9,3)"), F.lit(0).cast("decimal(9,3)")
-    )
-    built = F.try_make_timestamp_ntz(
-        _field(text, 1, 4), _field(text, 6, 2), _field(text, 9, 2),
-        _field(text, 12, 2, 0), _field(text, 15, 2, 0), seconds,
-    )
-    return F.when(text.rlike(SOURCE_TIMESTAMP_REGEX), built)
-
-
 def parse_timestamp(
     c: str | Column, formats: tuple[str, ...] | list[str] | None = None
 ) -> Column:
     """Text to ``timestamp_ntz``; anything else becomes NULL, never an error.
 
-    Default: the site layouts (:data:`SOURCE_TIMESTAMP_FORMATS`) as wall-clock
-    time. Impossible dates (2019-02-29, month 13) and partial text such as
-    '2011' are NULL (a plain cast would read '2011' as 2011-01-01). In a UTC
-    session the pattern parser is used directly; in any other session zone the
-    fields are read one by one into ``try_make_timestamp_ntz``, so a time that
-    falls into a daylight-saving gap of that zone is kept as written.
+    Default: the layouts of :data:`SOURCE_TIMESTAMP_REGEX`, as wall-clock time. The fields
+    are read one by one into ``try_make_timestamp_ntz``, so the answer does not depend on
+    the session time zone (a time in a daylight-saving gap is kept as written). Impossible
+    dates (2019-02-29, month 13) and partial text such as '2011' are NULL (a plain cast
+    would read '2011' as 2011-01-01).
 
     ``formats``: Spark datetime patterns tried in order; these parse in the
     session time zone and are then taken as wall-clock time.
     """
     text = as_col(c)
     if formats:
-        return _parse_with_patterns(text, formats)
-    if _session_zone_is_utc():
-        return _parse_with_patterns(text, SOURCE_TIMESTAMP_FORMATS)
-    return _parse_by_fields(text)
+        attempts = [F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats]
+        return (attempts[0] if len(attempts) == 1 else F.coalesce(*attempts)).cast("timestamp_ntz")
+    # 'SS.ffffff'; the digits after microseconds, and 'Z', are cut off
+    seconds = F.regexp_replace(F.substring(text, 18, 9), "Z", "").try_cast("decimal(8,6)")
+    built = F.try_make_timestamp_ntz(
+        _field(text, 1, 4), _field(text, 6, 2), _field(text, 9, 2),
+        _field(text, 12, 2, 0), _field(text, 15, 2, 0),
+        F.coalesce(seconds, F.lit(0).cast("decimal(8,6)")),
+    )
+    return F.when(text.rlike(SOURCE_TIMESTAMP_REGEX), built)
+
+
+# Units by which a grain's groups are formed before they are labelled.
+_TRUNC = {"yyyy": "year", "yyyy-MM": "month", "yyyy-MM-dd": "day"}
+
+
+def period_start(c: str | Column, grain: str = "yyyy") -> Column | None:
+    """The first day of a time's period, as a date; None for a grain that is not one of
+    :data:`GRAINS`. Grouping on it and labelling the few groups afterwards
+    (``period_label`` of the date is that of the time) spares a text per row."""
+    unit = _TRUNC.get(GRAINS.get(grain, grain))
+    if unit is None:
+        return None
+    day = as_col(c).cast("date")
+    return day if unit == "day" else F.trunc(day, unit)
+
+
+def in_years(c: str | Column, years: Sequence[str | int]) -> Column:
+    """Whether a time lies in one of the calendar years, as ranges of the time itself
+    (consecutive years are one range), so that nothing is formatted per row. NULL: false."""
+    wanted = sorted({int(y) for y in years})
+    first = [y for y in wanted if y - 1 not in wanted]
+    last = [y for y in wanted if y + 1 not in wanted]
+    ts, out = as_col(c), F.lit(False)
+    for lo, hi in zip(first, last):
+        begin, end = (F.lit(f"{y:04d}-01-01 00:00:00").cast("timestamp_ntz") for y in (lo, hi + 1))
+        out = out | ((ts >= begin) & (ts < end))
+    return F.coalesce(out, F.lit(False))
 
 
 def period_label(c: str | Column, grain: str = "yyyy") -> Column:

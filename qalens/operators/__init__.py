@@ -10,7 +10,7 @@ from qalens.operators.category import (
 )
 from qalens.operators.compare import rows_only_in, schema_diff, table_diff, union_tagged
 from qalens.operators.joins import join_on, join_row_count, key_condition
-from qalens.operators.periods import full_outer_merge, period_counts, top_by_period_counts
+from qalens.operators.periods import counts_by_condition, full_outer_merge, period_counts, top_by_period_counts
 from qalens.operators.rollup import rollup_children, top_by_rollup
 from qalens.operators.topk import top_k
 
@@ -18,6 +18,7 @@ __all__ = [
     "attach_columns",
     "count_by_key",
     "count_by_period",
+    "counts_by_condition",
     "full_outer_merge",
     "join_on",
     "join_row_count",

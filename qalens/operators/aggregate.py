@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qalens.functions.dates import period_label
+from qalens.functions.dates import period_label, period_start
 from qalens.operators._util import as_col
 
 
@@ -21,11 +21,14 @@ def count_by_period(
     NULL period, as in SQL ``GROUP BY``; every row is counted.
 
     Partial aggregation runs before the shuffle, so each task sends one row per
-    period it saw: a period holding a third of all rows costs nothing extra.
+    period it saw: a period holding a third of all rows costs nothing extra. Groups are
+    formed on the period's first day and labelled afterwards, once per period.
     """
-    return df.groupBy(period_label(ts, grain).alias(period_name)).agg(
-        F.count(F.lit(1)).alias(count_name)
-    )
+    start = period_start(ts, grain)
+    if start is None:  # a pattern of the caller's: the label is the group
+        return df.groupBy(period_label(ts, grain).alias(period_name)).agg(F.count(F.lit(1)).alias(count_name))
+    counts = df.groupBy(start.alias("__start")).agg(F.count(F.lit(1)).alias(count_name))
+    return counts.select(period_label("__start", grain).alias(period_name), count_name)
 
 
 def count_by_key(
@@ -36,10 +39,10 @@ def count_by_key(
     count_name: str = "n",
     nonnull_name: str | None = None,
     where: Column | None = None,
-    min_count: int | None = None,
+    more_than: int | None = None,
 ) -> DataFrame:
     """Rows per key (NULL keys form one group); optionally the count of non-NULL
-    key values (``count(col)``) and a HAVING-style lower bound (``count > min_count``)."""
+    key values (``count(col)``) and a HAVING-style lower bound (``count > more_than``)."""
     src = df.filter(where) if where is not None else df
     key_col = as_col(key)
     name = key_name or (key if isinstance(key, str) else None)
@@ -48,8 +51,8 @@ def count_by_key(
     if nonnull_name:
         aggs.append(F.count(key_col).alias(nonnull_name))
     out = src.groupBy(grouped).agg(*aggs)
-    if min_count is not None:
-        out = out.filter(F.col(count_name) > F.lit(min_count))
+    if more_than is not None:
+        out = out.filter(F.col(count_name) > F.lit(more_than))
     return out
 
 

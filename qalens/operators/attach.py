@@ -7,16 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest top-k whose rows are broadcast by plan. A few descriptive columns of
-# this many rows stay far below the default 10 MB broadcast threshold; beyond
-# it the attaching join is left to AQE's measured choice.
-BROADCAST_MAX_ROWS = 10_000
-
-
-def broadcastable_top(k: int, ties: str) -> bool:
-    """True when a top-k result is bounded (cut ties) and small enough to broadcast."""
-    return ties == "cut" and k <= BROADCAST_MAX_ROWS
-
 
 def attach_columns(
     rows: DataFrame,
@@ -29,9 +19,9 @@ def attach_columns(
 ) -> DataFrame:
     """Inner-join ``rows`` to ``dim`` on ``key = dim_key`` and add ``cols`` of ``dim``.
 
-    ``bounded=True`` promises ``rows`` holds at most k rows (a cut top-k): it is
-    then broadcast, and ``dim`` is only scanned (pruned to ``cols``) and probed,
-    never shuffled. Otherwise AQE picks the join from measured sizes.
+    ``bounded=True`` promises that ``rows`` are the k rows of a cut top-k and hold keys and
+    measures only: they are then broadcast, and ``dim`` is only scanned (pruned to ``cols``)
+    and probed, never shuffled. Otherwise AQE picks the join from measured sizes.
     """
     d = dim.select(F.col(dim_key).alias("__attach_key"), *cols)
     side = F.broadcast(rows) if bounded else rows

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qalens.functions.dates import GRAINS, period_label
+from qalens.functions.dates import GRAINS, period_label, period_start
 from qalens.operators._util import as_col, conf_bytes, ratio
 
 METHODS = ("aggregate", "window")
@@ -41,14 +41,15 @@ def period_category_counts(
     """Rows per (period, category). Rows without a time are left out (an inner
     join on the period drops them in the SQL form); NULL categories are kept and
     count towards their period's total."""
-    return (
-        df.filter(as_col(ts).isNotNull())
-        .groupBy(
-            period_label(ts, grain).alias(period_name),
-            as_col(category).alias(category_name),
-        )
-        .agg(F.count(F.lit(1)).alias(count_name))
+    start = period_start(ts, grain)
+    known = df.filter(as_col(ts).isNotNull())
+    if start is None:  # a pattern of the caller's: the label is the group
+        label = period_label(ts, grain).alias(period_name)
+        return known.groupBy(label, as_col(category).alias(category_name)).agg(F.count(F.lit(1)).alias(count_name))
+    counts = known.groupBy(start.alias("__start"), as_col(category).alias(category_name)).agg(
+        F.count(F.lit(1)).alias(count_name)
     )
+    return counts.select(period_label("__start", grain).alias(period_name), category_name, count_name)
 
 
 def share_of_period(

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StringType, StructType
 
 
 def union_tagged(frames: Mapping[str, DataFrame], tag_name: str = "source") -> DataFrame:
@@ -35,11 +36,36 @@ def schema_diff(a: StructType, b: StructType) -> list[str]:
     return out
 
 
+def _comparable(df: DataFrame, name: str, own: DataType, other: DataType, common: DataType | None) -> list[Column]:
+    """A column as ``(value, text)``: the value at the type both sides can hold without loss,
+    or the text of a value that cannot be converted to it (then ``value`` is NULL)."""
+    none = F.lit(None).cast("string")
+    if own == other:
+        return [F.col(name), none]
+    if isinstance(own, StringType):  # the other side's type decides; other text stays text
+        value = F.col(name).try_cast(other)
+        return [value, F.when(value.isNull(), F.col(name))]
+    if isinstance(other, StringType):
+        return [F.col(name), none]
+    if common is None:  # no common type: equal only as text
+        return [F.col(name).cast("string"), none]
+    return [F.col(name).cast(common), none]
+
+
+def _common_type(left: DataFrame, right: DataFrame, name: str) -> DataType | None:
+    """The type an append of both columns would have: the wider one."""
+    try:
+        return left.select(name).union(right.select(name)).schema[name].dataType
+    except AnalysisException:
+        return None
+
+
 def table_diff(
     left: DataFrame,
     right: DataFrame,
     columns: Sequence[str] | None = None,
     *,
+    keys: Sequence[str] | None = None,
     lenient_types: bool = True,
     left_name: str = "n_left",
     right_name: str = "n_right",
@@ -48,27 +74,56 @@ def table_diff(
     differs between the tables, with both counts. Empty result = equal as
     multisets (``EXCEPT ALL`` both ways is empty).
 
-    Rows are compared on ``columns`` (default: the left's columns). With
-    ``lenient_types`` the right side is cast to the left's types by name.
-    NULLs compare equal, as in ``EXCEPT``. One shuffle with partial
-    aggregation: a row repeated a billion times travels as one count per task.
+    Rows are compared on ``columns``; without it the tables must have the same columns, in
+    any order (ValueError otherwise). With ``lenient_types`` columns of different types are
+    compared at the wider one (1 equals 1.0, not 1.5), text with another type by its value
+    (text that has none differs from everything of that type, and shows as NULL in the
+    result); without it types must agree. NULLs compare equal, as in ``EXCEPT``.
+
+    ``keys``: one row per key that differs instead, with the rows of either side that have no
+    twin on the other (``n_left``, ``n_right``) and ``columns``, the names of the compared
+    columns whose values differ between those rows.
+
+    One shuffle with partial aggregation: a row repeated a billion times travels as one count
+    per task. Keys are gathered from the differing rows only.
     """
+    if columns is None and set(left.columns) != set(right.columns):
+        raise ValueError(f"columns differ: {schema_diff(left.schema, right.schema)}")
     cols = list(columns) if columns is not None else list(left.columns)
-    missing = [c for c in cols if c not in right.columns]
+    missing = [c for c in cols if c not in right.columns or c not in left.columns]
     if missing:
-        raise ValueError(f"columns missing on the right: {missing}")
-    types = {f.name: f.dataType for f in left.schema.fields}
-    rhs_cols = [
-        F.col(c).cast(types[c]).alias(c) if lenient_types else F.col(c) for c in cols
-    ]
-    tagged = left.select(*cols, F.lit(1).alias("__l"), F.lit(0).alias("__r")).unionByName(
-        right.select(*rhs_cols, F.lit(0).alias("__l"), F.lit(1).alias("__r"))
-    )
-    return (
-        tagged.groupBy(*cols)
+        raise ValueError(f"columns missing on one side: {missing}")
+    unknown = [k for k in keys or () if k not in cols]
+    if unknown:
+        raise ValueError(f"keys are not among the compared columns: {unknown}")
+    sides = []
+    for df, other, marks in ((left, right, (1, 0)), (right, left, (0, 1))):
+        parts = []
+        for c in cols:
+            own, its = df.schema[c].dataType, other.schema[c].dataType
+            if own != its and not lenient_types:
+                raise ValueError(f"type of {c}: {own.simpleString()} vs {its.simpleString()}")
+            common = None if own == its else _common_type(left, right, c)
+            value, text = _comparable(df, c, own, its, common)
+            parts += [value.alias(c), text.alias(f"__text_{c}")]
+        sides.append(df.select(*parts, F.lit(marks[0]).alias("__l"), F.lit(marks[1]).alias("__r")))
+    texts = [f"__text_{c}" for c in cols]
+    counted = (
+        sides[0].unionByName(sides[1]).groupBy(*cols, *texts)
         .agg(F.sum("__l").alias(left_name), F.sum("__r").alias(right_name))
         .filter(F.col(left_name) != F.col(right_name))
     )
+    if keys is None:
+        return counted.drop(*texts)
+    rest = [c for c in cols if c not in keys]
+    values = {c: F.struct(c, f"__text_{c}") for c in rest}
+    differs = [F.when(F.min(v) != F.max(v), F.lit(c)) for c, v in values.items()]
+    extra = F.array_compact(F.array(*differs)) if differs else F.array().cast("array<string>")
+    more_left = F.greatest(F.col(left_name) - F.col(right_name), F.lit(0))
+    more_right = F.greatest(F.col(right_name) - F.col(left_name), F.lit(0))
+    return counted.groupBy(*keys).agg(
+        F.sum(more_left).alias(left_name), F.sum(more_right).alias(right_name), extra.alias("columns")
+    )
 
 
 def rows_only_in(left: DataFrame, right: DataFrame) -> DataFrame:

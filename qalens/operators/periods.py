@@ -8,10 +8,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qalens.operators._util import as_col
-from qalens.operators.attach import attach_columns, broadcastable_top
+from qalens.operators.attach import attach_columns
 from qalens.operators.topk import top_k
 
 
+def counts_by_condition(
+    df: DataFrame,
+    entity: str | Column,
+    conditions: Mapping[str, Column],
+    *,
+    entity_name: str,
+    total_name: str = "total",
+    where: Column | None = None,
+) -> DataFrame:
+    """One row per entity: for each output column the rows that meet its condition (NULL does
+    not), and the total. One scan, one shuffle, partial counts before it; a condition on plain
+    columns (a time range) is evaluated without formatting anything."""
+    src = df.filter(where) if where is not None else df
+    aggs = [F.count_if(cond).alias(name) for name, cond in conditions.items()]
+    return src.groupBy(as_col(entity).alias(entity_name)).agg(*aggs, F.count(F.lit(1)).alias(total_name))
+
+
 def period_counts(
     df: DataFrame,
     entity: str | Column,
@@ -26,15 +43,12 @@ def period_counts(
 
     ``label`` is a per-row label expression (e.g. a CASE over the year) and
     ``columns`` maps each label value to its output column, in output order.
-    Rows whose label is not listed count only towards the total. Conditional
-    counts (``count_if``) replace the two-level group-then-pivot of the SQL text
-    and the split-then-full-join of the data-frame versions: one scan, one
-    shuffle, partial aggregation before it.
+    Rows whose label is not listed count only towards the total. Replaces the
+    two-level group-then-pivot and the split-then-full-join forms; where the labels are
+    ranges of a column, :func:`counts_by_condition` spares the label.
     """
-    src = df.filter(where) if where is not None else df
-    aggs = [F.count_if(label == F.lit(value)).alias(name) for value, name in columns.items()]
-    aggs.append(F.count(F.lit(1)).alias(total_name))
-    return src.groupBy(as_col(entity).alias(entity_name)).agg(*aggs)
+    conditions = {name: label == F.lit(value) for value, name in columns.items()}
+    return counts_by_condition(df, entity, conditions, entity_name=entity_name, total_name=total_name, where=where)
 
 
 def top_by_period_counts(
@@ -85,7 +99,7 @@ def top_by_period_counts(
     else:
         top = known.orderBy(*order).limit(k)
     full = attach_columns(
-        top, count_key, ents, entity_key, entity_cols, bounded=broadcastable_top(k, ties)
+        top, count_key, ents, entity_key, entity_cols, bounded=ties == "cut"
     )
     out = full.select(*names, *counts.columns).orderBy(*order)
     return out if ties == "keep" else out.limit(k)
@@ -98,11 +112,15 @@ def full_outer_merge(
     *,
     fill_value: int = 0,
     total_name: str | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Full outer join of two per-key tables on ``key``; the key is coalesced
     from both sides and missing measures become ``fill_value`` (the key is never
     filled). Optionally adds the sum of all measures as ``total_name``.
 
+    A NULL key matches nothing (SQL's ``=``), so one on each side gives two rows;
+    ``null_safe=True`` makes them one (the data-frame merges' behaviour).
+
     When both inputs are aggregates on ``key`` they are already hash-partitioned
     on it and the sort-merge join adds no exchange.
     """
@@ -113,7 +131,8 @@ def full_outer_merge(
         raise ValueError(f"both sides have measure columns {shared}; rename one side first")
     lhs = left.withColumnRenamed(key, "__lk")
     rhs = right.withColumnRenamed(key, "__rk")
-    joined = lhs.join(rhs, F.col("__lk") == F.col("__rk"), "full_outer")
+    same = F.col("__lk").eqNullSafe(F.col("__rk")) if null_safe else F.col("__lk") == F.col("__rk")
+    joined = lhs.join(rhs, same, "full_outer")
     measures = [
         F.coalesce(F.col(c), F.lit(fill_value)).alias(c) for c in l_measures + r_measures
     ]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qalens.operators._util import as_col
-from qalens.operators.attach import attach_columns, broadcastable_top
+from qalens.operators.attach import attach_columns
 from qalens.operators.topk import top_k
 
 
@@ -83,14 +83,15 @@ def rollup_children(
 
     Output, ordered: ``parent_cols``, ``score_name``, ``owner_cols``. Parents
     without an owner row, and children with a NULL parent, drop out (inner
-    joins); ``parent_key`` and ``owner_key`` must be unique.
+    joins). ``owner_key`` must be unique; a ``parent_key`` that occurs twice is two rows.
 
     Plan: the child table is partially and finally aggregated to one row per
     parent; that joins the parents' (key, owner) pairs only, and the owner check
     is a key-only semi-join, so the shuffles carry keys and scores, never text.
     The top-k runs per task and merges k rows; the parent and owner columns are
-    then fetched for those k rows through broadcasts of the k rows, so the
-    parent and owner tables are scanned (pruned) and probed but not shuffled.
+    then fetched for those k rows through broadcasts of their keys alone, so the
+    parent and owner tables are scanned (pruned) and probed but not shuffled, and
+    the two k-row results are joined.
 
     ``late=False`` joins the parent and owner columns before the top-k instead:
     fewer stages, so faster when both tables are small enough to be broadcast,
@@ -128,9 +129,15 @@ def rollup_children(
         .select("__pkey", "__powner", score_name)
     )
     top = top_k(candidates, score_name, k, tiebreak=["__pkey"], ties=ties)
-    bounded = broadcastable_top(k, ties)
-    # top has at most k rows; a unique parent key keeps it at k after the parent join
-    with_parent = attach_columns(top, "__pkey", parents, parent_key, parent_cols, bounded=bounded)
-    full = attach_columns(with_parent, "__powner", owner, owner_key, owner_cols, bounded=bounded)
+    # a parent key that occurs twice is in the top twice, and is fetched twice below
+    top, cut = top.distinct(), ties == "cut"
+    with_parent = attach_columns(
+        top, "__pkey", parents.withColumn("__same_owner", F.col(parent_owner_key)), parent_key,
+        [*parent_cols, "__same_owner"], bounded=cut,
+    ).where(F.col("__powner") == F.col("__same_owner"))
+    owners = attach_columns(
+        top.select(F.col("__powner").alias("__owner")).distinct(), "__owner", owner, owner_key, owner_cols, bounded=cut
+    )
+    full = with_parent.join(owners, F.col("__powner") == F.col("__owner"), "inner")
     ranked = _final_order(full, score_name, "__pkey", k, ties)
     return ranked.select(*parent_cols, score_name, *owner_cols)

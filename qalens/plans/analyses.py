@@ -10,11 +10,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qalens.functions.dates import period_label
-from qalens.functions.labels import label_by_value, not_blank
+from qalens.functions.dates import in_years, period_label
+from qalens.functions.labels import not_blank
 from qalens.operators import (
     count_by_period,
-    period_counts,
+    counts_by_condition,
     rollup_children,
     top_by_period_counts,
     top_by_rollup,
@@ -125,12 +125,16 @@ def covid_vote_counts(
     """PostId, BeforeCOVIDVotes, DuringCOVIDVotes, AfterCOVIDVotes, Votes for
     votes of the kept types; a vote whose year is not listed in ``periods``
     (or has no valid date) counts under ``default``."""
-    label = label_by_value(period_label("CreationDate", "yyyy"), periods, default)
-    return period_counts(
+    named = {p: in_years("CreationDate", years) for p, years in periods.items()}
+    listed = in_years("CreationDate", [y for years in periods.values() for y in years])
+    conditions = {
+        column: named.get(p, F.lit(False)) | (~listed if p == default else F.lit(False))
+        for p, column in COVID_COLUMNS.items()
+    }
+    return counts_by_condition(
         votes,
         "PostId",
-        label,
-        COVID_COLUMNS,
+        conditions,
         entity_name="PostId",
         total_name="Votes",
         where=F.col("VoteTypeId").isin(list(vote_types)),

@@ -6,12 +6,12 @@ Column names equal the Spark workloads'. Integer sums are cast to BIGINT
 
 from __future__ import annotations
 
-_COVID_LABEL = """CASE strftime(l_shipdate, '%Y')
-                 WHEN '2001' THEN 'after'
-                 WHEN '2000' THEN 'during'
-                 WHEN '1999' THEN 'during'
-                 WHEN '1998' THEN 'during'
-                 ELSE 'before' END"""
+# one aggregate with a filter per period
+_PART_PERIODS = """
+           count(*) FILTER (l_shipdate IS NULL OR l_shipdate < DATE '1998-01-01' OR l_shipdate >= DATE '2002-01-01') AS BeforeCOVIDVotes,
+           count(*) FILTER (l_shipdate >= DATE '1998-01-01' AND l_shipdate < DATE '2001-01-01') AS DuringCOVIDVotes,
+           count(*) FILTER (l_shipdate >= DATE '2001-01-01' AND l_shipdate < DATE '2002-01-01') AS AfterCOVIDVotes,
+           count(*) AS Votes"""
 
 _PRIORITY_COUNTS = """SELECT strftime(o_orderdate, '%Y') AS Year, o_orderpriority AS Name,
                  count(*) AS cnt
@@ -96,34 +96,25 @@ ORACLE_SQL: dict[str, str] = {
         LIMIT 10
     """,
     "period_pivot": f"""
-        WITH d AS (SELECT l_partkey AS PostId, {_COVID_LABEL} AS VoteDate, count(*) AS Total
-                   FROM lineitem WHERE l_returnflag IN ('A', 'R') GROUP BY 1, 2),
-             v AS (SELECT PostId,
-                          CAST(max(CASE WHEN VoteDate = 'before' THEN Total ELSE 0 END) AS BIGINT) AS BeforeCOVIDVotes,
-                          CAST(max(CASE WHEN VoteDate = 'during' THEN Total ELSE 0 END) AS BIGINT) AS DuringCOVIDVotes,
-                          CAST(max(CASE WHEN VoteDate = 'after' THEN Total ELSE 0 END) AS BIGINT) AS AfterCOVIDVotes,
-                          CAST(sum(Total) AS BIGINT) AS Votes
-                   FROM d GROUP BY PostId)
-        SELECT p.p_name AS Title, v.*
-        FROM part p JOIN v ON p.p_partkey = v.PostId
-        WHERE p.p_name NOT IN ('') AND v.DuringCOVIDVotes > 0
-        ORDER BY v.DuringCOVIDVotes DESC, v.Votes DESC, v.PostId
-        LIMIT 20
-    """,
+        SELECT p_name AS Title, v.*
+        FROM part JOIN (SELECT l_partkey AS PostId, {_PART_PERIODS}
+                        FROM lineitem WHERE l_returnflag = 'A' OR l_returnflag = 'R' GROUP BY l_partkey) v
+          ON p_partkey = PostId
+        WHERE p_name <> '' AND DuringCOVIDVotes > 0
+        ORDER BY DuringCOVIDVotes DESC, Votes DESC, PostId LIMIT 20
+    """,
+    "period_labels": f"SELECT l_partkey AS PostId, {_PART_PERIODS} FROM lineitem GROUP BY l_partkey",
     "having_min": """
         SELECT l_partkey, count(*) AS n_lines
         FROM lineitem WHERE l_returnflag IN ('A', 'R')
         GROUP BY l_partkey HAVING count(*) > 25
     """,
     "full_outer": """
-        WITH e AS (SELECT l_partkey, count(*) AS n FROM lineitem
-                   WHERE l_shipdate < TIMESTAMP '1995-03-01' GROUP BY 1),
-             l AS (SELECT l_partkey, count(*) AS n FROM lineitem
-                   WHERE l_shipdate >= TIMESTAMP '2001-06-01' GROUP BY 1)
-        SELECT coalesce(e.l_partkey, l.l_partkey) AS l_partkey,
-               coalesce(e.n, 0) AS EarlyLines, coalesce(l.n, 0) AS LateLines,
-               coalesce(e.n, 0) + coalesce(l.n, 0) AS TotalLines
-        FROM e FULL OUTER JOIN l ON e.l_partkey = l.l_partkey
+        SELECT nullif(l_suppkey, 0) AS l_suppkey,
+               count(*) FILTER (l_shipdate < TIMESTAMP '1995-03-01') AS EarlyLines,
+               count(*) FILTER (l_shipdate >= TIMESTAMP '1995-03-01' AND l_shipdate < TIMESTAMP '2001-06-01') AS MiddleLines,
+               count(*) FILTER (l_shipdate >= TIMESTAMP '2001-06-01') AS LateLines, count(*) AS TotalLines
+        FROM lineitem GROUP BY 1
     """,
     "left_join": """
         SELECT d.source, count(*) AS n_docs, count(l.doc_id) AS n_labelled,
@@ -150,6 +141,27 @@ ORACLE_SQL: dict[str, str] = {
         FROM orders o JOIN customer c
           ON nullif(o.o_custkey, 0) IS NOT DISTINCT FROM nullif(c.c_custkey, 0)
     """,
+    "nullsafe_rows": """
+        SELECT c_custkey, nullif(c_nationkey, 0) AS c_nation, s_suppkey
+        FROM customer JOIN supplier
+          ON c_custkey = s_suppkey AND nullif(c_nationkey, 0) IS NOT DISTINCT FROM nullif(s_nationkey, 0)
+    """,
+    "top_owner_ties": """
+        WITH n AS (SELECT nullif(o_custkey, 7) AS k, count(*) AS Questions FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
+             j AS (SELECT nullif(c_custkey, 7) AS Id, c_name AS DisplayName, Questions
+                   FROM customer JOIN n ON nullif(c_custkey, 7) IS NOT DISTINCT FROM k)
+        SELECT Id, DisplayName, Questions FROM j QUALIFY rank() OVER (ORDER BY Questions DESC) <= 10
+    """,
+    "child_score_ties": """
+        WITH n AS (SELECT l_orderkey, count(*) AS Lines FROM lineitem GROUP BY l_orderkey)
+        SELECT o_orderkey, o_orderpriority, Lines, c_name
+        FROM n JOIN orders ON o_orderkey = l_orderkey JOIN customer ON o_custkey = c_custkey
+        WHERE o_orderstatus = 'F' QUALIFY rank() OVER (ORDER BY Lines DESC) <= 10
+    """,
+    "allnull_filled": """
+        SELECT o_orderpriority, CAST(coalesce(sum(o_orderkey) FILTER (o_orderpriority <> '5-LOW'), 0) AS BIGINT) AS total
+        FROM orders GROUP BY o_orderpriority
+    """,
     "not_in_empty": """
         SELECT count(*) AS n
         FROM (SELECT CASE o_orderpriority WHEN '5-LOW' THEN NULL WHEN '1-URGENT' THEN ''
@@ -172,6 +184,13 @@ ORACLE_SQL: dict[str, str] = {
         GROUP BY key
         HAVING sum(l) <> sum(r)
     """,
+    "table_diff_by_key": """
+        WITH c AS (SELECT c_custkey AS key, c_custkey % 97 = 0 AS moved, c_nationkey IS NOT DISTINCT FROM 3 AS gone,
+                          c_nationkey IS NOT DISTINCT FROM 4 AND c_mktsegment <> 'RENAMED' AS renamed FROM customer)
+        SELECT key, CAST(1 AS BIGINT) AS n_left, CAST(CASE WHEN gone THEN 0 ELSE 1 END AS BIGINT) AS n_right,
+               CASE WHEN gone THEN '' ELSE concat_ws(',', CASE WHEN renamed THEN 'c_mktsegment' END, CASE WHEN moved THEN 'balance' END) END AS differing
+        FROM c WHERE gone OR moved OR renamed
+    """,
     "csv_roundtrip": "SELECT * FROM documents",
     "csv_roundtrip_events": "SELECT * FROM events",
     "parquet_roundtrip": "SELECT * FROM events",

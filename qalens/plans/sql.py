@@ -27,13 +27,15 @@ def run_sql(spark: SparkSession, text: str, tables: Mapping[str, DataFrame] | No
 # The five analyses as Spark SQL over the site tables, for users who keep their
 # queries as text; ``{Posts}`` etc. are bound by :func:`run_sql` (or replace them
 # with view names). Time columns are typed at load, so no parsing appears here.
-# Q3 ranks on the count with a window instead of a bare column next to MAX()
-# (rejected by Spark); ties go to the smallest name.
+# Q3 takes each year's best (count, name) by an aggregate instead of a bare column next to
+# MAX() (rejected by Spark); ties go to the smallest name. Q4 and Q5 rank on keys and fetch
+# texts for the few posts that win, so no text crosses a shuffle at size. Periods are ranges
+# of the time itself; labels are made once per group.
 SITE_SQL = {
     "posts_per_year": """
-        SELECT date_format(CreationDate, 'yyyy') AS Year, COUNT(*) AS TotalNumber
-        FROM {Posts}
-        GROUP BY date_format(CreationDate, 'yyyy')
+        SELECT date_format(Start, 'yyyy') AS Year, TotalNumber
+        FROM (SELECT trunc(CAST(CreationDate AS DATE), 'year') AS Start, COUNT(*) AS TotalNumber
+              FROM {Posts} GROUP BY 1) c
     """,
     "top_question_owners": """
         SELECT u.Id, u.DisplayName, q.TotalViews
@@ -45,44 +47,49 @@ SITE_SQL = {
         LIMIT 10
     """,
     "top_badge_per_year": """
-        SELECT Year, Name, CAST(Count AS DOUBLE) / CAST(Total AS DOUBLE) AS MaxPercentage
-        FROM (SELECT Year, Name, Count,
-                     SUM(Count) OVER (PARTITION BY Year) AS Total,
-                     ROW_NUMBER() OVER (PARTITION BY Year ORDER BY Count DESC, Name ASC NULLS FIRST) AS rk
-              FROM (SELECT date_format(Date, 'yyyy') AS Year, Name, COUNT(*) AS Count
-                    FROM {Badges} WHERE Date IS NOT NULL
-                    GROUP BY date_format(Date, 'yyyy'), Name) c) r
-        WHERE rk = 1
+        SELECT date_format(Start, 'yyyy') AS Year, Best.Name AS Name,
+               CAST(-Best.Fewest AS DOUBLE) / CAST(Total AS DOUBLE) AS MaxPercentage
+        FROM (SELECT Start, SUM(Count) AS Total, MIN(struct(-Count AS Fewest, Name)) AS Best
+              FROM (SELECT trunc(CAST(Date AS DATE), 'year') AS Start, Name, COUNT(*) AS Count
+                    FROM {Badges} WHERE Date IS NOT NULL GROUP BY 1, 2) c
+              GROUP BY Start) r
     """,
     "top_questions_by_comment_score": """
-        SELECT p.Title, p.CommentCount, p.ViewCount, s.CommentsTotalScore,
-               u.DisplayName, u.Reputation, u.Location
-        FROM (SELECT PostId, SUM(Score) AS CommentsTotalScore FROM {Comments} GROUP BY PostId) s
-        JOIN {Posts} p ON p.Id = s.PostId
-        JOIN {Users} u ON p.OwnerUserId = u.Id
+        WITH best AS (
+            SELECT s.PostId, p.OwnerUserId, s.CommentsTotalScore
+            FROM (SELECT PostId, SUM(Score) AS CommentsTotalScore FROM {Comments} GROUP BY PostId) s
+            JOIN (SELECT Id, OwnerUserId FROM {Posts} WHERE PostTypeId = 1) p ON p.Id = s.PostId
+            LEFT SEMI JOIN {Users} u ON p.OwnerUserId = u.Id
+            ORDER BY s.CommentsTotalScore DESC NULLS LAST, s.PostId
+            LIMIT 10)
+        SELECT /*+ BROADCAST(b) */ p.Title, p.CommentCount, p.ViewCount, b.CommentsTotalScore,
+               o.DisplayName, o.Reputation, o.Location
+        FROM best b
+        JOIN {Posts} p ON p.Id = b.PostId
+        JOIN (SELECT /*+ BROADCAST(w) */ u.Id, u.DisplayName, u.Reputation, u.Location
+              FROM (SELECT DISTINCT OwnerUserId FROM best) w JOIN {Users} u ON u.Id = w.OwnerUserId) o
+          ON o.Id = b.OwnerUserId
         WHERE p.PostTypeId = 1
-        ORDER BY s.CommentsTotalScore DESC NULLS LAST, p.Id
+        ORDER BY b.CommentsTotalScore DESC NULLS LAST, b.PostId
         LIMIT 10
     """,
     "top_posts_by_covid_votes": """
-        SELECT p.Title, date_format(p.CreationDate, 'yyyy-MM-dd') AS Date, v.*
-        FROM {Posts} p
-        JOIN (SELECT PostId,
-                     count_if(VoteDate = 'before') AS BeforeCOVIDVotes,
-                     count_if(VoteDate = 'during') AS DuringCOVIDVotes,
-                     count_if(VoteDate = 'after') AS AfterCOVIDVotes,
-                     COUNT(*) AS Votes
+        SELECT /*+ BROADCAST(v) */ p.Title, date_format(p.CreationDate, 'yyyy-MM-dd') AS Date, v.*
+        FROM (SELECT c.*
               FROM (SELECT PostId,
-                           CASE date_format(CreationDate, 'yyyy')
-                             WHEN '2022' THEN 'after'
-                             WHEN '2021' THEN 'during'
-                             WHEN '2020' THEN 'during'
-                             WHEN '2019' THEN 'during'
-                             ELSE 'before' END AS VoteDate
-                    FROM {Votes} WHERE VoteTypeId IN (3, 4, 12)) d
-              GROUP BY PostId) v
-          ON p.Id = v.PostId
-        WHERE p.Title NOT IN ('') AND v.DuringCOVIDVotes > 0
+                           COUNT(*) - count_if(Day >= DATE '2019-01-01' AND Day < DATE '2023-01-01') AS BeforeCOVIDVotes,
+                           count_if(Day >= DATE '2019-01-01' AND Day < DATE '2022-01-01') AS DuringCOVIDVotes,
+                           count_if(Day >= DATE '2022-01-01' AND Day < DATE '2023-01-01') AS AfterCOVIDVotes,
+                           COUNT(*) AS Votes
+                    FROM (SELECT PostId, CAST(CreationDate AS DATE) AS Day
+                          FROM {Votes} WHERE VoteTypeId IN (3, 4, 12)) d
+                    GROUP BY PostId) c
+              LEFT SEMI JOIN (SELECT Id FROM {Posts} WHERE Title NOT IN ('')) k ON c.PostId = k.Id
+              WHERE c.DuringCOVIDVotes > 0
+              ORDER BY c.DuringCOVIDVotes DESC, c.Votes DESC, c.PostId
+              LIMIT 20) v
+        JOIN {Posts} p ON p.Id = v.PostId
+        WHERE p.Title NOT IN ('')
         ORDER BY v.DuringCOVIDVotes DESC, v.Votes DESC, v.PostId
         LIMIT 20
     """,

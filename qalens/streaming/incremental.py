@@ -19,7 +19,6 @@ from pyspark.sql.types import StructType
 from qalens.functions.dates import period_label
 from qalens.operators._util import as_col
 from qalens.operators.category import top_category_from_counts
-from qalens.session import shared_dir
 
 
 def read_stream(
@@ -45,12 +44,11 @@ def start_counts(
     keys: Sequence[Column],
     sink_path: str,
     *,
+    checkpoint: str,
     derive: Callable[[DataFrame], DataFrame] | None = None,
     count_name: str = "Count",
-    checkpoint: str | None = None,
     available_now: bool = True,
     processing_time: str = "1 minute",
-    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a query that counts ``source`` rows per ``keys`` and, after each
     micro-batch, writes ``derive(counts)`` (default: the counts) as Parquet to
@@ -58,17 +56,15 @@ def start_counts(
 
     ``available_now=True`` processes what is there and stops (scheduled
     catch-up runs); otherwise it triggers every ``processing_time``.
-    ``state_partitions`` sets how many state-store partitions the count state
-    gets (default: the session's shuffle partitions); the state holds one row
-    per group, so a few suffice however large the input.
+    ``checkpoint`` is a shared folder that belongs to this query: started again with
+    it, the query goes on where it stopped. The state gets as many partitions as the
+    session has shuffle partitions when the query first starts.
 
     The published Parquet is replaced in place, which is not atomic: a reader
     running during a micro-batch may see it half written. Readers that run
     concurrently need a table format with atomic commits as the sink.
     """
-    spark = source.sparkSession
     counts = source.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name))
-    ckpt = checkpoint or shared_dir(spark, "stream-checkpoint")
 
     def publish(batch: DataFrame, epoch_id: int) -> None:
         out = derive(batch) if derive is not None else batch
@@ -76,7 +72,7 @@ def start_counts(
 
     writer = (
         counts.writeStream.outputMode("complete")
-        .option("checkpointLocation", ckpt)
+        .option("checkpointLocation", checkpoint)
         .foreachBatch(publish)
     )
     writer = (
@@ -84,17 +80,7 @@ def start_counts(
         if available_now
         else writer.trigger(processingTime=processing_time)
     )
-    if state_partitions is None:
-        return writer.start()
-    # the state store's partition count is fixed by the shuffle partitions in force
-    # when the query first starts (and kept in its checkpoint afterwards)
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(key, previous)
+    return writer.start()
 
 
 def start_count_by_period(

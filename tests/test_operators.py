@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from qalens.functions import label_by_value, not_blank, null_if, parse_timestamp, period_label
+from qalens.functions import in_years, label_by_value, not_blank, null_if, parse_timestamp, period_label, period_start
 from qalens.operators import (
     count_by_key,
     full_outer_merge,
@@ -158,18 +158,92 @@ def test_parse_is_independent_of_session_time_zone(spark):
     assert got == ["2019-03-10 02:30:00", "2019-11-03 01:30:00"]
 
 
-def test_both_parse_paths_agree(spark):
-    from qalens.functions.dates import SOURCE_TIMESTAMP_FORMATS, _parse_by_fields, _parse_with_patterns
+LAYOUTS = {
+    "2019-03-31T02:30:00.000": "2019-03-31 02:30:00",  # a gap in Warsaw
+    "2019-03-01T08:00:00": "2019-03-01 08:00:00",
+    "2019-03-01 08:00:00.123": "2019-03-01 08:00:00.123000",
+    "2019-03-01T08:00:00.5": "2019-03-01 08:00:00.500000",
+    "2019-03-01T08:00:00.12": "2019-03-01 08:00:00.120000",
+    "2019-03-01T08:00:00.123456789Z": "2019-03-01 08:00:00.123456",
+    "2019-03-01T08:00": "2019-03-01 08:00:00",
+    "2019-03-01T08:00Z": "2019-03-01 08:00:00",
+    "2019-03-01 08:00:00Z": "2019-03-01 08:00:00",
+    "2019-03-01": "2019-03-01 00:00:00",
+    "2020-02-29T23:59:59.999": "2020-02-29 23:59:59.999000",
+    **dict.fromkeys(
+        ["2011", "not a date", "", " 2019-03-01", "2019-13-01", "2019-02-29", "2019-03-01T24:00:00", "2019-03-01T08:60:00",
+         "2019-03-01T08:00:60", "2019-03-01T08:00:00 08:00:00", "2019-03-01Z", "2019-03-01T08", "2019-03-01T08:00:00.", "2019-03-01T08:00.5"]
+    ),
+    None: None,
+}
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Warsaw", "America/New_York"])
+def test_every_layout_parses_alike_in_every_zone(spark, zone):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.createDataFrame([(v,) for v in LAYOUTS], "s string")
+    parsed = df.select("s", parse_timestamp("s").cast("string").alias("t"))
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = {r.s: r.t for r in parsed.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == {k: v and v.rstrip("0").rstrip(".") if v and "." in v else v for k, v in LAYOUTS.items()}
+
+
+def test_periods_as_ranges_equal_labels(spark):
+    days = [(d,) for d in ("2018-12-31", "2019-01-01", "2021-12-31", "2022-01-01", "2022-12-31", "2023-01-01", "2025-06-01", None)]
+    df = spark.createDataFrame(days, "d string").select(F.col("d").cast("timestamp_ntz").alias("t"))
+    years = ("2021", "2019", "2020", "2025")
+    rows = df.select(in_years("t", years).alias("a"), F.coalesce(period_label("t").isin(list(years)), F.lit(False)).alias("b")).collect()
+    assert all(r.a == r.b for r in rows) and sum(r.a for r in rows) == 3
+    for grain in ("year", "month", "day"):
+        starts = df.select(period_label(period_start("t", grain), grain).alias("a"), period_label("t", grain).alias("b")).collect()
+        assert all(r.a == r.b for r in starts)
+
+
+def test_full_outer_merge_null_keys(spark):
+    l = spark.createDataFrame([(None, 5), (2, 1)], "k long, a long")
+    r = spark.createDataFrame([(None, 7)], "k long, b long")
+    rows = lambda **kw: sorted(map(tuple, full_outer_merge(l, r, "k", **kw).collect()), key=repr)
+    assert rows() == [(2, 1, 0), (None, 0, 7), (None, 5, 0)]
+    assert rows(null_safe=True) == [(2, 1, 0), (None, 5, 7)]
+
+
+def test_table_diff_types_columns_and_keys(spark):
+    one = spark.createDataFrame([(1,)], "v int")
+    assert table_diff(one, spark.createDataFrame([(1.0,)], "v double")).count() == 0
+    assert table_diff(one, spark.createDataFrame([(1.5,)], "v double")).count() == 2
+    assert table_diff(one, spark.createDataFrame([("1",)], "v string")).count() == 0
+    for text in ("abc", "1.5", ""):
+        assert table_diff(one, spark.createDataFrame([(text,)], "v string")).count() == 2
+        assert table_diff(spark.createDataFrame([(text,)], "v string"), one).count() == 2
+    wide = one.withColumn("more", F.lit(1))
+    for a, b in ((one, wide), (wide, one)):
+        with pytest.raises(ValueError, match="more"):
+            table_diff(a, b)
+        assert table_diff(a, b, ["v"]).count() == 0
+    with pytest.raises(ValueError, match="type of v"):
+        table_diff(one, spark.createDataFrame([(1.0,)], "v double"), lenient_types=False)
+    left = spark.createDataFrame([(1, "x", 1), (2, "y", 2), (3, "z", None), (None, "n", 4), (5, "d", 1), (5, "d", 1)], "k long, a string, b long")
+    right = spark.createDataFrame([(1, "x", 1), (2, "Y", 3), (3, "z", 3), (None, "n", 4), (5, "d", 1)], "k long, a string, b long")
+    got = {r.k: (r.n_left, r.n_right, sorted(r["columns"])) for r in table_diff(left, right, keys=["k"]).collect()}
+    assert got == {2: (1, 1, ["a", "b"]), 3: (1, 1, ["b"]), 5: (1, 0, [])}
+
+
+def test_rollup_children_with_a_parent_key_that_occurs_twice(spark):
+    from qalens.operators import rollup_children
 
-    vals = ["2019-03-01T08:00:00.000", "2019-03-01T08:00:00", "2019-03-01 08:00:00.123",
-            "2019-03-01", "2011", "not a date", "", None, "2019-03-01T08:00", "2019-13-01",
-            "2019-03-01T08:00:00.1234", "2019-02-29", "2020-02-29T23:59:59.999",
-            "2019-03-01T24:00:00", "2019-03-01T08:60:00", "2019-03-01T08:00:60", " 2019-03-01"]
-    df = spark.createDataFrame([(v,) for v in vals], "s string")
-    s = F.col("s")
-    rows = df.select(_parse_by_fields(s).alias("a"), _parse_with_patterns(s, SOURCE_TIMESTAMP_FORMATS).alias("b")).collect()
-    assert all(r.a == r.b for r in rows), rows
-    assert sum(r.a is not None for r in rows) == 5
+    child = spark.createDataFrame([(1, 5), (1, 1), (2, 9)], "p long, s long")
+    parent = spark.createDataFrame([(1, 10, "a"), (1, 10, "b"), (1, 11, "c"), (2, 10, "d")], "id long, o long, title string")
+    owner = spark.createDataFrame([(10, "x"), (11, "y")], "id long, name string")
+    rows = {
+        late: sorted(map(tuple, rollup_children(
+            child, parent, owner, child_parent_key="p", child_score="s", parent_key="id", parent_owner_key="o", owner_key="id",
+            parent_cols=["title"], owner_cols=["name"], k=10, late=late).collect()))
+        for late in (True, False)
+    }
+    assert rows[True] == rows[False] == [("a", 6, "x"), ("b", 6, "x"), ("c", 6, "y"), ("d", 9, "x")]
 
 
 def test_top_by_rollup_null_safe_matches_null_keys(spark):

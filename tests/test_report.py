@@ -78,29 +78,6 @@ def test_csv_export_to_analyses_end_to_end(spark):
         ), analysis
 
 
-def test_cli_bucketed_convert_and_run(spark, site, capsys):
-    from qalens.sources import write_csv
-
-    src = shared_dir(spark, "site-csv-b")
-    for name, df in site.items():
-        text = df.select(*[
-            F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS").alias(c)
-            if t == "timestamp_ntz" else F.col(c)
-            for c, t in df.dtypes
-        ])
-        write_csv(text, f"{src}/{name}.csv.gz")
-    dst = shared_dir(spark, "site-bucketed")
-    assert main(["convert", src, dst, "--buckets", "4"]) == 0
-    spark.sql("DROP DATABASE IF EXISTS qalens CASCADE")  # as in a new session without a metastore
-    out = shared_dir(spark, "site-bucketed-out")
-    assert main(["run", dst, "--buckets", "4", "--out", out, "--check"]) == 0
-    q2 = spark.read.parquet(f"{out}/top_question_owners").collect()
-    assert sorted(r.Id for r in q2) == [10, 11, 12]
-    assert spark.table("qalens.Comments").count() == 7
-    info = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED qalens.Comments").collect()}
-    assert info.get("Num Buckets") == "4" and "PostId" in info.get("Bucket Columns", "")
-
-
 def test_cli_writes_csv_results(spark, site):
     from qalens.sources import read_csv
 

@@ -4,12 +4,13 @@ import gzip
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from qalens.operators import table_diff
 from qalens.plans import analyses as A
 from qalens.session import shared_dir
-from qalens.sources import convert_to_parquet, load_table, load_tables, read_csv, write_csv
+from qalens.sources import convert_to_parquet, load_table, load_tables, read_csv, rejected_values, write_csv
 from site_fixture import POSTS
 
 CSV_POSTS = (
@@ -118,3 +119,44 @@ def test_load_tables_with_explicit_paths(spark):
     t = load_tables(spark, "/nonexistent", "csv.gz", tables=["Users"],
                     paths={"Users": os.path.join(d, "users-*.csv.gz")})
     assert [tuple(r) for r in t["Users"].collect()] == [(10, "ana", 500, "Oslo")]
+
+
+def test_files_of_one_table_with_different_headers(spark):
+    d = tempfile.mkdtemp(prefix="qalens-csv-")
+    _write_gz(os.path.join(d, "Users-1.csv.gz"), "Id,DisplayName,Reputation,Location\n1,ana,5,Oslo\n")
+    _write_gz(os.path.join(d, "Users-2.csv.gz"), "Id,Location,Extra,Reputation,DisplayName\n2,Lima,x,7,bo\n")
+    _write_gz(os.path.join(d, "Users-3.csv.gz"), "")
+    paths = {"Users": os.path.join(d, "Users-*.csv.gz")}
+    t = load_tables(spark, d, tables=["Users"], paths=paths)
+    assert sorted(map(tuple, t["Users"].collect())) == [(1, "ana", 5, "Oslo"), (2, "bo", 7, "Lima")]
+    _write_gz(os.path.join(d, "Users-4.csv.gz"), "Id,DisplayName,Reputation\n3,cy,1\n")
+    with pytest.raises(ValueError, match="Location"):
+        load_tables(spark, d, tables=["Users"], paths=paths)
+
+
+def test_rejected_values(spark):
+    d = tempfile.mkdtemp(prefix="qalens-csv-")
+    _write_gz(os.path.join(d, "Posts.csv.gz"), CSV_POSTS + "x1,1,10,2019-02-30,t,1,1,y\n5,1\n")
+    got = {(r.table, r.column): r.rows for r in rejected_values(spark, d, tables=["Posts"]).collect()}
+    assert got == {("Posts", "OwnerUserId"): 1, ("Posts", "CreationDate"): 2, ("Posts", "ViewCount"): 1, ("Posts", "Id"): 1, ("Posts", "(record)"): 1}
+    assert load_table(spark, d, "Posts").count() == 5
+    clean = spark.createDataFrame([(1, "a", 2, "b")], "Id long, DisplayName string, Reputation long, Location string")
+    clean.write.parquet(os.path.join(d, "Users.parquet"))
+    assert rejected_values(spark, d, "parquet", ["Users"]).count() == 0
+
+
+def test_empty_text_reads_back_as_null(spark):
+    path = shared_dir(spark, "rt-empty")
+    write_csv(spark.createDataFrame([(1, ""), (2, " "), (3, None)], "id long, v string"), path)
+    assert sorted(map(tuple, read_csv(spark, path, "id long, v string").collect())) == [(1, None), (2, " "), (3, None)]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from qalens.session import checkpoint_root
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    cluster = SimpleNamespace(sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"), conf=conf)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(cluster)

@@ -44,7 +44,7 @@ def test_stream_matches_batch_then_grows(spark):
     assert _rows(spark.read.parquet(out_q1)) == doubled
 
 
-def test_state_partitions_option_restores_the_session(spark):
+def test_registered_stream_leaves_the_session_as_it_was(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     df = entry.queries()["stream_year_count"](spark, SF_SMALL)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
