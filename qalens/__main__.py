@@ -1,9 +1,9 @@
 """Command line: convert a CSV dump once, then run (and cross-check) the analyses.
 
-    python -m qalens convert SRC_DIR DST_DIR [--files N | --buckets N] [--null-value NA]
+    python -m qalens convert SRC_DIR DST_DIR [--files N] [--null-value NA]
                                              [--path TABLE=PATH ...]
     python -m qalens run DATA_DIR [--format parquet|csv.gz|csv] [--out DIR] [--out-format parquet|csv]
-                                  [--check] [--time N] [--explain] [--null-value NA] [--buckets N]
+                                  [--check] [--time N] [--explain] [--null-value NA] [--show N]
                                   [--path TABLE=PATH ...]
 """
 
@@ -24,8 +24,6 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--files", type=int, default=None, help="Parquet files per table")
     c.add_argument("--format", default="csv.gz")
     c.add_argument("--null-value", default=None, help="CSV null marker, e.g. NA for R exports")
-    c.add_argument("--buckets", type=int, default=0, metavar="N",
-                   help="write tables bucketed on their join keys into N buckets")
     c.add_argument("--path", action="append", default=[], metavar="TABLE=PATH",
                    help="location of one source table when not SRC_DIR/<Table>.<format>")
     r = sub.add_parser("run", help="run the five analyses")
@@ -41,27 +39,16 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--null-value", default=None, help="CSV null marker, e.g. NA for R exports")
     r.add_argument("--path", action="append", default=[], metavar="TABLE=PATH",
                    help="location of one table when not DATA_DIR/<Table>.<format> (repeatable)")
-    r.add_argument("--buckets", type=int, default=0, metavar="N",
-                   help="DATA_DIR holds tables written by 'convert --buckets N'")
+    r.add_argument("--show", type=int, default=0, metavar="N",
+                   help="print at most N rows of a result and say how many follow (default: all)")
     args = p.parse_args(argv)
 
     spark = get_session()
     from qalens.plans.report import cross_check, run_analyses, time_forms, write_analyses
-    from qalens.sources import (
-        convert_to_parquet,
-        load_bucketed,
-        load_tables,
-        register_bucketed,
-        write_bucketed,
-    )
+    from qalens.sources import convert_to_parquet, load_tables
 
     csv_options = {"nullValue": args.null_value} if args.null_value else None
     paths = dict(item.split("=", 1) for item in args.path)
-    if args.cmd == "convert" and args.buckets:
-        tables = load_tables(spark, args.src, args.format, csv_options=csv_options, paths=paths)
-        for name, table in write_bucketed(spark, tables, args.dst, args.buckets).items():
-            print(f"{name}\t{table}")
-        return 0
     if args.cmd == "convert":
         for name, path in convert_to_parquet(
             spark, args.src, args.dst, fmt=args.format, files_per_table=args.files,
@@ -69,11 +56,7 @@ def main(argv: list[str] | None = None) -> int:
         ).items():
             print(f"{name}\t{path}")
         return 0
-    if args.buckets:
-        register_bucketed(spark, args.data, args.buckets)
-        tables = load_bucketed(spark)
-    else:
-        tables = load_tables(spark, args.data, args.format, csv_options=csv_options, paths=paths)
+    tables = load_tables(spark, args.data, args.format, csv_options=csv_options, paths=paths)
     if args.explain:
         from qalens.plans.inspect import plan_text
 
@@ -86,7 +69,15 @@ def main(argv: list[str] | None = None) -> int:
     else:
         for name, df in run_analyses(tables).items():
             print(f"== {name}")
-            df.show(truncate=False)
+            print("\t".join(df.columns))
+            hidden = 0
+            for i, row in enumerate(df.toLocalIterator()):  # one partition at a time
+                if args.show and i >= args.show:
+                    hidden += 1
+                else:
+                    print("\t".join("NULL" if v is None else str(v) for v in row))
+            if hidden:
+                print(f"... and {hidden} more rows")
     if args.time:
         for name, frame_sec, sql_sec in time_forms(spark, tables, args.time):
             print(f"{name}\tdataframe {frame_sec:.3f} s\tsql {sql_sec:.3f} s")

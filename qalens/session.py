@@ -53,8 +53,9 @@ def get_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local runs, tests) is a fresh local one
-    created and registered, so ``DataFrame.checkpoint()`` works too.
+    Only a local session without one (tests, single-machine runs) gets a fresh local
+    folder, registered so that ``DataFrame.checkpoint()`` works too. On a cluster each
+    executor would write to its own disk, so a missing setting is an error there.
     """
     try:
         sc = spark.sparkContext
@@ -64,6 +65,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="qalens-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(root)

@@ -4,31 +4,25 @@ from qalens.sources.csv import CSV_OPTIONS, read_csv
 from qalens.sources.sinks import write_csv, write_parquet
 from qalens.sources.supplied import SUPPLIED_SCHEMAS, read_supplied
 from qalens.sources.tables import (
-    SITE_BUCKET_KEYS,
     apply_schema,
     convert_to_parquet,
-    load_bucketed,
     load_table,
     load_tables,
-    register_bucketed,
+    rejected_values,
     text_schema,
-    write_bucketed,
 )
 
 __all__ = [
     "CSV_OPTIONS",
-    "SITE_BUCKET_KEYS",
     "SUPPLIED_SCHEMAS",
     "apply_schema",
     "convert_to_parquet",
-    "load_bucketed",
     "load_table",
     "load_tables",
     "read_csv",
     "read_supplied",
-    "register_bucketed",
+    "rejected_values",
     "text_schema",
-    "write_bucketed",
     "write_csv",
     "write_parquet",
 ]

@@ -20,6 +20,18 @@ CSV_OPTIONS = {
 }
 
 
+def _header(spark: SparkSession, path: str | list[str], opts: dict[str, str]) -> tuple[str, ...]:
+    return tuple(spark.read.options(**{**opts, "inferSchema": "false"}).csv(path).columns)
+
+
+def _by_header(spark: SparkSession, path: str | list[str], header, schema: StructType, opts: dict[str, str]) -> DataFrame:
+    typed = {f.name: f for f in schema.fields}
+    own = StructType([typed.get(name, StructField(name, StringType(), True)) for name in header])
+    if "columnNameOfCorruptRecord" in opts:
+        own = own.add(opts["columnNameOfCorruptRecord"], StringType())
+    return spark.read.options(**opts).schema(own).csv(path)
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -30,10 +42,12 @@ def read_csv(
 ) -> DataFrame:
     """Read CSV with an explicit schema (``StructType`` or DDL text; never inferred).
 
-    ``by_header=True``: the file's own header decides the column order; columns
+    ``by_header=True``: each file's own header decides its column order; columns
     of ``schema`` are typed and any other column is read as text, so files
     holding more columns than the schema, or in another order, still load by
-    name. Reading the header costs one small job on the first file.
+    name. Files with equal headers are read together and the groups appended by
+    name (a column that a group lacks is NULL there, unless the schema asks for
+    it: then the read fails). Reading a header costs one small job per file.
 
     A gzip file is one task whatever its size; convert such inputs once with
     :func:`qalens.sources.tables.convert_to_parquet` and query the Parquet.
@@ -42,10 +56,21 @@ def read_csv(
     opts.update(options or {})
     if isinstance(schema, str):  # DDL text, e.g. "Id long, Name string"
         schema = spark.createDataFrame([], schema).schema
-    if by_header:
-        header = spark.read.options(**{**opts, "inferSchema": "false"}).csv(path).columns
-        typed = {f.name: f for f in schema.fields}
-        schema = StructType(
-            [typed.get(name, StructField(name, StringType(), True)) for name in header]
-        )
-    return spark.read.options(**opts).schema(schema).csv(path)
+    if not by_header:
+        return spark.read.options(**opts).schema(schema).csv(path)
+    files = spark.read.options(**opts).schema(schema).csv(path).inputFiles()
+    if len(files) <= 1:
+        return _by_header(spark, path, _header(spark, path, opts), schema, opts)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in files:
+        header = _header(spark, f, opts)
+        if header:  # an empty file has none, and no rows
+            groups.setdefault(header, []).append(f)
+    out = None
+    for header, members in sorted(groups.items()):
+        missing = [c for c in schema.fieldNames() if c not in header]
+        if missing and len(groups) > 1:
+            raise ValueError(f"columns {missing} not found in the header of {members[0]}")
+        part = _by_header(spark, members, header, schema, opts)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out if out is not None else spark.createDataFrame([], schema)

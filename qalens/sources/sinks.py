@@ -9,24 +9,6 @@ from pyspark.sql import DataFrame
 from qalens.sources.csv import CSV_OPTIONS
 
 
-def _spread_scan(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the default parallelism if it is a shuffle-free
-    plan with fewer partitions. Counting partitions is free only without a
-    shuffle (with one, AQE would run the shuffle stages just to count), and a
-    shuffled plan is already spread over the shuffle partitions."""
-    from qalens.plans.inspect import plan_text
-
-    try:
-        if "Exchange" in plan_text(df):
-            return df
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            return df.repartition(target)
-    except Exception:  # no driver-side RDD view (Spark Connect): keep the layout
-        pass
-    return df
-
-
 def write_parquet(
     df: DataFrame,
     path: str,
@@ -50,23 +32,18 @@ def write_csv(
     *,
     mode: str = "overwrite",
     compression: str = "gzip",
-    files: int | str | None = "auto",
+    files: int | None = None,
 ) -> None:
-    """Write CSV in the dialect :func:`qalens.sources.csv.read_csv` reads back
-    unchanged: header, quoted fields, microsecond timestamps (the default
-    writer keeps only milliseconds) and untrimmed whitespace.
+    """Write CSV in the dialect of :func:`qalens.sources.csv.read_csv`: header, quoted
+    fields, microsecond timestamps (the default writer keeps only milliseconds) and
+    untrimmed whitespace. Every value reads back as it was, but for the empty text, which
+    reads back as NULL: an empty field is NULL in this dialect, quoted or not.
 
     A gzip file can only be read by one task, so the file count decides how
-    parallel every later read is. ``files='auto'`` spreads a shuffle-free input
-    (a scan, filters, projections) over the cluster's default parallelism when
-    it has fewer partitions than that, and otherwise keeps the layout; an int
-    forces that many files; ``None`` keeps the input partitioning.
+    parallel every later read is: ``files`` deals the rows round-robin over that many
+    (a shuffle of the table); ``None`` keeps the input's partitions.
     """
-    out = df
-    if files == "auto":
-        out = _spread_scan(df)
-    elif files:
-        out = df.repartition(int(files))
+    out = df.repartition(files) if files else df
     opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("mode", "multiLine")}
     opts["compression"] = compression
     out.write.mode(mode).options(**opts).csv(path)

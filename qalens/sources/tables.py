@@ -27,6 +27,12 @@ def text_schema(table: str) -> StructType:
     )
 
 
+def all_text_schema(table: str) -> StructType:
+    """Every known column as text: what CSV files are read with, so that values convert by the
+    rules of :func:`apply_schema` whatever the source."""
+    return StructType([StructField(name, StringType(), True) for name in TABLES[table]])
+
+
 def apply_schema(df: DataFrame, table: str) -> DataFrame:
     """Keep the known columns, by name, with their declared types; time text
     that matches no accepted layout, and any value that does not convert
@@ -72,7 +78,7 @@ def load_table(
     if fmt == "parquet":
         raw = spark.read.parquet(path)
     else:
-        raw = read_csv(spark, path, text_schema(table), by_header=True, options=csv_options)
+        raw = read_csv(spark, path, all_text_schema(table), by_header=True, options=csv_options)
     return apply_schema(raw, table)
 
 
@@ -95,6 +101,40 @@ def load_tables(
     }
 
 
+def rejected_values(
+    spark: SparkSession,
+    directory: str,
+    fmt: str = "csv.gz",
+    tables: Iterable[str] = tuple(TABLES),
+    *,
+    csv_options: dict[str, str] | None = None,
+    paths: dict[str, str] | None = None,
+) -> DataFrame:
+    """What loading turned into NULL: ``table``, ``column``, ``rows`` for every typed column
+    with values that do not convert (bad dates, text in number columns), and the column
+    ``(record)`` for rows that are not well-formed records. One scan and one row of partial
+    counts per task for each table."""
+    out = None
+    for t in tables:
+        path = (paths or {}).get(t) or table_path(directory, t, fmt)
+        if fmt == "parquet":
+            raw, torn = spark.read.parquet(path), F.lit(False)
+        else:
+            options = {**(csv_options or {}), "columnNameOfCorruptRecord": "__record"}
+            raw = read_csv(spark, path, all_text_schema(t), by_header=True, options=options)
+            torn = F.col("__record").isNotNull()
+        checks = {"(record)": torn}
+        for name, kind in TABLES[t].items():
+            if isinstance(raw.schema[name].dataType, StringType) and not isinstance(kind, StringType):
+                value = parse_timestamp(name) if isinstance(kind, TimestampNTZType) else F.col(name).try_cast(kind)
+                checks[name] = F.col(name).isNotNull() & value.isNull()
+        counted = raw.agg(*[F.count_if(c).alias(n) for n, c in checks.items()])
+        rows = F.explode(F.array(*[F.struct(F.lit(n).alias("column"), F.col(f"`{n}`").alias("rows")) for n in checks])).alias("r")
+        one = counted.select(F.lit(t).alias("table"), rows).select("table", "r.column", "r.rows").where("rows > 0")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def convert_to_parquet(
     spark: SparkSession,
     src_dir: str,
@@ -117,81 +157,3 @@ def convert_to_parquet(
         write_parquet(df, path, files=files_per_table)
         out[t] = path
     return out
-
-
-# Join keys of the site analyses. Bucketing both sides of a join on its key with
-# the same bucket count lets Spark aggregate and join them without a shuffle:
-# Comments and Votes are aggregated per PostId and joined to Posts.Id (Q4, Q5);
-# Users.Id meets the per-owner sums of Q2.
-SITE_BUCKET_KEYS = {"Posts": "Id", "Users": "Id", "Comments": "PostId", "Votes": "PostId"}
-
-
-def write_bucketed(
-    spark: SparkSession,
-    tables: dict[str, DataFrame],
-    dst_dir: str,
-    buckets: int,
-    *,
-    database: str = "qalens",
-    keys: dict[str, str] = SITE_BUCKET_KEYS,
-) -> dict[str, str]:
-    """Write each table as Parquet under ``dst_dir/<name>``, bucketed and sorted
-    on its join key (tables without one are written plainly), and register it in
-    the session catalog as ``database.name``. Returns the table names.
-
-    Use one bucket count for tables that are joined together, sized like the
-    shuffle partitions (bytes / 200 MB). The bucket layout lives in the catalog:
-    with a persistent metastore it survives the session, otherwise re-register.
-    """
-    root = dst_dir.rstrip("/")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_{database}.db'")
-    names = {}
-    for name, df in tables.items():
-        key = keys.get(name)
-        # hash-partition on the bucket key first: task i then holds exactly bucket i
-        # and writes one file, instead of every task writing a file per bucket
-        out = df.repartition(buckets, key) if key else df
-        writer = out.write.mode("overwrite").format("parquet").option("path", f"{root}/{name}")
-        if key:
-            writer = writer.bucketBy(buckets, key).sortBy(key)
-        qualified = f"{database}.{name}"
-        writer.saveAsTable(qualified)
-        names[name] = qualified
-    return names
-
-
-def load_bucketed(
-    spark: SparkSession, database: str = "qalens", tables: Iterable[str] = tuple(TABLES)
-) -> dict[str, DataFrame]:
-    """The tables written by :func:`write_bucketed`, with their bucket layout."""
-    return {t: spark.table(f"{database}.{t}") for t in tables}
-
-
-def register_bucketed(
-    spark: SparkSession,
-    dst_dir: str,
-    buckets: int,
-    *,
-    database: str = "qalens",
-    tables: Iterable[str] = tuple(TABLES),
-    keys: dict[str, str] = SITE_BUCKET_KEYS,
-) -> dict[str, str]:
-    """Declare tables written by :func:`write_bucketed` in this session's
-    catalog again (their files stay where they are), so a new session without a
-    persistent metastore still plans with the bucket layout."""
-    root = dst_dir.rstrip("/")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_{database}.db'")
-    names = {}
-    for name in tables:
-        path = f"{root}/{name}"
-        columns = ", ".join(
-            f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields
-        )
-        key = keys.get(name)
-        layout = f" CLUSTERED BY ({key}) SORTED BY ({key}) INTO {int(buckets)} BUCKETS" if key else ""
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet{layout} "
-            f"LOCATION '{path}'"
-        )
-        names[name] = f"{database}.{name}"
-    return names
