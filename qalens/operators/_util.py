@@ -12,16 +12,3 @@ def ratio(numerator: str | Column, denominator: str | Column) -> Column:
     """Double division. Casting first avoids Spark's decimal result for
     ``count * 1.0 / total``, which rounds to six places."""
     return as_col(numerator).cast("double") / as_col(denominator).cast("double")
-
-
-_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-
-
-def conf_bytes(value: str | None) -> int:
-    """Parse a Spark byte-size setting ('10485760', '10485760b', '10MB', '-1')."""
-    if value is None:
-        return -1
-    text = value.strip().lower()
-    digits = text.rstrip("abcdefghijklmnopqrstuvwxyz")
-    unit = text[len(digits):] or "b"
-    return int(float(digits) * _UNITS.get(unit, 1))

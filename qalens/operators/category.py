@@ -5,29 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from qalens.functions.dates import GRAINS, period_label, period_start
-from qalens.operators._util import as_col, conf_bytes, ratio
+from qalens.functions.dates import period_label, period_start
+from qalens.operators._util import as_col, ratio
 
 METHODS = ("aggregate", "window")
 
-# Spark timestamps span years 1-9999, which bounds the number of
-# calendar periods a grain can produce; a per-period row (label and two longs)
-# takes under 64 bytes.
-MAX_YEARS = 9999
-PERIODS_PER_YEAR = {"yyyy": 1, "yyyy-MM": 12, "yyyy-MM-dd": 366}
-PERIOD_ROW_BYTES = 64
-
-
-def periods_fit_broadcast(spark, grain: str) -> bool:
-    """True when the most periods ``grain`` can ever produce fit under the
-    session's broadcast threshold: a proven bound, whatever the data size.
-    'yyyy' (<= 9,999 rows) and 'yyyy-MM' (<= 119,988) fit the 10 MB default;
-    daily periods do not, and are left to AQE's measured decision."""
-    per_year = PERIODS_PER_YEAR.get(GRAINS.get(grain, grain))
-    limit = conf_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None))
-    return per_year is not None and 0 < MAX_YEARS * per_year * PERIOD_ROW_BYTES <= limit
-
-
 def period_category_counts(
     df: DataFrame,
     ts: str | Column,
@@ -68,10 +50,9 @@ def share_of_period(
 
     ``method='aggregate'`` (default): period totals come from a second, tiny
     aggregate of the counts and are joined back. The totals hold one row per
-    period, so AQE broadcasts them and the counts never move again; if they
-    are too large to broadcast, the sort-merge join's skew handling splits a hot
-    period. For yearly and monthly grains the totals are broadcast by plan
-    (see :func:`periods_fit_broadcast`), so the counts are never re-shuffled.
+    period, so AQE, which measures them, broadcasts them and the counts never move again;
+    if they are too large for that, the sort-merge join's skew handling splits a hot
+    period.
     ``method='window'``: ``sum(count) over (partition by period)``, one
     more shuffle of all counts and one task per period.
     """
@@ -83,8 +64,6 @@ def share_of_period(
         total = F.sum(count_name).over(Window.partitionBy(period_name))
     elif method == "aggregate":
         totals = counts.groupBy(period_name).agg(F.sum(count_name).alias("__total"))
-        if periods_fit_broadcast(df.sparkSession, grain):
-            totals = F.broadcast(totals)
         counts = counts.join(totals, period_name, "inner")
         total = F.col("__total")
     else:
@@ -126,7 +105,6 @@ def top_category_per_period(
     return top_category_from_counts(
         counts, period_name=period_name, category_name=category_name, count_name=cnt,
         share_name=share_name, ties=ties, method=method,
-        periods_bounded=periods_fit_broadcast(df.sparkSession, grain),
     )
 
 
@@ -139,12 +117,8 @@ def top_category_from_counts(
     share_name: str = "MaxPercentage",
     ties: str = "first",
     method: str = "aggregate",
-    periods_bounded: bool = False,
 ) -> DataFrame:
-    """:func:`top_category_per_period` on rows already counted per (period, category).
-
-    ``periods_bounded=True`` asserts the number of periods is provably small,
-    so the per-period maxima are broadcast to the join with ``ties='all'``."""
+    """:func:`top_category_per_period` on rows already counted per (period, category)."""
     if ties not in ("first", "all"):
         raise ValueError("ties must be 'first' or 'all'")
     cnt = count_name
@@ -181,8 +155,6 @@ def top_category_from_counts(
     per_period = counts.groupBy(F.col(period_name).alias("__p")).agg(
         F.max(cnt).alias("__max"), F.sum(cnt).alias("__total")
     )
-    if periods_bounded:
-        per_period = F.broadcast(per_period)
     return counts.join(
         per_period,
         (F.col(period_name) == F.col("__p")) & (F.col(cnt) == F.col("__max")),
