@@ -9,13 +9,18 @@ depend on how many texts a batch holds (a single longer text is one chunk).
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
+#: Text of a batch that is turned into Python strings at a time.
+PART_BYTES = 2 << 20
 _U = np.uint64
 
 
@@ -43,6 +48,21 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def tidy(scan):
+    """``scan``, a function of a task's batches, giving freed memory back when it ends: an idle
+    Python worker goes on living, and what it holds counts against its executor."""
+
+    def run(batches):
+        try:
+            yield from scan(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 _GOLDEN = _U(0x9E3779B97F4A7C15)
 
 
@@ -166,10 +186,17 @@ def word_chunks(
         lo = hi
 
 
-def segment_counts(flags: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """How many flags are set in each segment ``first[i]:first[i + 1]``."""
-    total = np.concatenate(([0], np.cumsum(flags)))
-    return total[first[1:]] - total[first[:-1]]
+def text_parts(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``PART_BYTES`` of the column's text, covering every row."""
+    if not batch.num_rows:
+        return
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < batch.num_rows:
+        hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PART_BYTES, side="right"))
+        hi = min(batch.num_rows, max(lo + 1, hi))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
 
 
 def cover(starts: np.ndarray, lengths: np.ndarray | int, n: int) -> np.ndarray:

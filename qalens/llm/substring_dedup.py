@@ -31,13 +31,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qalens.llm._shared import materialise
-from qalens.llm._text import Words, mix, window_hashes, word_chunks
+from qalens.llm._text import Words, mix, text_parts, tidy, window_hashes, word_chunks
 
 LENGTH = 35
 SEED = 8
 GROUP_SUFFIXES = 20_000
 #: Suffixes sorted at a time by a task: whole prefix groups, at least this many together.
 BATCH_SUFFIXES = 8_000
+#: Seeds in one broadcast set (8 bytes each).
+BROADCAST_SEEDS = 4_000_000
 
 _ROOT = np.uint64(0x9FB21C651E98DF25)
 _NODE = np.uint64(0x9E3779B97F4A7C15)
@@ -67,21 +69,20 @@ def _seeds(chunk: Words, word: np.ndarray, length: int, seed: int) -> tuple[np.n
 
 
 def _keyed(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``doc_id``, ``text`` and two hashes of both: rows are dealt by ``key``; ``check`` goes
+    with every result, so rows whose keys collide do not get each other's."""
     body = F.coalesce(F.col(text), F.lit(""))
-    return documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
-
-
-def _same(left: DataFrame, right: DataFrame):
-    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["text_hash"] == right["text_hash"])
+    return documents.select(
+        F.col(doc_id).alias("doc_id"), F.xxhash64(doc_id, body).alias("key"), F.xxhash64(F.lit(1), doc_id, body).alias("check"), body.alias("text")
+    )
 
 
 def seed_counts(keyed: DataFrame, length: int, seed: int) -> DataFrame:
-    """``(doc_id, text_hash, seed, n)``: the seeds of each document and how often it has each."""
-    kind = keyed.schema["doc_id"].dataType.simpleString()
+    """``(key, seed, n)``: the seeds of each document and how often it has each."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in word_chunks(batch.column(2)):
+            for chunk in word_chunks(batch.column(1)):
                 windows, place, values = _seeds(chunk, chunk.hashes(), length, seed)
                 places = np.unique(place)
                 row = np.searchsorted(chunk.first, places, side="right") - 1
@@ -91,21 +92,18 @@ def seed_counts(keyed: DataFrame, length: int, seed: int) -> DataFrame:
                 new = np.ones(len(row), dtype=bool)
                 new[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
                 at = np.flatnonzero(new)
-                take = pa.array(chunk.lo + row[at])
                 n = np.diff(np.append(at, len(row)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(value[at].view(np.int64)), pa.array(n.astype(np.int32))],
-                    ["doc_id", "text_hash", "seed", "n"],
+                    [batch.column(0).take(pa.array(chunk.lo + row[at])), pa.array(value[at].view(np.int64)), pa.array(n.astype(np.int32))], ["key", "seed", "n"]
                 )
 
-    return keyed.mapInArrow(scan, f"doc_id {kind}, text_hash long, seed long, n int")
+    return keyed.select("key", "text").mapInArrow(tidy(scan), "key long, seed long, n int")
 
 
 def _runs(with_seeds: DataFrame, length: int, seed: int) -> DataFrame:
     """Maximal runs of windows that name the same occurrence of a listed seed, with their
     words. ``first``: the run's first word in the document; ``seed_at``: the seed's in the run."""
-    kind = with_seeds.schema["doc_id"].dataType.simpleString()
-    names = ["seed", "doc_id", "text_hash", "first", "windows", "seed_at", "words"]
+    names = ["seed", "key", "check", "first", "windows", "seed_at", "words"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,7 +137,7 @@ def _runs(with_seeds: DataFrame, length: int, seed: int) -> DataFrame:
                     names,
                 )
 
-    return with_seeds.mapInArrow(scan, f"seed long, doc_id {kind}, text_hash long, first int, windows int, seed_at int, words binary")
+    return with_seeds.mapInArrow(tidy(scan), "seed long, key long, check long, first int, windows int, seed_at int, words binary")
 
 
 def _repeated(chunk: Words, windows: np.ndarray, seed_at: np.ndarray, length: int, seed: int) -> np.ndarray:
@@ -178,8 +176,7 @@ def _repeated(chunk: Words, windows: np.ndarray, seed_at: np.ndarray, length: in
 
 
 def _trees(runs: DataFrame, length: int, seed: int, batch_suffixes: int) -> DataFrame:
-    """``(doc_id, text_hash, start, stop)``: word ranges inside repeated windows."""
-    kind = runs.schema["doc_id"].dataType.simpleString()
+    """``(key, check, start, stop)``: word ranges inside repeated windows."""
 
     def build(table: pa.Table) -> Iterator[pa.RecordBatch]:
         columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in table.columns]
@@ -194,7 +191,7 @@ def _trees(runs: DataFrame, length: int, seed: int, batch_suffixes: int) -> Data
         take = pa.array(row)
         yield pa.RecordBatch.from_arrays(
             [columns[1].take(take), columns[2].take(take), pa.array((first[row] + begin).astype(np.int32)), pa.array((first[row] + end + length - 1).astype(np.int32))],
-            ["doc_id", "text_hash", "start", "stop"],
+            ["key", "check", "start", "stop"],
         )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,59 +210,76 @@ def _trees(runs: DataFrame, length: int, seed: int, batch_suffixes: int) -> Data
             yield from build(pa.Table.from_batches(held))
 
     sorted_runs = runs.repartition("seed").sortWithinPartitions("seed")
-    return sorted_runs.mapInArrow(scan, f"doc_id {kind}, text_hash long, start int, stop int")
-
+    return sorted_runs.mapInArrow(tidy(scan), "key long, check long, start int, stop int")
+
+
+def _long_prefixes(keyed: DataFrame, common: DataFrame, length: int, seed: int) -> DataFrame:
+    """The same ranges for the ``common`` seeds, those with too many suffixes for a task: the
+    prefix is the whole window (128 hash bits), so its group is one node, counted with partial
+    sums. The join back is an ordinary one that the engine may split where a window is very
+    common. Texts are scanned once more but not shuffled.
+
+    Common seeds are broadcast: there are at most (all suffixes / ``group_suffixes``) of them,
+    dealt into sets of ``BROADCAST_SEEDS``."""
+    spark, windows = keyed.sparkSession, None
+    sets = -(-common.count() // BROADCAST_SEEDS)
+    for k in range(sets):
+        part = common.where(F.pmod("seed", F.lit(sets)) == k).collect()
+        known = spark.sparkContext.broadcast(np.unique(np.array([r["seed"] for r in part], dtype=np.int64).view(np.uint64)))
+        own = keyed.select("key", "check", "text").mapInArrow(tidy(_windows_of(known, length, seed)), "window_a long, window_b long, key long, check long, start int")
+        windows = own if windows is None else windows.union(own)
+    windows = materialise(windows, "windows")
+    twice = windows.groupBy("window_a", "window_b").agg(F.count("*").alias("n")).where("n > 1").select("window_a", "window_b")
+    return windows.join(twice, ["window_a", "window_b"]).select("key", "check", "start", (F.col("start") + length).alias("stop"))
 
-def _long_prefixes(runs: DataFrame, length: int) -> DataFrame:
-    """The same ranges for seeds with too many suffixes for a task: the prefix is the whole
-    window (128 hash bits), so its group is one node, counted with partial sums. The join back
-    is an ordinary one that the engine may split where a window is very common."""
-    kind = runs.schema["doc_id"].dataType.simpleString()
 
+def _windows_of(known, length: int, seed: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = known.value
         for batch in batches:
-            for chunk in word_chunks(batch.column(6)):
-                word, at = chunk.hashes(), chunk.window_starts(length)
+            for chunk in word_chunks(batch.column(2)):
+                word = chunk.hashes()
+                at, place, values = _seeds(chunk, word, length, seed)
+                if not len(common) or not len(at):
+                    continue
+                asked = values[place]
+                at = at[common[np.minimum(np.searchsorted(common, asked), len(common) - 1)] == asked]
                 row = np.searchsorted(chunk.first, at, side="right") - 1
-                start = batch.column(3).to_numpy()[chunk.lo + row] + at - chunk.first[row]
                 take = pa.array(chunk.lo + row)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(window_hashes(word, at, length).view(np.int64)),
                         pa.array(window_hashes(mix(word + np.uint64(5)), at, length).view(np.int64)),
+                        batch.column(0).take(take),
                         batch.column(1).take(take),
-                        batch.column(2).take(take),
-                        pa.array(start.astype(np.int32)),
+                        pa.array((at - chunk.first[row]).astype(np.int32)),
                     ],
-                    ["window_a", "window_b", "doc_id", "text_hash", "start"],
+                    ["window_a", "window_b", "key", "check", "start"],
                 )
 
-    windows = materialise(runs.mapInArrow(scan, f"window_a long, window_b long, doc_id {kind}, text_hash long, start int"), "windows")
-    twice = windows.groupBy("window_a", "window_b").agg(F.count("*").alias("n")).where("n > 1").select("window_a", "window_b")
-    return windows.join(twice, ["window_a", "window_b"]).select("doc_id", "text_hash", "start", (F.col("start") + length).alias("stop"))
+    return scan
 
 
 def repeated_ranges(
     keyed: DataFrame, length: int = LENGTH, seed: int = SEED, group_suffixes: int = GROUP_SUFFIXES, batch_suffixes: int = BATCH_SUFFIXES
 ) -> DataFrame:
-    """``(doc_id, text_hash, ranges)``: for documents with any, the word ranges to remove."""
+    """``(key, ranges)``: for documents with any, the word ranges to remove, each with the
+    document's ``check``."""
     if not 0 < seed <= length:
         raise ValueError("a seed has at least one word and at most a window's")
     found = materialise(seed_counts(keyed, length, seed), "seeds")
     counts = materialise(found.groupBy("seed").agg(F.sum("n").alias("suffixes")).where("suffixes > 1"), "repeated-seeds")
 
-    def ranges(wanted: DataFrame) -> DataFrame:
-        listed = (
-            found.join(wanted.select("seed"), "seed").groupBy("doc_id", "text_hash").agg(F.collect_set("seed").alias("seeds"))
-        )
-        with_seeds = keyed.join(listed, _same(keyed, listed)).select(keyed["doc_id"], keyed["text_hash"], "text", "seeds")
-        return _runs(with_seeds, length, seed)
-
+    # dealt by key before they are listed: lists are larger than their rows
+    few = counts.where(F.col("suffixes") <= group_suffixes).select("seed")
+    listed = found.join(few, "seed").select("key", "seed").repartition("key").groupBy("key").agg(F.collect_list("seed").alias("seeds"))
+    # with the id, this shuffle of the texts is the one that the removal reads again
+    with_seeds = keyed.join(listed, "key").select("key", "check", "text", "seeds", "doc_id")
+    ranges = _trees(_runs(with_seeds, length, seed), length, seed, batch_suffixes)
     common = counts.where(F.col("suffixes") > group_suffixes)
-    found_ranges = _trees(ranges(counts.where(F.col("suffixes") <= group_suffixes)), length, seed, batch_suffixes)
     if not common.isEmpty():
-        found_ranges = found_ranges.union(_long_prefixes(ranges(common), length))
-    return found_ranges.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
+        ranges = ranges.union(_long_prefixes(keyed, common, length, seed))
+    return ranges.repartition("key").groupBy("key").agg(F.collect_list(F.struct("check", "start", "stop")).alias("ranges"))
 
 
 def remove_repeats(
@@ -273,30 +287,29 @@ def remove_repeats(
 ) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept_text)``; kept words are joined by one space."""
     keyed = _keyed(documents, doc_id, text)
-    ranges = repeated_ranges(keyed, length, seed, group_suffixes)
-    both = keyed.join(ranges, _same(keyed, ranges), "left").select(keyed["doc_id"], keyed["text"], "ranges")
+    both = keyed.join(repeated_ranges(keyed, length, seed, group_suffixes), "key", "left").select("doc_id", "check", "text", "ranges")
     kind = both.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ranges, sizes, removed, kept = batch.column(2).to_pylist(), [], [], []
-            for body, own in zip(batch.column(1).cast(pa.binary()).to_pylist(), ranges):
+        for part in (p for batch in batches for p in text_parts(batch, 2)):
+            sizes, removed, kept = [], [], []
+            for check, body, ranges in zip(part.column(1).to_pylist(), part.column(2).cast(pa.binary()).to_pylist(), part.column(3).to_pylist()):
                 words = body.split()
                 sizes.append(len(words))
-                if own:
+                if ranges:
                     left, at = [], 0
-                    for x in sorted(own, key=lambda x: x["start"]):
+                    for x in sorted((x for x in ranges if x["check"] == check), key=lambda x: x["start"]):
                         left += words[at : max(at, x["start"])]
                         at = max(at, x["stop"])
                     words = left + words[at:]
                 removed.append(sizes[-1] - len(words))
                 kept.append(b" ".join(words))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
+                [part.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
                 ["doc_id", "n_words", "n_removed", "kept_text"],
             )
 
-    return both.mapInArrow(cut, f"doc_id {kind}, n_words long, n_removed long, kept_text string")
+    return both.mapInArrow(tidy(cut), f"doc_id {kind}, n_words long, n_removed long, kept_text string")
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
