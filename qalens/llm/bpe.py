@@ -9,7 +9,7 @@ replayed per word, and no text is encoded twice within a task's words.
 
 Vocabulary, normalisation, word pattern and special strings come from a ``tokenizers`` JSON
 file (a path parameter). Texts are never shuffled; a task's memory is bounded by
-``CHUNK_BYTES`` of text and ``REMEMBER`` words.
+a part of a batch and ``REMEMBER`` words.
 
 Defined results: a null or empty text has no tokens and decodes to the empty string; other
 columns pass through only if asked for; an empty table gives an empty result.
@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qalens.llm._text import CHUNK_BYTES
+from qalens.llm._text import text_parts, tidy
 
 #: Words whose tokens a worker keeps between batches.
-REMEMBER = 500_000
+REMEMBER = 300_000
 END = "</w>"
 _RARE = re.compile("[^\x00-\u02ff\u2010-\u2027\u20ac]")
 
@@ -59,7 +59,6 @@ class Vocabulary:
         for left, right in merges:
             self.made_by.setdefault(left + right, (left, right))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = {i: t for t, i in {**self.ids, **self.special}.items()}
         self._follows: dict[tuple[str, str], bool] = {}
         self._whole: dict[str, bool] = {}
         self._edges: dict[tuple[str, int], list[tuple[str, int]]] = {}
@@ -104,7 +103,7 @@ class Vocabulary:
                 i += 1
             else:
                 j += 1
-        if len(self._follows) > 2_000_000:
+        if len(self._follows) > REMEMBER:
             self._follows.clear()
         self._follows[left, right] = kept
         return kept
@@ -202,6 +201,10 @@ class Encoder:
         self._ascii = re.compile(re.sub(r"\\p\{L\}", "a-zA-Z", re.sub(r"\\p\{N\}", "0-9", pattern)).replace("\\s", "\\t-\\r "))
         self._special = re.compile("|".join(map(re.escape, sorted(self.vocabulary.special, key=len, reverse=True))) or r"(?!)")
         self._symbols = byte_symbols()
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop the words learnt so far."""
         self.known: dict[str, str] = {t: str(i) for t, i in self.vocabulary.special.items()}
 
     def _words(self, text: str) -> list[str]:
@@ -236,7 +239,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[str]:
         """Ids of each text, as decimals joined by one space."""
         if len(self.known) > REMEMBER:
-            self.known = {t: str(i) for t, i in self.vocabulary.special.items()}
+            self.forget()
         split = [self.split(t) for t in texts]
         self.learn({w for words in split for w in words})
         known = self.known
@@ -259,23 +262,9 @@ def _encoder(text: str) -> Encoder:
 
 @lru_cache(maxsize=2)
 def _tokens(text: str) -> dict[str, str]:
-    return {str(i): t for i, t in Vocabulary(json.loads(text)).tokens.items()}
-
-
-def _parts(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of bounded text."""
-    import numpy as np
-    import pyarrow.compute as pc
-
-    if not batch.num_rows:
-        return
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    lo = 0
-    while lo < batch.num_rows:
-        hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + CHUNK_BYTES, side="right"))
-        hi = min(batch.num_rows, max(lo + 1, hi))
-        yield batch.slice(lo, hi - lo)
-        lo = hi
+    spec = json.loads(text)
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    return {str(i): t for t, i in {**spec["model"]["vocab"], **special}.items()}
 
 
 def _tokenizer_json(path: str) -> str:
@@ -283,21 +272,32 @@ def _tokenizer_json(path: str) -> str:
         return json.dumps(json.load(f))
 
 
-def encode(documents: DataFrame, tokenizer: str, text: str = "text", keep_columns: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``keep_columns`` with ``ids`` (decimals joined by one space) and ``n_tokens``."""
+def _decoded(tokens: dict[str, str], ids: list[str]) -> pa.Array:
+    return pa.array([" ".join([tokens[x] for x in own.split()]) if own else "" for own in ids], pa.string())
+
+
+def encode(
+    documents: DataFrame, tokenizer: str, text: str = "text", keep_columns: Sequence[str] = ("doc_id",), decode_to: str | None = None
+) -> DataFrame:
+    """``keep_columns`` with ``ids`` (decimals joined by one space) and ``n_tokens``;
+    ``decode_to`` adds what :func:`decode` makes of the ids, in the same pass."""
     source = documents.sparkSession.sparkContext.broadcast(_tokenizer_json(tokenizer))
     schema = T.StructType([documents.schema[c] for c in keep_columns]).add("ids", "string").add("n_tokens", "long")
+    if decode_to:
+        schema = schema.add(decode_to, "string")
     at = len(keep_columns)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(source.value)
         for batch in batches:
-            for part in _parts(batch, at):
+            for part in text_parts(batch, at):
                 ids = encoder.encode([t or "" for t in part.column(at).to_pylist()])
                 sizes = [x.count(" ") + 1 if x else 0 for x in ids]
-                yield pa.RecordBatch.from_arrays([*part.columns[:at], pa.array(ids, pa.string()), pa.array(sizes, pa.int64())], schema.names)
+                more = [_decoded(_tokens(source.value), ids)] if decode_to else []
+                yield pa.RecordBatch.from_arrays([*part.columns[:at], pa.array(ids, pa.string()), pa.array(sizes, pa.int64()), *more], schema.names)
+        encoder.forget()
 
-    return documents.select(*keep_columns, F.col(text).alias("_text")).mapInArrow(rows, schema)
+    return documents.select(*keep_columns, F.col(text).alias("_text")).mapInArrow(tidy(rows), schema)
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
@@ -310,11 +310,10 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", to: str = "deco
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _tokens(source.value)
         for batch in batches:
-            for part in _parts(batch, at):
-                texts = [" ".join([tokens[x] for x in own.split()]) if own else "" for own in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], schema.names)
+            for part in text_parts(batch, at):
+                yield pa.RecordBatch.from_arrays([*part.columns, _decoded(tokens, part.column(at).to_pylist())], schema.names)
 
-    return encoded.mapInArrow(rows, schema)
+    return encoded.mapInArrow(tidy(rows), schema)
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,5 +322,5 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from qalens.sources.supplied import read_supplied
 
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
-    both = decode(encode(read_supplied(spark, sf_dir, "documents"), tokenizer), tokenizer)
+    both = encode(read_supplied(spark, sf_dir, "documents"), tokenizer, decode_to="decoded")
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
