@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qalens.llm._shared import materialise, pack, unpack
-from qalens.llm._text import ALNUM_WORDS, LOWER_ASCII, cover, window_hashes, word_chunks
+from qalens.llm._text import ALNUM_WORDS, LOWER_ASCII, cover, tidy, window_hashes, word_chunks
 
 N = 10
 MAX_WINDOWS = 2_000_000
@@ -58,7 +58,7 @@ def benchmark_windows(benchmark: DataFrame, n: int = N, item: str = "item_id", t
                 )
 
     rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")).mapInArrow(
-        scan, "size int, hash long, words binary, item string"
+        tidy(scan), "size int, hash long, words binary, item string"
     )
     return rows.groupBy("size", "hash", "words").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
@@ -141,7 +141,7 @@ def _scan(documents: DataFrame, index, text: str) -> DataFrame:
             own |= {"spans": pa.array(spans, pa.list_(_SPAN)), "items": pa.array(found, pa.list_(pa.string())), "n_words": pa.array(n_words)}
             yield pa.RecordBatch.from_arrays([own[c] for c in names], names)
 
-    return documents.mapInArrow(scan, schema)
+    return documents.mapInArrow(tidy(scan), schema)
 
 
 def find_contamination(
@@ -195,7 +195,7 @@ def remove_spans(documents: DataFrame, benchmark: DataFrame, text: str = "text",
                         texts[r] = b" ".join([*kept, raw[at:]]).decode()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["_row", "_text"])
 
-    return unpack(found.mapInArrow(cut, schema), documents.columns, text)
+    return unpack(found.mapInArrow(tidy(cut), schema), documents.columns, text)
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

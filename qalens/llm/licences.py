@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qalens.llm._text import ALNUM_WORDS, LOWER_ASCII, Words, mix, window_hashes, word_chunks
+from qalens.llm._text import ALNUM_WORDS, LOWER_ASCII, Words, mix, tidy, window_hashes, word_chunks
 
 MAX_BIGRAMS = 1_000_000
 LEAST = 0.8
@@ -179,7 +179,7 @@ def scan_licences(documents: DataFrame, templates: Mapping[str, str] | None = No
             )
 
     return documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        scan, f"doc_id {kind}, licence string, dice double, line int, matches array<struct<line:int,licence:string,dice:double>>"
+        tidy(scan), f"doc_id {kind}, licence string, dice double, line int, matches array<struct<line:int,licence:string,dice:double>>"
     )
 
 

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qalens.llm._shared import materialise
+from qalens.llm._text import text_parts, tidy
 
 #: Lengths per block of the two-level sums.
 BLOCK = 256
@@ -46,11 +47,11 @@ def token_lengths(documents: DataFrame, ranks_path: str, pattern: str, text: str
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoding(source.value, pattern).encode_ordinary
-        for batch in batches:
-            sizes = [len(encode(body.as_py())) if body.is_valid else 0 for body in batch.column(at)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(sizes, pa.int64())], schema.names)
+        for part in (p for batch in batches for p in text_parts(batch, at)):
+            sizes = [len(encode(body)) if body else 0 for body in part.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns[:at], pa.array(sizes, pa.int64())], schema.names)
 
-    return documents.select(*keep_columns, F.col(text).alias("_text")).mapInArrow(rows, schema)
+    return documents.select(*keep_columns, F.col(text).alias("_text")).mapInArrow(tidy(rows), schema)
 
 
 def length_histogram(lengths: DataFrame, group: Sequence[str] = ()) -> DataFrame:

@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qalens.llm._shared import materialise
+from qalens.llm._text import text_parts, tidy
 from qalens.session import shared_dir
 
 REVISIT_BYTES = 1000
@@ -211,8 +212,8 @@ def write_warc(
             state["bytes"] += len(member)
             state["records"] += records
 
-        for batch in batches:
-            for row in batch.to_pylist():
+        for part in (p for batch in batches for p in text_parts(batch, 6)):
+            for row in part.to_pylist():
                 if row["shard"] != state["shard"]:
                     close()
                     state |= {"shard": row["shard"], "file": 0}
@@ -234,7 +235,7 @@ def write_warc(
             kinds = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays([c.cast(k) for c, k in zip(columns, kinds)], ["shard", "file", "written", "name", "records", "bytes", "sha1"])
 
-    written = materialise(dealt.mapInArrow(write, _MANIFEST), "warc-written")
+    written = materialise(dealt.mapInArrow(tidy(write), _MANIFEST), "warc-written")
 
     def rename(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs as kinds
@@ -248,7 +249,7 @@ def write_warc(
                     raise OSError(f"{row['name']}: lost before it was committed")
             yield batch
 
-    written.mapInArrow(rename, _MANIFEST).drop("written").write.parquet(f"{path}/_manifest")
+    written.mapInArrow(tidy(rename), _MANIFEST).drop("written").write.parquet(f"{path}/_manifest")
     fs, base = _fs(path)
     from pyarrow import fs as kinds
 
@@ -321,7 +322,7 @@ def read_warc(spark: SparkSession, path: str, page_type: str = "long", payloads:
                 if rows:
                     yield flush(rows)
 
-    records = files.repartitionByRange(n, "name").mapInArrow(read, schema)
+    records = files.repartitionByRange(n, "name").mapInArrow(tidy(read), schema)
     return records.select(
         F.col("page").cast(page_type).alias("page_id"), "url", "record_type", "payload_bytes", "payload_digest",
         F.col("refers_to").cast(page_type).alias("refers_to"), *(["payload"] * payloads),

@@ -113,6 +113,13 @@ def test_substring_dedup_of_other_lengths(spark, length, seed):
         assert {r.doc_id: (r.n_words, r.n_removed, brute.sha(r.kept_text.encode())) for r in rows} == dict(enumerate(brute.substring_dedup(texts, length)))
 
 
+def test_substring_dedup_with_several_sets_of_common_seeds(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "BROADCAST_SEEDS", 2)
+    texts = [PASSAGE, f"{PASSAGE} z", "k"]
+    rows = substring_dedup.remove_repeats(frame(spark, texts), group_suffixes=1).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, brute.sha(r.kept_text.encode())) for r in rows} == dict(enumerate(brute.substring_dedup(texts)))
+
+
 def test_substring_dedup_with_null_and_repeated_ids(spark):
     rows = substring_dedup.remove_repeats(frame(spark, [PASSAGE, PASSAGE, PASSAGE + " z", "k"], [None, 5, 5, 5])).collect()
     assert sorted((str(r.doc_id), r.n_words, r.n_removed) for r in rows) == [("5", 1, 0), ("5", 60, 60), ("5", 61, 60), ("None", 60, 60)]
@@ -190,6 +197,8 @@ def test_bpe(spark, docs, none):
         ids = tokenizer.encode(TEXTS[r.doc_id] or "", add_special_tokens=False).ids
         assert (r.ids, r.n_tokens) == (" ".join(map(str, ids)), len(ids)) and r.decoded == tokenizer.decode(ids, skip_special_tokens=False)
     assert bpe.decode(bpe.encode(none, path), path).count() == 0
+    both = bpe.encode(docs, path, decode_to="decoded")
+    assert both.exceptAll(bpe.decode(bpe.encode(docs, path), path)).count() == 0
 
 
 def test_bpe_on_odd_texts():
