@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qalens.llm._shared import materialise
-from qalens.llm.bpe import decode, encode
+from qalens.llm.bpe import encode
 from qalens.llm.decontaminate import drop_contaminated
 from qalens.llm.near_dedup import keep_one_of_each
 from qalens.llm.quality import keep_good
@@ -46,7 +46,7 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     tokenizer = public_tokenizers.path(TOKENIZER)
-    return decode(encode(docs, tokenizer), tokenizer)
+    return encode(docs, tokenizer, decode_to="decoded")
 
 
 STAGES = [
