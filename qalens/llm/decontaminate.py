@@ -25,7 +25,8 @@ from qalens.llm._shared import materialise, pack, unpack
 from qalens.llm._text import ALNUM_WORDS, LOWER_ASCII, cover, tidy, window_hashes, word_chunks
 
 N = 10
-MAX_WINDOWS = 2_000_000
+#: Windows in one broadcast set; the driver gathers one set at a time.
+MAX_WINDOWS = 400_000
 
 _TO_WORDS = bytes(int(LOWER_ASCII[b]) if ALNUM_WORDS[LOWER_ASCII[b]] else 0x20 for b in range(256))
 
