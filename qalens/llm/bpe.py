@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 
 from qalens.llm._text import text_parts, tidy
 
-#: Words whose tokens a worker keeps between batches.
-REMEMBER = 300_000
+#: Words, and pairs of tokens, that a worker keeps between batches (words: in two generations).
+REMEMBER = 150_000
 END = "</w>"
 _RARE = re.compile("[^\x00-\u02ff\u2010-\u2027\u20ac]")
 
@@ -59,7 +59,8 @@ class Vocabulary:
         for left, right in merges:
             self.made_by.setdefault(left + right, (left, right))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self._follows: dict[tuple[str, str], bool] = {}
+        self._follows: dict[str, dict[str, bool]] = {}
+        self._n_follows = 0
         self._whole: dict[str, bool] = {}
         self._edges: dict[tuple[str, int], list[tuple[str, int]]] = {}
 
@@ -84,9 +85,9 @@ class Vocabulary:
         The pieces at the boundary grow on both sides; it is lost if, while two of them are
         there together, their own merge comes first. Of equal merges the leftmost comes first.
         """
-        known = self._follows.get((left, right))
-        if known is not None:
-            return known
+        known = self._follows.setdefault(left, {})
+        if right in known:
+            return known[right]
         a, b = self._edge(left, 1), self._edge(right, 0)
         i = j = 0
         kept = True
@@ -103,9 +104,12 @@ class Vocabulary:
                 i += 1
             else:
                 j += 1
-        if len(self._follows) > REMEMBER:
-            self._follows.clear()
-        self._follows[left, right] = kept
+        if self._n_follows > REMEMBER:
+            for own in self._follows.values():  # the walks hold on to these dicts
+                own.clear()
+            self._n_follows = 0
+        known[right] = kept
+        self._n_follows += 1
         return kept
 
     def whole(self, token: str) -> bool:
@@ -148,37 +152,48 @@ class Vocabulary:
             out[key] = max(out.get(key, 1), len(body))
         return out
 
-    def last_token(self, prefix: str, states: Sequence[str], end: str = "") -> str:
-        """The last token of the encoding of ``prefix + end``; ``states[k]``: that of the
-        first ``k`` symbols."""
-        n, endings, follows = len(prefix), self.endings, self._follows
-        for size in range(min(n, self.reach.get(prefix[-2:] + end, 1)), 0, -1):
-            token = prefix[n - size :] + end
-            if token in endings:
-                if size == n:
-                    return token
-                fits = follows.get((states[n - size], token))
-                if self.follows(states[n - size], token) if fits is None else fits:
-                    return token
-        raise ValueError(f"no encoding ends {prefix + end!r}: the vocabulary lacks one of its symbols")
-
     def encode_words(self, words: Iterable[str]) -> Iterator[tuple[str, str]]:
-        """Ids of distinct words, given in sorted order: a depth-first walk of their trie."""
-        path, states, ids, last = "", [""], self.endings, self.last_token
+        """Ids of distinct words, given in sorted order: a depth-first walk of their trie.
+
+        ``states[n]`` is the last token of the encoding of the path's first ``n`` symbols. Of
+        the tokens that end there, exactly one stands for the whole prefix or may follow the
+        state where it begins.
+        """
+        endings, reach, known = self.endings, self.reach, self._follows
+        path, states, after = "", [""], [{}]
+
+        def last(word: str, n: int, end: str = "") -> str:
+            for size in range(min(n, reach.get(word[max(0, n - 2) : n] + end, 1)), 0, -1):
+                token = word[n - size : n] + end
+                if token in endings:
+                    if size == n:
+                        return token
+                    fits = after[n - size].get(token)
+                    if fits is None:
+                        fits = self.follows(states[n - size], token)
+                    if fits:
+                        return token
+            raise ValueError(f"no encoding ends {word[:n] + end!r}: the vocabulary lacks one of its symbols")
+
         for word in words:
             # back up to the branch, then down along the new part
             same, most = 0, min(len(states) - 1, len(word))
-            while same < most and path[same] == word[same]:
-                same += 1
-            del states[same + 1 :]
+            if word[:most] == path[:most]:
+                same = most
+            else:
+                while path[same] == word[same]:
+                    same += 1
+            del states[same + 1 :], after[same + 1 :]
             for n in range(same + 1, len(word)):
-                states.append(last(word[:n], states))
+                token = last(word, n)
+                states.append(token)
+                after.append(known.setdefault(token, {}))
             path = word
-            token = last(word, states, END)
-            out, n = [ids[token]], len(word) - (len(token) - len(END))
+            token = last(word, len(word), END)
+            out, n = [endings[token]], len(word) - (len(token) - len(END))
             while n:
                 token = states[n]
-                out.append(ids[token])
+                out.append(endings[token])
                 n -= len(token)
             yield word, " ".join(out[::-1])
 
@@ -204,7 +219,8 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        """Drop the words learnt so far."""
+        """Drop the words that were not met since the last time."""
+        self.older: dict[str, str] = getattr(self, "known", {})
         self.known: dict[str, str] = {t: str(i) for t, i in self.vocabulary.special.items()}
 
     def _words(self, text: str) -> list[str]:
@@ -228,9 +244,13 @@ class Encoder:
 
     def learn(self, words: Iterable[str]) -> None:
         """Encode the words not yet known, all in one walk."""
-        new = {}
+        new, known, older = {}, self.known, self.older
         for w in words:
-            if w not in self.known:
+            if w in known:
+                continue
+            if w in older:
+                known[w] = older[w]
+            else:
                 # printable ASCII stands for itself
                 new[w if w.isascii() and w.isprintable() else "".join([self._symbols[b] for b in w.encode()])] = w
         for symbols, ids in self.vocabulary.encode_words(sorted(new)):
@@ -295,7 +315,6 @@ def encode(
                 sizes = [x.count(" ") + 1 if x else 0 for x in ids]
                 more = [_decoded(_tokens(source.value), ids)] if decode_to else []
                 yield pa.RecordBatch.from_arrays([*part.columns[:at], pa.array(ids, pa.string()), pa.array(sizes, pa.int64()), *more], schema.names)
-        encoder.forget()
 
     return documents.select(*keep_columns, F.col(text).alias("_text")).mapInArrow(tidy(rows), schema)
 
