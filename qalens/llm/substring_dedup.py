@@ -196,16 +196,20 @@ def _trees(runs: DataFrame, length: int, seed: int, batch_suffixes: int) -> Data
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        rows = cut = 0  # rows held, and where among them the last group begins: it may go on
+        last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held.append(batch)
-            rows = sum(b.num_rows for b in held)
             seeds = batch.column(0).to_numpy()
-            cut = int(np.searchsorted(seeds, seeds[-1]))  # rows are sorted: the last group may go on
-            if rows - batch.num_rows + cut >= batch_suffixes:
-                yield from build(pa.Table.from_batches([*held[:-1], batch.slice(0, cut)]))
-                held = [batch.slice(cut)]
+            if seeds[-1] != last:
+                last, cut = seeds[-1], rows + int(np.searchsorted(seeds, seeds[-1]))
+            held.append(batch)
+            rows += batch.num_rows
+            if cut >= batch_suffixes:
+                table = pa.Table.from_batches(held)
+                yield from build(table.slice(0, cut))
+                held, rows, cut = table.slice(cut).to_batches(), rows - cut, 0
         if held:
             yield from build(pa.Table.from_batches(held))
 
@@ -283,11 +287,17 @@ def repeated_ranges(
 
 
 def remove_repeats(
-    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, seed: int = SEED, group_suffixes: int = GROUP_SUFFIXES
+    documents: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    length: int = LENGTH,
+    seed: int = SEED,
+    group_suffixes: int = GROUP_SUFFIXES,
+    batch_suffixes: int = BATCH_SUFFIXES,
 ) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept_text)``; kept words are joined by one space."""
     keyed = _keyed(documents, doc_id, text)
-    both = keyed.join(repeated_ranges(keyed, length, seed, group_suffixes), "key", "left").select("doc_id", "check", "text", "ranges")
+    both = keyed.join(repeated_ranges(keyed, length, seed, group_suffixes, batch_suffixes), "key", "left").select("doc_id", "check", "text", "ranges")
     kind = both.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -113,6 +113,21 @@ def test_substring_dedup_of_other_lengths(spark, length, seed):
         assert {r.doc_id: (r.n_words, r.n_removed, brute.sha(r.kept_text.encode())) for r in rows} == dict(enumerate(brute.substring_dedup(texts, length)))
 
 
+@pytest.mark.parametrize("rows, batch_suffixes", [(1, 1), (2, 3), (3, 8), (7, 20)])
+def test_substring_dedup_with_groups_longer_than_an_arrow_batch(spark, rows, batch_suffixes):
+    import random
+
+    rnd = random.Random(rows)
+    texts = [" ".join(rnd.choices("abcdef", k=rnd.randint(0, 40))) for _ in range(40)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        got = substring_dedup.remove_repeats(frame(spark, texts), length=5, seed=2, batch_suffixes=batch_suffixes).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {r.doc_id: (r.n_words, r.n_removed, brute.sha(r.kept_text.encode())) for r in got} == dict(enumerate(brute.substring_dedup(texts, 5)))
+
+
 def test_substring_dedup_with_several_sets_of_common_seeds(spark, monkeypatch):
     monkeypatch.setattr(substring_dedup, "BROADCAST_SEEDS", 2)
     texts = [PASSAGE, f"{PASSAGE} z", "k"]
