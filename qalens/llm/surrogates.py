@@ -8,7 +8,9 @@ valid check digit where there was one, names of the title's gender in the name's
 A surrogate is a keyed hash of the entity's canonical form, so an entity has the same one in
 every document (coreference), also where it is written differently. Surrogates are checked
 against each other and against every entity of the corpus; of those that collide all but one
-are hashed again with the next attempt number until all are distinct.
+are hashed again with the next attempt number until all are distinct. Where a format's few
+values are used up, surrogates of later attempts are longer (``WIDEN``). A value of one repeated
+symbol (``password: ********``) is a mask, reveals nothing and stays.
 
 What is shuffled is entities, not texts, but for the texts that hold any. A very common entity
 is joined in an ordinary join that the engine can split.
@@ -30,6 +32,8 @@ from qalens.llm._shared import materialise, pack, unpack
 #: The key a caller should replace; surrogates cannot be linked to entities without it.
 KEY = "qalens"
 MAX_ATTEMPTS = 64
+#: After each so many attempts surrogates get one more letter or digit than the entity.
+WIDEN = 4
 
 # Titles that precede names, by gender ('' where they tell none), and name parts.
 TITLES = {
@@ -48,13 +52,20 @@ SYLLABLES = {
     "cyrillic": ("ба", "вел", "гор", "да", "зар", "ка", "лан", "ма", "мир", "на", "пет", "ра", "сол", "та", "тур", "фе"),
 }
 
+#: Letters of other scripts, and the symbols for values of symbols only.
+CYRILLIC = "абвгдежзиклмнопрстуфхцчшэюя"
+HAN = "天地人日月山水火木金土石田中大小上下左右东西南北"
+MARKS = "!#$%&*+-.?@^_~"
+
 _TITLE = "|".join(t for titles in TITLES.values() for t in titles)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: In order: an entity is of the first type that matches it whole.
 PATTERNS: dict[str, str] = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}",
     "access_key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b[ \t]{0,4}[=:][ \t]{0,4}[\"']?)[^\s\"',;]{6,200}",
+    "secret": r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b[ \t]{0,4}[=:][ \t]{0,4}[\"']?)"
+    # a mask: one symbol, repeated to the end
+    r"(?!(?<mask>[^\s\"',;\p{L}\p{M}\p{N}])\k<mask>*+(?:[\s\"',;]|$))[^\s\"',;]{6,200}",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\d]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": (
@@ -111,9 +122,12 @@ def _pick(options: Sequence[str], n: Column) -> Column:
 
 def _same_shape(text: Column, stream: Column) -> Column:
     """Digits for digits, letters for letters of the same case (hex letters where the text has
-    only hex digits), all else as it is."""
+    only hex digits; Cyrillic and Han for their own, Latin for other scripts), all else as it is;
+    in a text of symbols only, symbols for symbols."""
     hexadecimal = text.rlike("^[0-9a-f]*$") & text.rlike("[a-f]") & text.rlike("[0-9]")
 
+    symbols = ~text.rlike(r"[\p{L}\p{M}\p{N}]")
+
     def one(c: Column, i: Column) -> Column:
         n = _byte(stream, i)
         lower = F.when(hexadecimal, _pick("abcdef", n)).otherwise(_pick("abcdefghijklmnopqrstuvwxyz", n))
@@ -121,6 +135,13 @@ def _same_shape(text: Column, stream: Column) -> Column:
             F.when(c.rlike("[0-9]"), F.pmod(n, F.lit(10)).cast("string"))
             .when(c.rlike("[a-z]"), lower)
             .when(c.rlike("[A-Z]"), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", n))
+            .when(c.rlike(r"[\x00-\x7F]") & ~symbols, c)
+            .when(c.rlike(r"\p{IsCyrillic}"), F.when(c.rlike(r"\p{Lu}"), _pick(CYRILLIC.upper(), n)).otherwise(_pick(CYRILLIC, n)))
+            .when(c.rlike(r"\p{IsHan}"), _pick(HAN, n))
+            .when(c.rlike(r"\p{Lu}"), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", n))
+            .when(c.rlike(r"[\p{L}\p{M}]"), _pick("abcdefghijklmnopqrstuvwxyz", n))
+            .when(c.rlike(r"\p{N}"), F.pmod(n, F.lit(10)).cast("string"))
+            .when(symbols, _pick(MARKS, n))
             .otherwise(c)
         )
 
@@ -163,9 +184,9 @@ def _person(name: Column, stream: Column) -> Column:
     return F.when(cyrillic, of_script("cyrillic")).otherwise(of_script("latin"))
 
 
-def surrogate(kind: Column, canonical: Column, attempt: Column, key: str = KEY) -> Column:
+def surrogate(kind: Column, canonical: Column, attempt: int, key: str = KEY) -> Column:
     """The surrogate's canonical form at an attempt."""
-    seed = F.concat_ws("\u0001", F.lit(key), kind, canonical, attempt.cast("string"))
+    seed = F.concat_ws("\u0001", F.lit(key), kind, canonical, F.lit(str(attempt)))
 
     def made(stream: Column) -> Column:
         shaped = _same_shape(canonical, stream)
@@ -179,17 +200,20 @@ def surrogate(kind: Column, canonical: Column, attempt: Column, key: str = KEY)
             (2 + _byte(stream, 28) % 8).cast("string"),
             F.substring(shaped, country + 2, F.length(canonical)),
         )
+        wider = range(10, 10 + attempt // WIDEN)
+        digits = F.concat(F.lit(""), *[F.pmod(_byte(stream, i), F.lit(10)).cast("string") for i in wider])
+        letters = F.concat(F.lit(""), *[_pick("abcdefghijklmnopqrstuvwxyz", _byte(stream, i)) for i in wider])
         return (
             # reserved domains and address ranges, and numbers never issued
             F.when(kind == "email", F.concat(F.substring_index(shaped, "@", 1), F.lit("@"), word, F.lit(".example.org")))
             .when(kind == "access_key", F.concat(F.lit("AKIA"), F.substring(shaped, 5, 16)))
             .when(kind == "ip", octets)
-            .when(kind == "ssn", F.concat(F.lit("9"), F.substring(shaped, 2, 8)))
-            .when(kind == "phone", phone)
+            .when(kind == "ssn", F.concat(F.lit("9"), F.substring(shaped, 2, 8), digits))
+            .when(kind == "phone", F.concat(phone, digits))
             .when(kind == "card", _card(canonical, stream))
             .when(kind == "account", F.concat(F.substring(canonical, 1, 2), F.substring(shaped, F.lit(3), F.length(canonical))))
             .when(kind == "name", _person(canonical, stream))
-            .otherwise(shaped)
+            .otherwise(F.concat(shaped, letters))
         )
 
     return _let(F.concat(F.sha2(seed, 256), F.sha2(F.concat(seed, F.lit("\u0001")), 256)), made)
@@ -200,7 +224,7 @@ def assign_surrogates(entities: DataFrame, key: str = KEY, max_attempts: int = M
     kind all surrogates differ from each other and from every entity."""
     done, pending, attempt = None, entities, 0
     while True:
-        made = materialise(pending.withColumn("surrogate", surrogate(F.col("kind"), F.col("canonical"), F.lit(attempt), key)), "surrogates")
+        made = materialise(pending.withColumn("surrogate", surrogate(F.col("kind"), F.col("canonical"), attempt, key)), "surrogates")
         first = made.groupBy("kind", "surrogate").agg(F.min("canonical").alias("canonical"))
         taken = entities.select("kind", F.col("canonical").alias("surrogate"))
         if done is not None:
@@ -220,8 +244,10 @@ def _written(kind: Column, entity: Column, own: Column) -> Column:
     digits_at = F.transform(F.split(entity, ""), lambda c: c.rlike("[A-Z0-9]").cast("int"))
 
     def spread(marks: Column) -> Column:
-        # the n-th letter or digit of the occurrence becomes the surrogate's n-th
-        return F.array_join(
+        # the n-th letter or digit of the occurrence becomes the surrogate's n-th; a wider
+        # surrogate's last ones come after it
+        own_places = F.aggregate(marks, F.lit(0), lambda t, x: t + x)
+        return F.concat(F.array_join(
             F.transform(
                 F.split(entity, ""),
                 lambda c, i: F.when(
@@ -230,7 +256,7 @@ def _written(kind: Column, entity: Column, own: Column) -> Column:
                 ).otherwise(c),
             ),
             "",
-        )
+        ), F.substring(own, own_places + 1, F.length(own)))
 
     return (
         F.when(kind.isin("phone", "card", "ssn", "account"), _let(digits_at, spread))

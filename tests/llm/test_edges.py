@@ -269,6 +269,27 @@ def test_surrogates_stay_distinct_in_a_small_space(spark):
         surrogates.assign_surrogates(short, max_attempts=3)
 
 
+def test_surrogates_of_masks_and_of_secrets_in_any_script(spark):
+    texts = [
+        "password: ******** stays", "pwd=------", "password: пароль-Секрет", "token=密码密码密码密码", "secret=!@#$%^&*", "password=*****a*",
+        *[f"pwd={i}*****" for i in range(10)], *[f"pwd=*{i}****" for i in range(10)], "password: рассвет9",
+    ]
+    got = [r.text for r in surrogates.replace_pii(frame(spark, texts), count="n").orderBy("doc_id").collect()]
+    assert got[:2] == texts[:2]
+    heads = [t[: len(t) - len(t.split("=")[-1].split(": ")[-1])] for t in texts]
+    assert all(g.startswith(h) and g != t for g, t, h in zip(got[2:], texts[2:], heads[2:]))
+    assert len({g[len(h) :] for g, h in zip(got, heads)}) == len(texts) and not set(got[2:]) & set(texts)
+    assert got[2][16] == "-" and got[2][17].isupper() and all("Ѐ" <= c <= "ӿ" for c in got[2][10:] if c.isalpha())
+
+
+def test_surrogates_of_a_used_up_shape_are_wider(spark):
+    entities = [("secret", f"{i}*****") for i in range(10)] + [("phone", f"1{i:04d}") for i in range(10_000)]
+    got = surrogates.assign_surrogates(spark.createDataFrame(entities, "kind string, canonical string")).collect()
+    assert len(got) == len({(r.kind, r.surrogate) for r in got}) == len(entities) and not {(r.kind, r.surrogate) for r in got} & set(entities)
+    phone = surrogates._written(F.lit("phone"), F.lit("+1 22-33"), F.lit("1987654"))
+    assert spark.range(1).select(phone).first()[0] == "+1 98-7654"
+
+
 def test_toxicity(spark, none):
     texts = [f"plain word{i} text" for i in range(60)] + [f"you idiot word{i}" for i in range(40)] + [None, "", "An IDIOT!"]
     docs = frame(spark, texts)
