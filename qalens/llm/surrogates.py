@@ -58,6 +58,9 @@ HAN = "天地人日月山水火木金土石田中大小上下左右东西南北"
 MARKS = "!#$%&*+-.?@^_~"
 
 _TITLE = "|".join(t for titles in TITLES.values() for t in titles)
+_SPACE = r"[\s\p{Z}]"
+#: A capitalised name, or an initial with another part after it.
+_PART = rf"\p{{Lu}}(?:[\p{{L}}\p{{M}}'’-]+|\.?(?={_SPACE}+\p{{Lu}}))"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: In order: an entity is of the first type that matches it whole.
 PATTERNS: dict[str, str] = {
@@ -65,7 +68,7 @@ PATTERNS: dict[str, str] = {
     "access_key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "secret": r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b[ \t]{0,4}[=:][ \t]{0,4}[\"']?)"
     # a mask: one symbol, repeated to the end
-    r"(?!(?<mask>[^\s\"',;\p{L}\p{M}\p{N}])\k<mask>*+(?:[\s\"',;]|$))[^\s\"',;]{6,200}",
+    r"(?!(?<mask>[^\s\"',;\p{L}\p{M}\p{N}])\k<mask>*+(?:[\s\"',;]|$))[^\s\"',;]{6,}+",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\d]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": (
@@ -75,12 +78,16 @@ PATTERNS: dict[str, str] = {
     ),
     "card": r"(?<![\w-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "hex_key": r"(?<![A-Za-z0-9])[0-9a-f]{32,128}(?![A-Za-z0-9])",
-    "name": rf"\b(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?",
+    "hex_key": r"(?<![A-Za-z0-9])[0-9a-f]{32,}+(?![A-Za-z0-9])",
+    "name": rf"\b(?:{_TITLE})\.?{_SPACE}+{_PART}(?:{_SPACE}+{_PART})*+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: A text without any of these has no entity.
-HINT = rf"[0-9@=:]|\b(?:{_TITLE})\b"
+#: What every entity of a type has: a text without any of these has no entity.
+HINTS: dict[str, str] = {
+    "email": "@", "access_key": "AKIA", "secret": "[=:]", "ip": "[0-9]", "ssn": "[0-9]", "phone": "[0-9]", "card": "[0-9]",
+    "account": "[0-9]", "hex_key": "[0-9]|[a-f]{32}", "name": rf"\b(?:{_TITLE})\b",
+}
+HINT = "|".join(dict.fromkeys(HINTS[name] for name in PATTERNS))
 _SECRET_HEAD = r"^(?i:(?:password|passwd|pwd|secret|token|api[_-]?key)[ \t]*[=:][ \t]*[\"']?)"
 
 
@@ -100,7 +107,7 @@ def canonical_form(kind: Column, entity: Column) -> Column:
         .when(kind.isin("phone", "card", "ssn"), digits)
         .when(kind == "account", F.regexp_replace(entity, " ", ""))
         .when(kind == "secret", F.regexp_replace(entity, _SECRET_HEAD, ""))
-        .when(kind == "name", F.lower(F.regexp_replace(entity, r"^(\S+?)\.? ", "$1 ")))
+        .when(kind == "name", F.lower(F.regexp_replace(F.regexp_replace(entity, f"{_SPACE}+", " "), r"^(\S+?)\.? ", "$1 ")))
         .otherwise(entity)
     )
 
@@ -179,7 +186,13 @@ def _person(name: Column, stream: Column) -> Column:
         either = F.when(_byte(stream, 1) % 2 == 0, women).otherwise(men)
         first = F.when(female, women).when(title.isin(*[t.lower() for t in TITLES["m"]]), men).otherwise(either)
         family = F.initcap(F.concat(*[_pick(SYLLABLES[script], _byte(stream, i)) for i in range(2, 6)]))
-        return F.when(parts > 1, F.concat_ws(" ", first, family)).otherwise(family)
+        # names between the first and the last: places after those of the family
+        more = F.transform(F.sequence(F.lit(6), F.greatest(parts + 3, F.lit(6))), lambda i: _pick(FIRST[f"{script} f"] + FIRST[f"{script} m"], _byte(stream, i)))
+        return (
+            F.when(parts > 2, F.concat_ws(" ", first, F.array_join(more, " "), family))
+            .when(parts > 1, F.concat_ws(" ", first, family))
+            .otherwise(family)
+        )
 
     return F.when(cyrillic, of_script("cyrillic")).otherwise(of_script("latin"))
 
@@ -258,10 +271,15 @@ def _written(kind: Column, entity: Column, own: Column) -> Column:
             "",
         ), F.substring(own, own_places + 1, F.length(own)))
 
+    # the white space between an occurrence's name parts comes between the surrogate's
+    gaps = F.regexp_extract_all(entity, F.lit(f"{_SPACE}+"), F.lit(0))
+    named = F.array_join(
+        F.zip_with(F.split(own, " "), gaps, lambda part, gap: F.concat(F.coalesce(gap, F.lit("")), part)), ""
+    )
     return (
         F.when(kind.isin("phone", "card", "ssn", "account"), _let(digits_at, spread))
         .when(kind == "secret", F.concat(F.regexp_extract(entity, _SECRET_HEAD, 0), own))
-        .when(kind == "name", F.concat(F.regexp_extract(entity, r"^\S+ ", 0), own))
+        .when(kind == "name", F.concat(F.regexp_extract(entity, rf"^[^\s\p{{Z}}]+", 0), named))
         .otherwise(own)
     )
 
