@@ -174,8 +174,9 @@ def _card(digits: Column, stream: Column) -> Column:
     )
 
 
-def _person(name: Column, stream: Column) -> Column:
-    """A name for ``title name``: the title's gender, the name's script, as many parts."""
+def _person(name: Column, stream: Column, attempt: int = 0) -> Column:
+    """A name for ``title name``: the title's gender, the name's script, as many parts. The
+    family name has one more syllable after every two attempts, so names never run out."""
     cyrillic = name.rlike(r"\p{IsCyrillic}")
     title = F.substring_index(name, " ", 1)
     parts = F.size(F.split(name, " ")) - 1
@@ -185,7 +186,7 @@ def _person(name: Column, stream: Column) -> Column:
         female = title.isin(*[t.lower() for t in TITLES["f"]])
         either = F.when(_byte(stream, 1) % 2 == 0, women).otherwise(men)
         first = F.when(female, women).when(title.isin(*[t.lower() for t in TITLES["m"]]), men).otherwise(either)
-        family = F.initcap(F.concat(*[_pick(SYLLABLES[script], _byte(stream, i)) for i in range(2, 6)]))
+        family = F.initcap(F.concat(*[_pick(SYLLABLES[script], _byte(stream, i)) for i in (*range(2, 6), *range(29, 29 - attempt // 2, -1))]))
         # names between the first and the last: places after those of the family
         more = F.transform(F.sequence(F.lit(6), F.greatest(parts + 3, F.lit(6))), lambda i: _pick(FIRST[f"{script} f"] + FIRST[f"{script} m"], _byte(stream, i)))
         return (
@@ -225,7 +226,7 @@ def surrogate(kind: Column, canonical: Column, attempt: int, key: str = KEY) ->
             .when(kind == "phone", F.concat(phone, digits))
             .when(kind == "card", _card(canonical, stream))
             .when(kind == "account", F.concat(F.substring(canonical, 1, 2), F.substring(shaped, F.lit(3), F.length(canonical))))
-            .when(kind == "name", _person(canonical, stream))
+            .when(kind == "name", _person(canonical, stream, attempt))
             .otherwise(F.concat(shaped, letters))
         )
 
@@ -234,15 +235,19 @@ def surrogate(kind: Column, canonical: Column, attempt: int, key: str = KEY) ->
 
 def assign_surrogates(entities: DataFrame, key: str = KEY, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """``(kind, canonical, surrogate)`` of distinct entities ``(kind, canonical)``; within a
-    kind all surrogates differ from each other and from every entity."""
+    kind all surrogates differ from each other and from every entity (names: with any title)."""
+    # entities and surrogates as they are compared: names without title, in lower case
+    is_name = F.col("kind") == "name"
+    entity = F.when(is_name, F.regexp_replace("canonical", r"^\S+ ", "")).otherwise(F.col("canonical"))
+    own = F.when(is_name, F.lower("surrogate")).otherwise(F.col("surrogate"))
     done, pending, attempt = None, entities, 0
     while True:
         made = materialise(pending.withColumn("surrogate", surrogate(F.col("kind"), F.col("canonical"), attempt, key)), "surrogates")
-        first = made.groupBy("kind", "surrogate").agg(F.min("canonical").alias("canonical"))
-        taken = entities.select("kind", F.col("canonical").alias("surrogate"))
+        first = made.groupBy("kind", "surrogate").agg(F.min("canonical").alias("canonical")).withColumn("own", own)
+        taken = entities.select("kind", entity.alias("own"))
         if done is not None:
-            taken = taken.union(done.select("kind", "surrogate"))
-        good = first.join(taken, ["kind", "surrogate"], "left_anti").select("kind", "canonical", "surrogate")
+            taken = taken.union(done.select("kind", own.alias("own")))
+        good = first.join(taken, ["kind", "own"], "left_anti").select("kind", "canonical", "surrogate")
         done = materialise(good if done is None else done.union(good), "assigned")
         pending = materialise(made.select("kind", "canonical").join(done, ["kind", "canonical"], "left_anti"), "pending")
         if pending.isEmpty():

@@ -310,6 +310,15 @@ def test_surrogates_replace_whole_entities(spark):
     assert set(surrogates.HINTS) == set(surrogates.PATTERNS)
 
 
+def test_surrogates_of_names_never_run_out_and_are_no_names_of_the_corpus(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "SYLLABLES", {"latin": ("ba", "ben"), "cyrillic": ("ба", "вел")})
+    names = [f"{title} {name}" for title in ("mr", "mrs", "dr") for name in ["babababa", "benbabaBA".lower(), *(f"n{chr(97 + i)}" for i in range(20))]]
+    entities = spark.createDataFrame([("name", x) for x in names], "kind string, canonical string")
+    got = surrogates.assign_surrogates(entities).collect()
+    assert len(got) == len({r.surrogate for r in got}) == len(names)
+    assert not {r.surrogate.lower() for r in got} & {x.split(" ", 1)[1] for x in names}
+
+
 def test_toxicity(spark, none):
     texts = [f"plain word{i} text" for i in range(60)] + [f"you idiot word{i}" for i in range(40)] + [None, "", "An IDIOT!"]
     docs = frame(spark, texts)
