@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from qalens.llm.bpe import op7_bpe
 from qalens.llm.decontaminate import OP9_SQL, op9_benchmark_decontamination
+from qalens.llm.fill_middle import OP11_SQL, op11_fill_in_middle
 from qalens.llm.licences import op2_licence_scan
 from qalens.llm.near_dedup import op5_near_duplicates
 from qalens.llm.quality import OP8_SQL, op8_quality_ledger
+from qalens.llm.sharding import OP13_SQL, op13_histogram_shards
 from qalens.llm.substring_dedup import op3_substring_dedup
 from qalens.llm.surrogates import op6_pii_surrogates
 from qalens.llm.token_counts import op1_token_counts
@@ -28,9 +30,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_ledger": op8_quality_ledger,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_warc": op10_warc,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_histogram_shards": op13_histogram_shards,
 }
 ORACLE_SQL: dict[str, str] = {
     "op8_quality_ledger": OP8_SQL,
     "op9_benchmark_decontamination": OP9_SQL,
     "op10_warc": OP10_SQL,
+    "op11_fill_in_middle": OP11_SQL,
+    "op13_histogram_shards": OP13_SQL,
 }
