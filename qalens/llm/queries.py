@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from qalens.llm.bpe import op7_bpe
+from qalens.llm.conversations import op12_conversation_repair
 from qalens.llm.decontaminate import OP9_SQL, op9_benchmark_decontamination
 from qalens.llm.fill_middle import OP11_SQL, op11_fill_in_middle
 from qalens.llm.licences import op2_licence_scan
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_warc": op10_warc,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_histogram_shards": op13_histogram_shards,
 }
 ORACLE_SQL: dict[str, str] = {

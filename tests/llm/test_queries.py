@@ -31,7 +31,7 @@ def rows(spark, query, sf):
 def test_every_query_is_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLE_SQL) <= set(entry.oracle_sql())
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("sf", [SF_SMALL, SF_MID])
