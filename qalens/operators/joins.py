@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from qalens.sources.sinks import stored
+
 
 def key_condition(
     left: DataFrame,
@@ -41,6 +43,38 @@ def join_on(
     return left.join(right, key_condition(left, right, left_on, right_on, null_safe), how)
 
 
+#: Bytes that the bitmap of :func:`reduce_by_keys` may take on every executor, and what one of
+#: its rows (64 ids) takes there.
+MAX_BITMAP_BYTES, BITMAP_ROW_BYTES = 64 << 20, 64
+
+
+def reduce_by_keys(
+    rows: DataFrame,
+    key: str,
+    known: DataFrame,
+    known_key: str,
+    *,
+    max_bytes: int = MAX_BITMAP_BYTES,
+) -> DataFrame:
+    """The rows whose integer ``key`` occurs as ``known_key``, found before anything is shuffled.
+
+    The known ids become a bitmap of 64-id words, written once; its rows are counted, and only
+    if they fit in ``max_bytes`` is it broadcast and every row tested where it is scanned.
+    Otherwise the rows are semi-joined in the ordinary way. Either way each row comes at most
+    once, however often its key is known; NULL keys drop out.
+    """
+    ids = known.select(F.col(known_key).cast("bigint").alias("__id")).where("__id IS NOT NULL")
+    bit = F.expr("shiftleft(1L, cast(__id & 63 AS int))")
+    words = ids.groupBy(F.shiftright("__id", 6).alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    words = stored(words, "key-bitmap")
+    if words.count() * BITMAP_ROW_BYTES > max_bytes:
+        return rows.join(ids.select("__id"), F.col(key).cast("bigint") == F.col("__id"), "left_semi")
+    wanted = F.col(key).cast("bigint")
+    tested = rows.join(F.broadcast(words), F.shiftright(wanted, 6) == F.col("__word"))
+    hit = F.getbit(F.col("__bits"), wanted.bitwiseAND(63).cast("int")) == 1
+    return tested.where(hit).select(*[F.col(f"`{c}`") for c in rows.columns])
+
+
 def join_row_count(
     left: DataFrame,
     right: DataFrame,

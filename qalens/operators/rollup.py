@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from qalens.operators._util import as_col
 from qalens.operators.attach import attach_columns
+from qalens.operators.joins import reduce_by_keys
+from qalens.operators.sketch import prune_for_top_k
 from qalens.operators.topk import top_k
 
 
@@ -34,6 +36,7 @@ def top_by_rollup(
     k: int = 10,
     ties: str = "cut",
     null_safe: bool = False,
+    prune: bool = False,
 ) -> DataFrame:
     """Sum ``measure`` over the (filtered) fact rows of each key, attach the
     dimension columns, keep the top ``k`` by the sum (ties broken by ``dim_key``).
@@ -47,8 +50,18 @@ def top_by_rollup(
     row per key (the aggregate's output is already partitioned by key and is
     not shuffled again); the top-k runs per task and merges k rows. The
     dimension contributes only ``dim_key`` and ``dim_cols`` (pruned scan).
+
+    ``prune=True`` first finds, with a sketch, the keys that can be among the first ``k``
+    (:func:`qalens.operators.sketch.prune_for_top_k`; its scans run at once) and groups their
+    rows only: for tables with many more keys than a task can pre-aggregate.
     """
     facts = fact.filter(fact_filter) if fact_filter is not None else fact
+    if prune:
+        known = dim.select(F.col(dim_key).alias("__known"))
+        facts = prune_for_top_k(
+            facts, fact_key, measure, k,
+            eligible=lambda sums, key: sums.join(known, _key_match(F.col(key), F.col("__known"), null_safe), "left_semi"),
+        ).rows
     per_key = facts.groupBy(F.col(fact_key).alias("__key")).agg(
         F.sum(as_col(measure)).alias(measure_name)
     )
@@ -77,6 +90,8 @@ def rollup_children(
     k: int = 10,
     ties: str = "cut",
     late: bool = True,
+    prune: bool = False,
+    reduce: bool = False,
 ) -> DataFrame:
     """Sum child scores per parent, join the (filtered) parents and their owners,
     keep the top ``k`` parents by the sum, ties broken by ``parent_key``.
@@ -96,10 +111,28 @@ def rollup_children(
     ``late=False`` joins the parent and owner columns before the top-k instead:
     fewer stages, so faster when both tables are small enough to be broadcast,
     but at size their text columns would cross the shuffles.
+
+    ``prune=True`` first finds, with a sketch, the parents that can be among the first ``k``
+    (see :func:`top_by_rollup`) and sums their children only.
+
+    ``reduce=True`` leaves out, where the children are scanned, those of parents that
+    ``parent_filter`` drops (a bitmap of integer parent keys, broadcast if it is small enough:
+    :func:`qalens.operators.joins.reduce_by_keys`), so that they are never shuffled.
     """
     names = [*parent_cols, score_name, *owner_cols]
     if len(set(names)) != len(names):
         raise ValueError(f"output columns must be distinct, got {names}")
+    if reduce:
+        child = reduce_by_keys(child, child_parent_key, parent.filter(parent_filter) if parent_filter is not None else parent, parent_key)
+    if prune:
+        owned = parent.filter(parent_filter) if parent_filter is not None else parent
+        owned = owned.select(F.col(parent_key).alias("__known"), F.col(parent_owner_key).alias("__by")).join(
+            owner.select(F.col(owner_key).alias("__okey")), F.col("__by") == F.col("__okey"), "left_semi"
+        )
+        child = prune_for_top_k(
+            child, child_parent_key, child_score, k,
+            eligible=lambda sums, key: sums.join(owned, F.col(key) == F.col("__known"), "left_semi"),
+        ).rows
     scores = child.groupBy(F.col(child_parent_key).alias("__parent")).agg(
         F.sum(as_col(child_score)).alias(score_name)
     )

@@ -20,6 +20,7 @@ from qalens.operators import (
     top_by_rollup,
     top_category_per_period,
 )
+from qalens.operators.sketch import prune_for_top_k
 
 # Fixed values of the analyses.
 QUESTION_POST_TYPE = 1
@@ -49,9 +50,11 @@ def top_question_owners(
     ties: str = "cut",
     *,
     post_type: int = QUESTION_POST_TYPE,
+    prune: bool = False,
 ) -> DataFrame:
     """Q2. Id, DisplayName, TotalViews: the users whose questions have the most
-    views in total."""
+    views in total. ``prune``: only users who can be among them are summed (see
+    :func:`qalens.operators.sketch.prune_for_top_k`)."""
     return top_by_rollup(
         users,
         posts,
@@ -63,6 +66,7 @@ def top_question_owners(
         measure_name="TotalViews",
         k=k,
         ties=ties,
+        prune=prune,
     )
 
 
@@ -93,6 +97,8 @@ def top_questions_by_comment_score(
     *,
     post_type: int = QUESTION_POST_TYPE,
     late: bool = True,
+    prune: bool = False,
+    reduce: bool = False,
 ) -> DataFrame:
     """Q4. Title, CommentCount, ViewCount, CommentsTotalScore, DisplayName,
     Reputation, Location: the questions whose comments score highest in total."""
@@ -112,6 +118,8 @@ def top_questions_by_comment_score(
         k=k,
         ties=ties,
         late=late,
+        prune=prune,
+        reduce=reduce,
     )
 
 
@@ -150,11 +158,20 @@ def top_posts_by_covid_votes(
     default: str = COVID_DEFAULT_PERIOD,
     vote_types: Sequence[int] = COVID_VOTE_TYPES,
     late: bool = True,
+    prune: bool = False,
 ) -> DataFrame:
     """Q5. Title, Date, PostId, BeforeCOVIDVotes, DuringCOVIDVotes,
     AfterCOVIDVotes, Votes: titled posts with votes during 2019-2021, most such
     votes first, then most votes, then PostId. ``periods`` maps 'after' and
-    'during' to their years; other years count as ``default`` ('before')."""
+    'during' to their years; other years count as ``default`` ('before'). ``prune``: only
+    posts that can be among them are counted."""
+    if prune:
+        leads = F.col("VoteTypeId").isin(list(vote_types)) & in_years("CreationDate", periods.get("during", ()))
+        titled = posts.where(not_blank("Title")).select(F.col("Id").alias("__known"))
+        votes = prune_for_top_k(
+            votes, "PostId", F.when(leads, 1).otherwise(0), k,
+            eligible=lambda sums, key: sums.join(titled, F.col(key) == F.col("__known"), "left_semi"),
+        ).rows
     return top_by_period_counts(
         posts,
         covid_vote_counts(votes, periods=periods, default=default, vote_types=vote_types),

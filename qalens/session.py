@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. AQE re-plans joins from measured sizes
 # (broadcast only below ``autoBroadcastJoinThreshold``), coalesces small
@@ -50,6 +50,26 @@ def get_session(
     return spark
 
 
+def private_session(spark: SparkSession, conf: dict[str, object]) -> SparkSession:
+    """A session on the same cluster with settings of its own (the caller's stay as they are),
+    for reads whose tasks must be cut in a certain way."""
+    own = spark.newSession()
+    for key, value in conf.items():
+        own.conf.set(key, str(value))
+    return own
+
+
+def bound_to(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """``df`` of a private session as a DataFrame of ``spark``: its files keep the private
+    session's settings, all later steps follow ``spark``."""
+    name = f"shared_{uuid.uuid4().hex}"
+    df.createGlobalTempView(name)
+    try:
+        return spark.table(f"global_temp.{name}")
+    finally:
+        spark.catalog.dropGlobalTempView(name)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster in ``spark.checkpoint.dir``.
 

@@ -5,21 +5,43 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from qalens.session import shared_dir
 from qalens.sources.csv import CSV_OPTIONS
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once in the shared scratch folder and read back: later steps see the same
+    rows as often as they ask, and a lost executor does not redo what came before."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
     *,
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
     files: int | None = None,
 ) -> None:
     """Write Parquet (exact for every type, column-pruned and filter-pushed on
-    read). ``files`` repartitions first, round-robin, to set the file count."""
-    out = df.repartition(files) if files else df
+    read). ``files`` repartitions first, round-robin, to set the file count.
+
+    ``cluster_by``: the rows are dealt by ranges of these columns and sorted by them, so every
+    file, row group and page holds a narrow range and filters on the columns skip the others
+    (the reader compares with their recorded minima and maxima). Ties are spread over files."""
+    if cluster_by:
+        spread = "__spread"
+        order = [F.col(f"`{c}`") for c in cluster_by] + [F.col(spread)]
+        tied = df.withColumn(spread, F.monotonically_increasing_id())
+        out = tied.repartitionByRange(files, *order) if files else tied.repartitionByRange(*order)
+        out = out.sortWithinPartitions(*order).drop(spread)
+    else:
+        out = df.repartition(files) if files else df
     writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
