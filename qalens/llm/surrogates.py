@@ -1,6 +1,6 @@
 """PII surrogates, in DataFrame functions only.
 
-Entities (e-mail and IP addresses, phone, card and social-security numbers, bank accounts,
+Entities (e-mail addresses in any script, IPv4 and IPv6 addresses, phone, card and social-security numbers, bank accounts,
 access keys, secrets, and titled names) are found by one pattern and replaced by surrogates of the
 same type and format: digits for digits, letters for letters, separators where they were, a
 valid check digit where there was one, names of the title's gender in the name's script.
@@ -61,30 +61,40 @@ _TITLE = "|".join(t for titles in TITLES.values() for t in titles)
 _SPACE = r"[\s\p{Z}]"
 #: A capitalised name, or an initial with another part after it.
 _PART = rf"\p{{Lu}}(?:[\p{{L}}\p{{M}}'’-]+|\.?(?={_SPACE}+\p{{Lu}}))"
+#: A part of a host name. Every repetition here that has no bound is possessive: the engine
+#: runs those in a loop, whereas others take a stack frame a turn, which a long text exhausts.
+_LABEL = r"[\p{L}\p{M}\p{N}]++(?:-++[\p{L}\p{M}\p{N}]++)*+"
+_LOCAL = r"[\p{L}\p{M}\p{N}._%+-]"
+_GROUP = "[0-9A-Fa-f]{1,4}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: In order: an entity is of the first type that matches it whole.
 PATTERNS: dict[str, str] = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,24}",
+    # the whole address in any script; the host is not a number
+    "email": rf"(?<!{_LOCAL}){_LOCAL}++@(?![\d.-]*+(?![\p{{L}}\p{{M}}\p{{N}}])){_LABEL}(?:\.{_LABEL})++",
     "access_key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "secret": r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\b[ \t]{0,4}[=:][ \t]{0,4}[\"']?)"
     # a mask: one symbol, repeated to the end
     r"(?!(?<mask>[^\s\"',;\p{L}\p{M}\p{N}])\k<mask>*+(?:[\s\"',;]|$))[^\s\"',;]{6,}+",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\d]|\.\d)",
+    "ip6": rf"(?<![\w:.])(?=[A-Fa-f:]{{0,38}}\d)(?:(?:{_GROUP}:){{7}}{_GROUP}"
+    rf"|(?:{_GROUP}(?::{_GROUP}){{0,5}})?::(?:{_GROUP}(?::{_GROUP}){{0,5}})?)(?![\w:])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": (
         r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
         r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)"
         r"|(?<![\d-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\d-])"
+        # national forms: a trunk 0 and an area code, then the number
+        r"|(?<![\w+./,-])0\d{1,4}[ /-]\d{3,4} ?\d{3,5}(?![\w-])"
     ),
     "card": r"(?<![\w-])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w-])",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "hex_key": r"(?<![A-Za-z0-9])[0-9a-f]{32,}+(?![A-Za-z0-9])",
-    "name": rf"\b(?:{_TITLE})\.?{_SPACE}+{_PART}(?:{_SPACE}+{_PART})*+",
+    "name": rf"\b(?:{_TITLE})\.?{_SPACE}++{_PART}(?:{_SPACE}++{_PART})*+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every entity of a type has: a text without any of these has no entity.
 HINTS: dict[str, str] = {
-    "email": "@", "access_key": "AKIA", "secret": "[=:]", "ip": "[0-9]", "ssn": "[0-9]", "phone": "[0-9]", "card": "[0-9]",
+    "email": "@", "access_key": "AKIA", "secret": "[=:]", "ip": "[0-9]", "ip6": ":", "ssn": "[0-9]", "phone": "[0-9]", "card": "[0-9]",
     "account": "[0-9]", "hex_key": "[0-9]|[a-f]{32}", "name": rf"\b(?:{_TITLE})\b",
 }
 HINT = "|".join(dict.fromkeys(HINTS[name] for name in PATTERNS))
@@ -103,7 +113,7 @@ def canonical_form(kind: Column, entity: Column) -> Column:
     """What two spellings of one entity share."""
     digits = F.regexp_replace(entity, r"\D", "")
     return (
-        F.when(kind == "email", F.lower(entity))
+        F.when(kind.isin("email", "ip6"), F.lower(entity))
         .when(kind.isin("phone", "card", "ssn"), digits)
         .when(kind == "account", F.regexp_replace(entity, " ", ""))
         .when(kind == "secret", F.regexp_replace(entity, _SECRET_HEAD, ""))
@@ -131,28 +141,32 @@ def _same_shape(text: Column, stream: Column) -> Column:
     """Digits for digits, letters for letters of the same case (hex letters where the text has
     only hex digits; Cyrillic and Han for their own, Latin for other scripts), all else as it is;
     in a text of symbols only, symbols for symbols."""
-    hexadecimal = text.rlike("^[0-9a-f]*$") & text.rlike("[a-f]") & text.rlike("[0-9]")
-
-    symbols = ~text.rlike(r"[\p{L}\p{M}\p{N}]")
-
-    def one(c: Column, i: Column) -> Column:
-        n = _byte(stream, i)
-        lower = F.when(hexadecimal, _pick("abcdef", n)).otherwise(_pick("abcdefghijklmnopqrstuvwxyz", n))
-        return (
-            F.when(c.rlike("[0-9]"), F.pmod(n, F.lit(10)).cast("string"))
-            .when(c.rlike("[a-z]"), lower)
-            .when(c.rlike("[A-Z]"), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", n))
-            .when(c.rlike(r"[\x00-\x7F]") & ~symbols, c)
-            .when(c.rlike(r"\p{IsCyrillic}"), F.when(c.rlike(r"\p{Lu}"), _pick(CYRILLIC.upper(), n)).otherwise(_pick(CYRILLIC, n)))
-            .when(c.rlike(r"\p{IsHan}"), _pick(HAN, n))
-            .when(c.rlike(r"\p{Lu}"), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", n))
-            .when(c.rlike(r"[\p{L}\p{M}]"), _pick("abcdefghijklmnopqrstuvwxyz", n))
-            .when(c.rlike(r"\p{N}"), F.pmod(n, F.lit(10)).cast("string"))
-            .when(symbols, _pick(MARKS, n))
-            .otherwise(c)
-        )
+    kinds = F.struct(
+        (text.rlike("^[0-9a-f]*+$") & text.rlike("[a-f]") & text.rlike("[0-9]")).alias("hex"),
+        (~text.rlike(r"[\p{L}\p{M}\p{N}]")).alias("symbols"),
+    )
 
-    return F.array_join(F.transform(F.split(text, ""), one), "")
+    def shaped(kind: Column) -> Column:
+        def one(c: Column, i: Column) -> Column:
+            n = _byte(stream, i)
+            lower = F.when(kind["hex"], _pick("abcdef", n)).otherwise(_pick("abcdefghijklmnopqrstuvwxyz", n))
+            return (
+                F.when(c.rlike("[0-9]"), F.pmod(n, F.lit(10)).cast("string"))
+                .when(c.rlike("[a-z]"), lower)
+                .when(c.rlike("[A-Z]"), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", n))
+                .when(c.rlike(r"[\x00-\x7F]") & ~kind["symbols"], c)
+                .when(c.rlike(r"\p{IsCyrillic}"), F.when(c.rlike(r"\p{Lu}"), _pick(CYRILLIC.upper(), n)).otherwise(_pick(CYRILLIC, n)))
+                .when(c.rlike(r"\p{IsHan}"), _pick(HAN, n))
+                .when(c.rlike(r"\p{Lu}"), _pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ", n))
+                .when(c.rlike(r"[\p{L}\p{M}]"), _pick("abcdefghijklmnopqrstuvwxyz", n))
+                .when(c.rlike(r"\p{N}"), F.pmod(n, F.lit(10)).cast("string"))
+                .when(kind["symbols"], _pick(MARKS, n))
+                .otherwise(c)
+            )
+
+        return F.array_join(F.transform(F.split(text, ""), one), "")
+
+    return _let(kinds, shaped)  # what holds for the whole text is asked once, not once a letter
 
 
 def _luhn_sum(digits: Column) -> Column:
@@ -206,9 +220,12 @@ def surrogate(kind: Column, canonical: Column, attempt: int, key: str = KEY) ->
         shaped = _same_shape(canonical, stream)
         word = F.array_join(F.transform(F.sequence(F.lit(20), F.lit(28)), lambda i: _pick("abcdefghijklmnopqrstuvwxyz", _byte(stream, i))), "")
         octets = F.concat_ws(
-            ".", (240 + _byte(stream, 0) % 15).cast("string"), *[(_byte(stream, i) % 256).cast("string") for i in (1, 2, 3)]
+            ".", (240 + _byte(stream, 0) % 15).cast("string"), *[(_byte(stream, i) % 256).cast("string") for i in (1, 2, 3)],
         )
-        country = F.when(F.length(canonical) > 10, F.least(F.length(canonical) - 10, F.lit(3))).otherwise(0)
+        wider_octets = [(_byte(stream, 10 + i) % 256).cast("string") for i in range(attempt // WIDEN)]
+        groups = F.concat_ws(":", F.lit("2001:db8"), *[F.substring(stream, 1 + 4 * i, 4) for i in range(6)])
+        # a trunk 0 stays, as a country code does
+        country = F.when(canonical.startswith("0"), 1).when(F.length(canonical) > 10, F.least(F.length(canonical) - 10, F.lit(3))).otherwise(0)
         phone = F.concat(
             F.substring(canonical, F.lit(1), country),
             (2 + _byte(stream, 28) % 8).cast("string"),
@@ -221,7 +238,8 @@ def surrogate(kind: Column, canonical: Column, attempt: int, key: str = KEY) ->
             # reserved domains and address ranges, and numbers never issued
             F.when(kind == "email", F.concat(F.substring_index(shaped, "@", 1), F.lit("@"), word, F.lit(".example.org")))
             .when(kind == "access_key", F.concat(F.lit("AKIA"), F.substring(shaped, 5, 16)))
-            .when(kind == "ip", octets)
+            .when(kind == "ip", F.concat_ws(".", octets, *wider_octets))
+            .when(kind == "ip6", groups)
             .when(kind == "ssn", F.concat(F.lit("9"), F.substring(shaped, 2, 8), digits))
             .when(kind == "phone", F.concat(phone, digits))
             .when(kind == "card", _card(canonical, stream))
@@ -297,6 +315,8 @@ def replace_pii(documents: DataFrame, text: str = "text", key: str = KEY, count:
     found = pack(documents, text).select(
         "_row", "_text", F.when(body.rlike(HINT), F.regexp_extract_all(body, F.lit(ANY), F.lit(0))).otherwise(none).alias("_entities")
     )
+    # written once: the patterns run over each text once, not once for every use below
+    found = materialise(found, "found")
     have = found.where(F.size("_entities") > 0)
     # the same text has the same entities: texts are known by 128 bits of hash
     known_by = [F.xxhash64("_text").alias("_a"), F.xxhash64(F.lit(1), "_text").alias("_b")]
