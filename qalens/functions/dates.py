@@ -24,20 +24,15 @@ SOURCE_TIMESTAMP_REGEX = (
 )
 
 
-def _field(text: Column, pos: int, length: int, default: int | None = None) -> Column:
-    part = F.substring(text, pos, length).try_cast("int")
-    return part if default is None else F.coalesce(part, F.lit(default))
-
-
 def parse_timestamp(
     c: str | Column, formats: tuple[str, ...] | list[str] | None = None
 ) -> Column:
     """Text to ``timestamp_ntz``; anything else becomes NULL, never an error.
 
-    Default: the layouts of :data:`SOURCE_TIMESTAMP_REGEX`, as wall-clock time. The fields
-    are read one by one into ``try_make_timestamp_ntz``, so the answer does not depend on
-    the session time zone (a time in a daylight-saving gap is kept as written). Impossible
-    dates (2019-02-29, month 13) and partial text such as '2011' are NULL (a plain cast
+    Default: the layouts of :data:`SOURCE_TIMESTAMP_REGEX`, as wall-clock time: text of such a
+    layout, less a trailing 'Z', is cast to a time without zone, so the answer does not depend
+    on the session time zone (a time in a daylight-saving gap is kept as written). Impossible
+    dates (2019-02-29, month 13) and partial text such as '2011' are NULL (the cast alone
     would read '2011' as 2011-01-01).
 
     ``formats``: Spark datetime patterns tried in order; these parse in the
@@ -47,14 +42,8 @@ def parse_timestamp(
     if formats:
         attempts = [F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats]
         return (attempts[0] if len(attempts) == 1 else F.coalesce(*attempts)).cast("timestamp_ntz")
-    # 'SS.ffffff'; the digits after microseconds, and 'Z', are cut off
-    seconds = F.regexp_replace(F.substring(text, 18, 9), "Z", "").try_cast("decimal(8,6)")
-    built = F.try_make_timestamp_ntz(
-        _field(text, 1, 4), _field(text, 6, 2), _field(text, 9, 2),
-        _field(text, 12, 2, 0), _field(text, 15, 2, 0),
-        F.coalesce(seconds, F.lit(0).cast("decimal(8,6)")),
-    )
-    return F.when(text.rlike(SOURCE_TIMESTAMP_REGEX), built)
+    bare = F.rtrim(text, F.lit("Z"))
+    return F.when(text.rlike(SOURCE_TIMESTAMP_REGEX), bare.try_cast("timestamp_ntz"))
 
 
 # Units by which a grain's groups are formed before they are labelled.

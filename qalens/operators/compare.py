@@ -195,6 +195,16 @@ def table_diff(
     )
 
 
+def diff_counts(left: DataFrame, right: DataFrame, columns: Sequence[str] | None = None, *, lenient_types: bool = True) -> DataFrame:
+    """One row: ``rows_left``, ``rows_right`` and ``rows_differing``, the copies that
+    :func:`table_diff` would report without a twin. Each table is evaluated once."""
+    cols, texts, *sides = _sides(left, right, columns, lenient_types)
+    grouped = sides[0].unionByName(sides[1]).groupBy(*[F.col(f"`{c}`") for c in [*cols, *texts]])
+    copies = grouped.agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(name)
+    return copies.agg(total("__l", "rows_left"), total("__r", "rows_right"), total(F.abs(F.col("__l") - F.col("__r")), "rows_differing"))
+
+
 def rows_only_in(left: DataFrame, right: DataFrame) -> DataFrame:
     """The rows of ``left`` not matched one-for-one in ``right`` (``EXCEPT ALL``)."""
     return left.exceptAll(right.select(*left.columns))

@@ -2,7 +2,7 @@
 
 Mirrors a report that runs every analysis in two dialects and checks they
 agree: here the DataFrame form and the SQL-text form, compared as multisets
-with :func:`qalens.operators.table_diff`. Every check is a Spark job; only the
+with :func:`qalens.operators.compare.diff_counts`. Every check is a Spark job; only the
 per-analysis difference counts reach the driver.
 """
 
@@ -13,7 +13,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qalens.operators import table_diff
+from qalens.operators.compare import diff_counts
 from qalens.plans import analyses as A
 from qalens.plans.sql import SITE_SQL, run_sql
 
@@ -35,35 +35,14 @@ def run_analyses(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 def cross_check(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per analysis: rows in the DataFrame form, rows in the SQL form,
-    and rows that differ between them (0 = the two forms agree)."""
-    checks = []
+    and rows that differ between them (0 = the two forms agree). Each form is evaluated once."""
+    out = None
     for name, fn in ANALYSES.items():
-        frame = fn(tables)
-        text = run_sql(spark, SITE_SQL[name], tables)  # table_diff raises if columns differ
-        diff = table_diff(frame, text)
-        zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-        tagged = (
-            frame.select(one.alias("a"), zero.alias("b"), zero.alias("c"))
-            .unionByName(text.select(zero.alias("a"), one.alias("b"), zero.alias("c")))
-            .unionByName(
-                diff.select(
-                    zero.alias("a"),
-                    zero.alias("b"),
-                    F.abs(F.col("n_left") - F.col("n_right")).cast("bigint").alias("c"),
-                )
-            )
+        counts = diff_counts(fn(tables), run_sql(spark, SITE_SQL[name], tables))  # raises if columns differ
+        one = counts.select(
+            F.lit(name).alias("analysis"), F.col("rows_left").alias("rows_dataframe"), F.col("rows_right").alias("rows_sql"), "rows_differing"
         )
-        checks.append(
-            tagged.agg(
-                F.lit(name).alias("analysis"),
-                F.coalesce(F.sum("a"), zero).alias("rows_dataframe"),
-                F.coalesce(F.sum("b"), zero).alias("rows_sql"),
-                F.coalesce(F.sum("c"), zero).alias("rows_differing"),
-            )
-        )
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
+        out = one if out is None else out.unionByName(one)
     return out
 
 
