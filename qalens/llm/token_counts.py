@@ -9,12 +9,16 @@ Suffix sums are taken in two levels, within blocks of lengths and over the block
 no task gathers the histogram.
 
 Defined results: a null or empty text has length 0; repeated rows count each; an empty table
-gives an empty histogram (and 0 for every total); further columns are ignored.
+gives an empty histogram (and 0 for every total); further columns are ignored. A text may be
+of any length and hold runs of any length: the encoder's pattern gives up on white space of
+about a million characters, so runs from ``LONG_RUN`` are cut out by the pattern's own rule
+(all but the last of a run that something follows is one piece) and encoded as such.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -28,6 +32,12 @@ from qalens.llm._text import text_parts, tidy
 
 #: Lengths per block of the two-level sums.
 BLOCK = 256
+#: White space of at least so many characters is not given to the encoder's pattern.
+LONG_RUN = 50_000
+#: Fixed value: the characters that the pattern's ``\s`` means.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: How patterns end for which that rule holds.
+WHITE_RULE = r"\s+(?!\S)|\s+"
 
 
 @lru_cache(maxsize=2)
@@ -38,6 +48,19 @@ def _encoding(ranks: bytes, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
+def text_length(encoding, text: str, long_run: int = LONG_RUN) -> int:
+    """Tokens of a text, whatever runs of white space it holds."""
+    if len(text) < long_run or not encoding._pat_str.endswith(WHITE_RULE):
+        return len(encoding.encode_ordinary(text))
+    total = at = 0
+    for run in re.finditer(f"[{WHITE}]{{{long_run},}}", text):
+        stop = run.end() if run.end() == len(text) else run.end() - 1
+        total += len(encoding.encode_ordinary(text[at : run.start()]))
+        total += len(encoding._encode_single_piece(text[run.start() : stop])) if stop > run.start() else 0
+        at = stop
+    return total + len(encoding.encode_ordinary(text[at:]))
+
+
 def token_lengths(documents: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep_columns: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``keep_columns`` and ``n_tokens``, the length of the whole text under a byte-level BPE."""
     with open(ranks_path, "rb") as f:
@@ -46,9 +69,9 @@ def token_lengths(documents: DataFrame, ranks_path: str, pattern: str, text: str
     at = len(keep_columns)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(source.value, pattern).encode_ordinary
+        encoding = _encoding(source.value, pattern)
         for part in (p for batch in batches for p in text_parts(batch, at)):
-            sizes = [len(encode(body)) if body else 0 for body in part.column(at).to_pylist()]
+            sizes = [text_length(encoding, body) if body else 0 for body in part.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*part.columns[:at], pa.array(sizes, pa.int64())], schema.names)
 
     return documents.select(*keep_columns, F.col(text).alias("_text")).mapInArrow(tidy(rows), schema)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from conftest import SF_SMALL  # noqa: E402
-from qalens.llm import near_dedup, quality, surrogates  # noqa: E402
+from qalens.llm import near_dedup, quality, surrogates, token_counts  # noqa: E402
 
 N = 20_000  # a tenth of this ended the executor
 LONG = {
@@ -113,3 +113,36 @@ def test_near_dedup_keeps_columns_of_any_name(spark):
     assert got.columns == docs.columns
     assert sorted(map(tuple, got.collect())) == [rows[0], *rows[3:]]
     assert got.where(F.col("_dropped").isNull()).count() == 0
+
+
+def _encoding():
+    import public_tokenizers
+
+    from qalens.llm.token_counts import _encoding as make
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        return make(f.read(), public_tokenizers.PATTERN)
+
+
+def test_cut_runs_count_like_the_encoder():
+    rng, encoding = random.Random(3), _encoding()
+    parts = [" ", "\n", "\t", " ", "　", "\r\n", "a", "Bc", "7", "!", "é", "\x1c", "'s"]
+    for _ in range(2000):
+        text = "".join(rng.choice(parts[:6] if rng.random() < 0.7 else parts) * rng.randrange(1, 9) for _ in range(rng.randrange(0, 12)))
+        want = len(encoding.encode_ordinary(text))
+        assert all(token_counts.text_length(encoding, text, n) == want for n in (1, 2, 3, 7)), repr(text)
+
+
+def test_megabytes_of_one_character_are_counted(spark):
+    import public_tokenizers
+
+    runs = {c: c * 5_000_000 for c in (" ", "\n", "\t", "a", "!", "7")} | {"mixed": "x" + " \n" * 2_500_000 + "y" + " " * 100_000}
+    docs = spark.createDataFrame(list(runs.items()), "doc_id string, text string").repartition(4)
+    counted = token_counts.token_lengths(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    got = {r.doc_id: r.n_tokens for r in counted.collect()}
+    encoding = _encoding()
+    for c in (" ", "\n", "\t"):
+        assert got[c] == len(encoding._encode_single_piece(c * 5_000_000))
+    for c in ("a", "!", "7"):
+        assert got[c] == len(encoding.encode_ordinary(c * 5_000_000))
+    assert got["mixed"] > 100
