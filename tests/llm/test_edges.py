@@ -196,7 +196,7 @@ def test_licences(spark, none):
     texts = [None, "", "Released under the MIT license!", f"some prose\n{mit.upper()}\nmore", "mit", mit, "word " * 30]
     got = {r.doc_id: r for r in licences.scan_licences(frame(spark, texts)).collect()}
     assert [got[i].licence for i in range(7)] == [None, None, "mit line", "mit text", None, "mit text", None]
-    assert (got[2].line, got[3].line, got[3].dice, got[5].line) == (-1, 1, 1.0, -1)
+    assert (got[2].line, got[3].line, got[3].dice, got[5].line) == (0, 1, 1.0, 0)
     assert licences.scan_licences(none).count() == 0
     tie = licences.scan_licences(frame(spark, ["a b c"]), {"z": "a b c", "y": "A b C"}).first()
     assert (tie.licence, len(tie.matches)) == ("y", 2)

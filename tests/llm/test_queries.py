@@ -5,6 +5,7 @@ import collections
 import os
 import re
 import sys
+import textwrap
 import zlib
 
 import pyarrow.parquet as pq
@@ -58,17 +59,64 @@ def test_token_counts(spark):
         assert r.truncated_total == sum(min(s, k) for s in sizes)
 
 
+def _licence(text, templates, least=licences.LEAST):
+    """(licence, dice, line) of the best window of any template, trying every window that
+    begins with one of the template's bigrams."""
+    lower = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    found = [(m[0], lower.count("\n", 0, m.start())) for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)]
+    words, lines = [w for w, _ in found], [n for _, n in found]
+
+    def marks(ws):
+        modifiers = {name for name, alias in licences.MODIFIERS.items() for w in ws if w in alias}
+        return modifiers | {b for a, b in zip(ws, ws[1:]) if b in licences.NUMBERS and a in licences.BEFORE_NUMBERS}
+
+    best = []
+    for name, t in templates.items():
+        grams = set(zip(t, t[1:]))
+        for i, pair in enumerate(zip(words, words[1:])):
+            window = words[i : i + len(t)]
+            if pair in grams and (dice := brute.bigram_dice(window, t)) >= least and marks(window) == marks(t):
+                best.append((-dice, -len(grams), name, i))
+    if not best:
+        return None, None, None
+    score, _, name, _ = min(best)
+    first = min(i for s, _, n, i in best if (s, n) == (score, name))
+    return name, pytest.approx(-score), lines[first]
+
+
+def _template_words():
+    lower = {c: c + 32 for c in range(65, 91)}
+    return {n: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.translate(lower)) for n, t in licences.TEMPLATES.items()}
+
+
 def test_licence_scan(spark):
-    def words(text):
-        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate({c: c + 32 for c in range(65, 91)}))
-
-    templates = {n: words(t) for n, t in licences.TEMPLATES.items()}
-    for r, doc in zip(sorted(rows(spark, "op2_licence_scan", SF_SMALL)), sorted(table(SF_SMALL, "documents"), key=lambda d: d["doc_id"])):
-        units = {-1: words(doc["text"])} | {i: words(x) for i, x in enumerate(doc["text"].split("\n"))}
-        found = [(-brute.bigram_dice(w, t), n, i) for i, w in units.items() if w for n, t in templates.items()]
-        best = min((x for x in found if -x[0] >= licences.LEAST), default=None)
-        assert (r.doc_id, r.licence, r.line) == (doc["doc_id"], best and best[1], best and best[2])
-        assert best is None or r.dice == pytest.approx(-best[0])
+    templates, docs = _template_words(), {d["doc_id"]: d["text"] for d in table(SF_SMALL, "documents")}
+    got = rows(spark, "op2_licence_scan", SF_SMALL)
+    assert len(got) == len(docs) and sum(r.licence is not None for r in got) >= 3
+    for r in got:
+        assert (r.licence, r.dice, r.line) == _licence(docs[r.doc_id], templates), r.doc_id
+
+
+def test_the_right_licence_wherever_it_stands(spark):
+    mit, gpl = licences.TEMPLATES["mit text"], licences.TEMPLATES["gpl-3.0 notice"]
+    prose = "some words of a longer file that says nothing about it\n" * 40
+    by = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    gnu = "This work is licensed under the GNU {}General Public License, version {}."
+    wanted = {
+        by.format("-NonCommercial"): "cc-by-nc-4.0 notice", by.format("-NonCommercial-NoDerivatives"): "cc-by-nc-nd-4.0 notice",
+        by.format(""): "cc-by-4.0 notice", by.format("-ShareAlike"): "cc-by-sa-4.0 notice", gnu.format("Lesser ", 3): "lgpl-3.0 line",
+        gnu.format("Affero ", 3): "agpl-3.0 line", gnu.format("", 3): "gpl-3.0 line", gnu.format("", 2): "gpl-2.0 line", gnu.format("", 1): None,
+        "Copyright 2020 Someone\n\n" + textwrap.fill(mit, 72) + "\n" + prose: "mit text",
+        prose + "\n".join("// " + x for x in textwrap.wrap(gpl, 60)) + "\n" + prose: "gpl-3.0 notice",
+        "We say: Released under the MIT License. And so on, " + prose: "mit line", "Licensed under CC BY-NC 4.0.": "cc-by-nc-4.0 line",
+        mit[: len(mit) // 2]: None, "Licensed under CC BY 3.0.": None, prose: None, (mit + " ") * 300: "mit text", " ".join(mit.split()[::-1]): None,
+    }
+    df = spark.createDataFrame(list(enumerate(wanted)), "doc_id long, text string")
+    got = {r.doc_id: r for r in licences.scan_licences(df).collect()}
+    templates = _template_words()
+    for i, (text, name) in enumerate(wanted.items()):
+        assert got[i].licence == name, (text[:90], got[i])
+        assert len(text) > 20_000 or (got[i].licence, got[i].dice, got[i].line) == _licence(text, templates)
 
 
 def test_substring_dedup(spark):
