@@ -40,6 +40,8 @@ GROUP_SUFFIXES = 20_000
 BATCH_SUFFIXES = 8_000
 #: Seeds in one broadcast set (8 bytes each).
 BROADCAST_SEEDS = 4_000_000
+#: Keys that a window's occurrences are spread over.
+SALTS = 64
 
 _ROOT = np.uint64(0x9FB21C651E98DF25)
 _NODE = np.uint64(0x9E3779B97F4A7C15)
@@ -220,8 +222,8 @@ def _trees(runs: DataFrame, length: int, seed: int, batch_suffixes: int) -> Data
 def _long_prefixes(keyed: DataFrame, common: DataFrame, length: int, seed: int) -> DataFrame:
     """The same ranges for the ``common`` seeds, those with too many suffixes for a task: the
     prefix is the whole window (128 hash bits), so its group is one node, counted with partial
-    sums. The join back is an ordinary one that the engine may split where a window is very
-    common. Texts are scanned once more but not shuffled.
+    sums. Windows are counted and joined back by (window, salt), so the occurrences of a very
+    common one are spread over ``SALTS`` keys. Texts are scanned once more but not shuffled.
 
     Common seeds are broadcast: there are at most (all suffixes / ``group_suffixes``) of them,
     dealt into sets of ``BROADCAST_SEEDS``."""
@@ -232,9 +234,13 @@ def _long_prefixes(keyed: DataFrame, common: DataFrame, length: int, seed: int)
         known = spark.sparkContext.broadcast(np.unique(np.array([r["seed"] for r in part], dtype=np.int64).view(np.uint64)))
         own = keyed.select("key", "check", "text").mapInArrow(tidy(_windows_of(known, length, seed)), "window_a long, window_b long, key long, check long, start int")
         windows = own if windows is None else windows.union(own)
-    windows = materialise(windows, "windows")
-    twice = windows.groupBy("window_a", "window_b").agg(F.count("*").alias("n")).where("n > 1").select("window_a", "window_b")
-    return windows.join(twice, ["window_a", "window_b"]).select("key", "check", "start", (F.col("start") + length).alias("stop"))
+    windows = materialise(windows.withColumn("salt", F.pmod("key", F.lit(SALTS)).cast("int")), "windows")
+    # counted by window and salt, then by window: no task ever holds one window's occurrences
+    parts = materialise(windows.groupBy("window_a", "window_b", "salt").agg(F.count("*").alias("n")), "window-parts")
+    twice = parts.groupBy("window_a", "window_b").agg(F.sum("n").alias("n")).where("n > 1").select("window_a", "window_b")
+    places = parts.join(twice, ["window_a", "window_b"]).select("window_a", "window_b", "salt")
+    kept = windows.join(places, ["window_a", "window_b", "salt"])
+    return kept.select("key", "check", "start", (F.col("start") + length).alias("stop"))
 
 
 def _windows_of(known, length: int, seed: int):
