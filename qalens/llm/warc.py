@@ -30,6 +30,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +46,9 @@ REVISIT_BYTES = 1000
 SHARD_BYTES = 32 << 20
 FILE_BYTES = 8 << 20
 DATE = "2000-01-01T00:00:00Z"
-#: Sampled ids per shard, for the shards' ranges.
-SAMPLE = 32
+#: Sampled ids per shard, for the shards' ranges, and the most shards: beyond, shards grow (their
+#: files do not), so that what the driver holds does not depend on the data's size.
+SAMPLE, MAX_SHARDS = 32, 1 << 14
 _READ = 1 << 20
 _OUT = 4 << 20
 
@@ -82,6 +84,15 @@ def _clean(url: str) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m.group()):02X}", url)
 
 
+def _id_header(page: str) -> str:
+    """An id as a header value: what could end or trim the line is written as %XX."""
+    return re.sub(r"[\x00-\x20\x7f%]", lambda m: f"%{ord(m.group()):02X}", page)
+
+
+def _id(header: str | None) -> str | None:
+    return None if header is None else unquote(header)
+
+
 def page_record(page: str | None, url: str | None, payload: bytes, refers_to: str | None, date: str = DATE) -> bytes:
     """One gzip member: a response, or a revisit of the page ``refers_to``."""
     digest = _digest(payload)
@@ -96,11 +107,11 @@ def page_record(page: str | None, url: str | None, payload: bytes, refers_to: st
         head += [
             ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
             ("WARC-Refers-To", _record_id(refers_to, digest)),
-            ("X-Refers-To-Page", refers_to),
+            ("X-Refers-To-Page", _id_header(refers_to)),
         ]
     head += [("WARC-Payload-Digest", digest), ("WARC-Block-Digest", _digest(block)), ("X-Payload-Length", str(len(payload)))]
     if page is not None:
-        head.append(("X-Page", page))
+        head.append(("X-Page", _id_header(page)))
     head.append(("Content-Type", "application/http; msgtype=response"))
     return _member(head, block)
 
@@ -133,7 +144,7 @@ def _bounds(sized: DataFrame, shard_bytes: int) -> list:
     the same ids on every run. Only the ranges depend on it; every row is written.
     """
     rows, size = sized.agg(F.count("*"), F.coalesce(F.sum("payload_bytes"), F.lit(0))).first()
-    shards = -(-int(size) // shard_bytes)
+    shards = min(-(-int(size) // shard_bytes), MAX_SHARDS)
     if shards <= 1:
         return []
     every = max(1, rows // (SAMPLE * shards))
@@ -314,7 +325,7 @@ def read_warc(spark: SparkSession, path: str, page_type: str = "long", payloads:
                         if payload is not None and (_digest(payload) != h["WARC-Payload-Digest"] or len(payload) != int(h["X-Payload-Length"])):
                             raise OSError(f"{h['WARC-Record-ID']}: its payload does not match its headers")
                         digest = base64.b32decode(h["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
-                        rows.append((h.get("X-Page"), h.get("WARC-Target-URI"), h["WARC-Type"], int(h["X-Payload-Length"]), digest, h.get("X-Refers-To-Page"), payload))
+                        rows.append((_id(h.get("X-Page")), h.get("WARC-Target-URI"), h["WARC-Type"], int(h["X-Payload-Length"]), digest, _id(h.get("X-Refers-To-Page")), payload))
                         held += len(payload or b"") * payloads + 200
                         if held >= _OUT:
                             yield flush(rows)

@@ -380,6 +380,20 @@ def test_warc(spark):
     assert strip(again) == strip(files)
 
 
+def test_warc_ids_of_any_characters(spark, monkeypatch):
+    monkeypatch.setattr(warc, "MAX_SHARDS", 2)
+    ids = ["p\r\nX-Evil: 1", " a ", "100%", "%41", "é漢", "", "\x00\x7f", "plain"]
+    rows = [(i, f"http://x/{n}", "<html>" + ("same" * 400 if n < 2 else str(n))) for n, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "page_id string, url string, html string")
+    path = shared_dir(spark, "warc-test")
+    files = warc.write_warc(df, path, shard_bytes=1000, file_bytes=10).collect()
+    assert {f.shard for f in files} <= {0, 1}
+    got = {r.page_id: r for r in warc.read_warc(spark, path, "string").collect()}
+    assert set(got) == set(ids) and len(got) == len(ids)
+    revisits = {i: got[i].refers_to for i in ids if got[i].record_type == "revisit"}
+    assert revisits == {min(ids[:2]): max(ids[:2])}
+
+
 def test_warc_of_nothing_and_damaged(spark):
     path = shared_dir(spark, "warc-test")
     assert warc.write_warc(pages(spark, []), path).count() == 0 and warc.read_warc(spark, path).count() == 0
