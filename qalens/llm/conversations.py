@@ -520,3 +520,85 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, damaged and repaired."""
     rows = damaged(read_supplied(spark, sf_dir, "conversations"))
     return repair_digests(repair_conversations(rows, present="present")).withColumnRenamed("conversation", "conv_id")
+
+
+def _oracle() -> str:
+    """DuckDB SQL of :func:`op12_conversation_repair`: a recursive walk over each conversation's
+    rows that keeps the least (cost, edits, repaired rows) of every state."""
+
+    def insert(s: str, role: str) -> str:
+        return f"CASE WHEN {s} IS NOT NULL THEN {{'c': {s}.c + {INSERT}, 'a': {s}.a || 'I', 'r': list_append({s}.r, '{role}:')}} END"
+
+    def delete(s: str) -> str:
+        return f"CASE WHEN {s} IS NOT NULL THEN {{'c': {s}.c + {DELETE}, 'a': {s}.a || 'D', 'r': {s}.r}} END"
+
+    def keep(s: str, initial: str) -> str:
+        kept = f"{{'c': {s}.c + {KEEP} + n.extra, 'a': {s}.a || 'K', 'r': list_append({s}.r, n.role || ':' || n.text)}}"
+        return f"CASE WHEN {s} IS NOT NULL AND NOT n.must_go AND n.initial = '{initial}' THEN {kept} END"
+
+    def rerole(s: str, role: str) -> str:
+        new = f"{{'c': {s}.c + {REROLE} + n.extra, 'a': {s}.a || 'R', 'r': list_append({s}.r, '{role}:' || n.text)}}"
+        return f"CASE WHEN {s} IS NOT NULL AND NOT n.must_go THEN {new} END"
+
+    settled = (
+        f"x0, x1, least(x2, {insert('x0', 'user')}, {insert('x1', 'user')}, {insert('x3', 'user')}) AS x2, "
+        f"least(x3, {insert('least(x2, ' + insert('x0', 'user') + ', ' + insert('x1', 'user') + ')', 'assistant')}) AS x3"
+    )
+    step = (
+        f"{delete('x0')}, least({delete('x1')}, {keep('x0', 's')}), "
+        f"least({delete('x2')}, {keep('x0', 'u')}, {keep('x1', 'u')}, {keep('x3', 'u')}, {rerole('x0', 'user')}, {rerole('x1', 'user')}, {rerole('x3', 'user')}), "
+        f"least({delete('x3')}, {keep('x2', 'a')}, {rerole('x2', 'assistant')})"
+    )
+    state = "STRUCT(c BIGINT, a VARCHAR, r VARCHAR[])"
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH RECURSIVE poly(b, k, c) AS (
+  SELECT b::BIGINT, 0, b::BIGINT FROM range(256) r(b)
+  UNION ALL
+  SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM poly WHERE k < 8
+), crc AS (SELECT list(c ORDER BY b) AS steps FROM poly WHERE k = 8),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))), '..'), lambda x: ('0x' || x)::BIGINT)),
+           lambda c, b: xor(c >> 8, crc.steps[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS fault
+  FROM conversations, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM given
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(role || chr(0) || text)) AS i,
+         rtrim(text, {white}) AS core
+  FROM damaged
+), judged AS (
+  SELECT *, substr(role, 1, 1) AS initial, core = '' AS blank,
+         core <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS duplicate FROM placed
+), n AS (
+  SELECT *, blank OR duplicate AS must_go, NOT blank AND NOT duplicate AND right(core, 1) NOT IN ('.', '!', '?') AS truncated,
+         CASE WHEN NOT blank AND NOT duplicate AND right(core, 1) NOT IN ('.', '!', '?') THEN {TRUNCATED} ELSE 0 END AS extra,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM judged
+), walk(conv_id, i, x0, x1, x2, x3) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, {{'c': 0, 'a': '', 'r': []}}::{state}, NULL::{state}, NULL::{state}, NULL::{state} FROM conversations
+  UNION ALL
+  SELECT n.conv_id, n.i, {step}
+  FROM (SELECT conv_id, i, {settled} FROM walk) w JOIN n ON n.conv_id IS NOT DISTINCT FROM w.conv_id AND n.i = w.i + 1
+), ended AS (
+  SELECT conv_id, least(x0, x3) AS x FROM (SELECT conv_id, i, {settled} FROM walk)
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+), stats AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+         count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM n GROUP BY conv_id
+)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, x.c AS cost, x.a AS audit,
+       sha256(array_to_string(x.r, chr(10))) AS repaired_sha256
+FROM ended e LEFT JOIN stats s ON s.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
+OP12_SQL = _oracle()

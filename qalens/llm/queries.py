@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from qalens.llm.bpe import op7_bpe
-from qalens.llm.conversations import op12_conversation_repair
+from qalens.llm.conversations import OP12_SQL, op12_conversation_repair
 from qalens.llm.decontaminate import OP9_SQL, op9_benchmark_decontamination
 from qalens.llm.fill_middle import OP11_SQL, op11_fill_in_middle
 from qalens.llm.licences import op2_licence_scan
@@ -40,5 +40,6 @@ ORACLE_SQL: dict[str, str] = {
     "op9_benchmark_decontamination": OP9_SQL,
     "op10_warc": OP10_SQL,
     "op11_fill_in_middle": OP11_SQL,
+    "op12_conversation_repair": OP12_SQL,
     "op13_histogram_shards": OP13_SQL,
 }
