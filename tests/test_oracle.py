@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from conftest import SF_MID, SF_SMALL
 from oracle_compare import compare, duck
 
-KEYS = sorted({**entry.WORKLOADS, **entry.SITE_WORKLOADS})
+KEYS = sorted({**entry.WORKLOADS, **entry.SITE_WORKLOADS, **entry.TABLE_WORKLOADS})
 
 
 @pytest.fixture(scope="module")
