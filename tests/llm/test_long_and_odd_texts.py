@@ -5,6 +5,7 @@ import random
 import re
 import sys
 import time
+import zlib
 
 import pyarrow.parquet as pq
 import pytest
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from conftest import SF_SMALL  # noqa: E402
-from qalens.llm import near_dedup, quality, surrogates, token_counts  # noqa: E402
+from qalens.llm import near_dedup, quality, surrogates, token_counts, toxicity  # noqa: E402
 
 N = 20_000  # a tenth of this ended the executor
 LONG = {
@@ -146,3 +147,19 @@ def test_megabytes_of_one_character_are_counted(spark):
     for c in ("a", "!", "7"):
         assert got[c] == len(encoding.encode_ordinary(c * 5_000_000))
     assert got["mixed"] > 100
+
+
+def test_a_copy_of_any_example_finds_it(spark):
+    """Toxic rows of words that stand nowhere else: no term tells the classes apart, copies do."""
+    def ids(n, start):
+        return [i for i in range(start, start + 3 * n) if zlib.crc32(str(i).encode()) % 5][:n]
+
+    toxic, clean = ids(60, 0), ids(60, 1000)
+    rows = [(i, f"awful{i} nasty{i} vile{i}", 1) for i in toxic] + [(i, f"fine{i} nice{i} good{i}", 0) for i in clean]
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    copies = [(5000 + i, t.upper()) for i, t, _ in rows] + [(9999, None), (9998, "words of its own"), (9997, "Awful1, " * 100_000)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + copies, "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    for i, _, y in rows:
+        assert got[5000 + i].predicted == y and got[5000 + i].evidence[0] == i
+    assert got[9999].evidence == got[9998].evidence == got[9997].evidence == []
