@@ -1,9 +1,10 @@
 """Command line: convert a CSV dump once, then run (and cross-check) the analyses.
 
-    python -m qalens convert SRC_DIR DST_DIR [--files N] [--null-value NA]
-                                             [--path TABLE=PATH ...]
+    python -m qalens convert SRC_DIR DST_DIR [--files N] [--null-value NA] [--rejects]
+                                             [--no-cluster] [--path TABLE=PATH ...]
     python -m qalens run DATA_DIR [--format parquet|csv.gz|csv] [--out DIR] [--out-format parquet|csv]
                                   [--check] [--time N] [--explain] [--null-value NA] [--show N]
+                                  [--prune]
                                   [--path TABLE=PATH ...]
 """
 
@@ -26,6 +27,10 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--null-value", default=None, help="CSV null marker, e.g. NA for R exports")
     c.add_argument("--path", action="append", default=[], metavar="TABLE=PATH",
                    help="location of one source table when not SRC_DIR/<Table>.<format>")
+    c.add_argument("--rejects", action="store_true",
+                   help="keep the records that lost values beside the table, and count what was lost")
+    c.add_argument("--no-cluster", action="store_true",
+                   help="deal the rows evenly instead of by the columns that analyses filter on")
     r = sub.add_parser("run", help="run the five analyses")
     r.add_argument("data")
     r.add_argument("--format", default="parquet")
@@ -34,6 +39,8 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--check", action="store_true", help="cross-check DataFrame and SQL forms")
     r.add_argument("--explain", action="store_true",
                    help="print each analysis's physical plan instead of running it")
+    r.add_argument("--prune", action="store_true",
+                   help="group only the keys that can be among the first (Q2, Q4, Q5), found by a sketch")
     r.add_argument("--time", type=int, default=0, metavar="N",
                    help="median seconds of N runs per analysis, DataFrame and SQL forms")
     r.add_argument("--null-value", default=None, help="CSV null marker, e.g. NA for R exports")
@@ -45,29 +52,33 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = get_session()
     from qalens.plans.report import cross_check, run_analyses, time_forms, write_analyses
-    from qalens.sources import convert_to_parquet, load_tables
+    from qalens.sources import convert_to_parquet, load_tables, rejected_rows
 
     csv_options = {"nullValue": args.null_value} if args.null_value else None
     paths = dict(item.split("=", 1) for item in args.path)
     if args.cmd == "convert":
         for name, path in convert_to_parquet(
             spark, args.src, args.dst, fmt=args.format, files_per_table=args.files,
-            csv_options=csv_options, paths=paths,
+            csv_options=csv_options, paths=paths, cluster=not args.no_cluster, rejects=args.rejects,
         ).items():
             print(f"{name}\t{path}")
+        if args.rejects:
+            lost = rejected_rows(spark, args.dst).groupBy("table", "column").count().orderBy("table", "column")
+            for row in lost.collect():  # a row for each typed column at most
+                print("\t".join(("rejected", *map(str, row))))
         return 0
     tables = load_tables(spark, args.data, args.format, csv_options=csv_options, paths=paths)
     if args.explain:
         from qalens.plans.inspect import plan_text
 
-        for name, df in run_analyses(tables).items():
+        for name, df in run_analyses(tables, args.prune).items():
             print(f"== {name}\n{plan_text(df)}")
         return 0
     if args.out:
-        for name, path in write_analyses(tables, args.out, args.out_format).items():
+        for name, path in write_analyses(tables, args.out, args.out_format, args.prune).items():
             print(f"{name}\t{path}")
     else:
-        for name, df in run_analyses(tables).items():
+        for name, df in run_analyses(tables, args.prune).items():
             print(f"== {name}")
             print("\t".join(df.columns))
             hidden = 0

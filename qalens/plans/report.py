@@ -28,9 +28,18 @@ ANALYSES: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = {
 }
 
 
-def run_analyses(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Every analysis as a lazy DataFrame."""
-    return {name: fn(tables) for name, fn in ANALYSES.items()}
+#: The same results with only those keys grouped that can be among the first.
+PRUNED: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = {
+    "top_question_owners": lambda t: A.top_question_owners(t["Users"], t["Posts"], prune=True),
+    "top_questions_by_comment_score": lambda t: A.top_questions_by_comment_score(t["Comments"], t["Posts"], t["Users"], prune=True),
+    "top_posts_by_covid_votes": lambda t: A.top_posts_by_covid_votes(t["Posts"], t["Votes"], prune=True),
+}
+
+
+def run_analyses(tables: Mapping[str, DataFrame], prune: bool = False) -> dict[str, DataFrame]:
+    """Every analysis as a lazy DataFrame; with ``prune`` the sketches of those that have one are
+    made at once (:func:`qalens.operators.sketch.prune_for_top_k`)."""
+    return {name: (PRUNED.get(name, fn) if prune else fn)(tables) for name, fn in ANALYSES.items()}
 
 
 def cross_check(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -46,12 +55,12 @@ def cross_check(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFra
     return out
 
 
-def write_analyses(tables: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet") -> dict[str, str]:
+def write_analyses(tables: Mapping[str, DataFrame], out_dir: str, fmt: str = "parquet", prune: bool = False) -> dict[str, str]:
     """Run every analysis and write each result under ``out_dir/<name>``."""
     from qalens.sources.sinks import write_csv, write_parquet
 
     paths = {}
-    for name, df in run_analyses(tables).items():
+    for name, df in run_analyses(tables, prune).items():
         path = f"{out_dir.rstrip('/')}/{name}"
         if fmt == "parquet":
             write_parquet(df, path)

@@ -110,3 +110,23 @@ def test_cli_table_paths(spark, site, capsys):
         args += ["--path", f"{name}={data}/{name.lower()}-export.parquet"]
     assert main(args) == 0
     assert capsys.readouterr().out.count("== Physical Plan ==") == 5
+
+
+def test_cli_convert_with_rejects_and_pruned_run(spark, tmp_path, capsys):
+    src, dst = tmp_path / "src", str(tmp_path / "dst")
+    src.mkdir()
+    (src / "Posts.csv").write_text(
+        "Id,PostTypeId,OwnerUserId,CreationDate,Title,ViewCount,CommentCount\n"
+        '1,1,7,2019-05-01T10:00:00.000,"a, ""b""\nc",10,1\n2,1,8,bad,T,many,0\n3,2,7,2020-01-01,,5,0\n'
+    )
+    (src / "Users.csv").write_text("Id,DisplayName,Reputation,Location\n7,ann,1,\n8,bob,2,x\n")
+    (src / "Comments.csv").write_text("PostId,Score\n1,3\n1,4\n2,1\n3,9\n")
+    (src / "Badges.csv").write_text("Id,Name,Date\n1,A,2019-01-01\n")
+    (src / "Votes.csv").write_text("PostId,VoteTypeId,CreationDate\n1,3,2019-06-01\n1,4,2020-06-01\n2,12,2018-01-01\n")
+    assert main(["convert", str(src), dst, "--format", "csv", "--rejects"]) == 0
+    out = capsys.readouterr().out
+    assert "rejected\tPosts\tCreationDate\t1" in out and "rejected\tPosts\tViewCount\t1" in out
+    assert main(["run", dst]) == 0
+    plain = capsys.readouterr().out
+    assert main(["run", dst, "--prune"]) == 0
+    assert capsys.readouterr().out == plain and "ann" in plain
