@@ -78,8 +78,9 @@ def table_equals_ordered(
     if not problems and shown["left"].columns != shown["right"].columns:
         problems = ["order of columns"]
     if problems:
-        counts = [df.select(F.count("*").alias(f"n_{side}")) for side, df in shown.items()]
-        return counts[0].crossJoin(counts[1]).select(
+        sides = [df.select(F.lit(int(side == "left")).alias("l"), F.lit(int(side == "right")).alias("r")) for side, df in shown.items()]
+        count = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(name)
+        return sides[0].union(sides[1]).agg(count("l", "n_left"), count("r", "n_right")).select(
             F.lit(False).alias("equal"), "n_left", "n_right", F.lit(None).cast("bigint").alias("first_difference"),
             F.lit("; ".join(problems)).alias("differing"),
         )
@@ -105,11 +106,17 @@ def table_equals_ordered(
         for side, df in placed.items()
     }
     # at most one row on each side
-    pair = rows["left"].agg(F.first("left").alias("left")).crossJoin(rows["right"].agg(F.first("right").alias("right")))
+    none = {side: F.lit(None).cast(df.schema[side].dataType).alias(side) for side, df in rows.items()}
+    both = rows["left"].select("left", none["right"]).union(rows["right"].select(none["left"], "right"))
+    pair = both.agg(F.first("left", ignorenulls=True).alias("left"), F.first("right", ignorenulls=True).alias("right"))
     differ = [F.when(~F.col(f"left.`{c}`").eqNullSafe(F.col(f"right.`{c}`")), F.lit(c)) for c in names]
     ended = F.col("left").isNull() | F.col("right").isNull()
     what = pair.select(F.when(ended, "(rows)").otherwise(F.array_join(F.array(*differ), ",")).alias("differing"))
-    return found.crossJoin(what).select(
+    long = F.lit(None).cast("bigint")
+    parts = found.select("n_left", "n_right", "first_difference", F.lit(None).cast("string").alias("differing")).union(
+        what.select(long, long, long, "differing")
+    )
+    return parts.agg(*[F.max(c).alias(c) for c in parts.columns]).select(
         F.col("first_difference").isNull().alias("equal"), "n_left", "n_right", "first_difference",
         F.when(F.col("first_difference").isNotNull(), F.col("differing")).alias("differing"),
     )

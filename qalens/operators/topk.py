@@ -65,7 +65,8 @@ def top_n_per_group(
     last) is at most ``n``, ties included. NULL groups form one group.
 
     No task sorts a whole group: each task first cuts its rows of a group to its own ``n``
-    best (Spark's limit below the shuffle of a row number), these short lists merge into the
+    best (Spark's limit below the shuffle of a row number, for ``n`` up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, 1,000 by default), these short lists merge into the
     group's n-th value, and the table is then filtered by it in parallel. So a period with a
     third of all rows, or a value with a third of a period's, moves n rows a task.
     """
