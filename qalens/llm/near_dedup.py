@@ -11,11 +11,15 @@ Candidates whose signatures agree in fewer than ``LEAST_AGREEING`` places (4 bit
 value are compared) are no links: of pairs at the similarity sought 2 in 10^11 agree so
 little. Of the others each document asks for the best few per order, and every pair asked for
 is confirmed on the full sets. Documents with more candidates than that (dense regions) enter
-further rounds, which look only at neighbours that are not yet in the same component, and leave
-out pairs that were compared before, until a round finds no link. So no group of copies is
-expanded into its pairs. In a dense region of texts that are mostly no links, a document's
-choice can fill up with pairs that are refused, and a link be missed if no other path joins
-its components (README has a measurement).
+further rounds, which look only at neighbours that are not yet in the same component, until a
+round finds no link.
+
+What the rounds leave out is found exactly. A pair that a limit of an order drops (places looked
+ahead, candidates asked for) has both its documents marked as crowded, so the documents still
+crowded after the last round are joined among themselves on their shingles (``join_crowded``):
+each takes the prefix of its set that any partner of the similarity sought must share, shingles
+of one component last in no prefix. There is no limit on candidates there, and pairs within a
+component are not formed, so no group of copies is expanded into its pairs.
 
 Identical word sequences are one class before any of this. Links join classes; connected
 components name each document's group by its smallest id.
@@ -53,6 +57,8 @@ DEEPEST = 4
 LEAST_AGREEING = 44
 #: (places looked ahead, candidates asked for by a document per order): first, later rounds.
 FIRST_ROUND, LATER_ROUNDS = (32, 1), (64, 4)
+#: Holders of one shingle that a task of the exact join compares at a time, on either side.
+BLOCK = 1024
 
 
 def shingle_hashes(chunk: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -262,6 +268,74 @@ def confirm(pairs: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent:
     return both.mapInArrow(tidy(check), "a long, b long").distinct()
 
 
+def shingles(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``(id, component, shingle)``: every distinct shingle of ``texts (id, text, component)``."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in word_chunks(batch.column(1), SPACE_WORDS, LOWER_ASCII):
+                row, value = shingle_hashes(chunk, shingle)
+                at = pa.array(row + chunk.lo)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(at), batch.column(2).take(at), pa.array(value.view(np.int64))], ["id", "component", "shingle"]
+                )
+
+    return texts.select("id", "text", "component").mapInArrow(tidy(rows), "id long, component long, shingle long")
+
+
+def join_crowded(
+    crowded: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent: int = 75, values: int = TREES * STEP, agreeing: int = LEAST_AGREEING
+) -> DataFrame:
+    """Every pair ``(a, b)``, ``a < b``, of ``crowded`` documents in different components that have
+    a similarity of ``percent``: none is left out for the number of its rivals.
+
+    A shingle held by one component only cannot make such a pair. The others are ordered by
+    their holders; a partner shares at least ``ceil(percent * n / 100)`` of a set of n, so one of
+    the first n + 1 less that many, private shingles counted first. Holders of a common shingle
+    are compared in blocks, so a shingle of any frequency is spread over many tasks. What two
+    documents of different components share they share in these shingles, so these count the
+    intersection.
+    """
+    parts = int(crowded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = texts.join(crowded.select(F.col("doc_id").alias("id"), "component"), "id")
+    held = materialise(shingles(held, shingle), "crowded-shingles")
+    apart = F.min("component") < F.max("component")
+    common = held.groupBy("shingle").agg(F.count("*").alias("holders"), apart.alias("apart")).where("apart").drop("apart")
+    own = held.join(common, "shingle").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("holders", "shingle"))).alias("own"))
+    width = -(-values // 32) * 32
+    words = [F.conv(F.hex(F.substring(F.rpad("sketch", width // 2, b"\x00"), 8 * i + 1, 8)), 16, -10).cast("long") for i in range(width // 16)]
+    first = F.size("own") + 1 - F.expr(f"CAST(({percent} * n_shingles + 99) DIV 100 AS INT)")
+    sets = crowded.join(own, crowded["doc_id"] == own["id"]).withColumn("first", first).where("first > 0")
+    sets = materialise(
+        sets.select("id", "component", F.col("n_shingles").alias("n"), F.array(*words).alias("sketch"), "first", F.col("own.shingle").alias("own")), "crowded-sets"
+    )
+    prefix = sets.select("id", "component", "n", "sketch", F.size("own").alias("n_own"), F.posexplode(F.slice("own", 1, F.col("first")))).select(
+        "id", "component", "n", "sketch", (F.col("n_own") - F.col("pos")).alias("left"), F.col("col").alias("shingle")
+    )
+    shared = prefix.groupBy("shingle").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), apart.alias("apart")).where("apart").drop("apart")
+    dealt = prefix.join(shared, "shingle").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = dealt.select("shingle", F.col("block").alias("i"), every.alias("j"), F.struct("id", "component", "n", "sketch", "left").alias("a"))
+    right = dealt.select("shingle", every.alias("i"), F.col("block").alias("j"), F.struct("id", "component", "n", "sketch", "left").alias("b"))
+    # places of 4 bits that differ, 16 to a word
+    differing = " + ".join(
+        f"bit_count((x | shiftrightunsigned(x, 1) | shiftrightunsigned(x, 2) | shiftrightunsigned(x, 3)) & 1229782938247303441L)".replace("x", f"(a.sketch[{i}] ^ b.sketch[{i}])")
+        for i in range(width // 16)
+    )
+    # comparisons, not bytes, are the work: as many tasks as the session has partitions
+    keys = ["shingle", "i", "j"]
+    near = left.repartition(parts, *keys).join(right.repartition(parts, *keys).hint("merge"), keys).where(
+        "a.id < b.id AND a.component <> b.component"
+        f" AND 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)"
+        f" AND {100 + percent} * least(a.left, b.left) >= {percent} * (a.n + b.n)"
+        f" AND {differing} <= {values - agreeing}"
+    )
+    pairs = materialise(near.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct(), "crowded-pairs")
+    one, other = (sets.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("own").alias(f"own_{x}")) for x in ("a", "b"))
+    both = pairs.repartition(parts, "a", "b").join(one, "a").join(other, "b").withColumn("shared", F.size(F.array_intersect("own_a", "own_b")))
+    return both.where(f"100 * shared >= {percent} * (n_a + n_b - shared)").select("a", "b")
+
+
 def near_duplicates(
     documents: DataFrame,
     doc_id: str = "doc_id",
@@ -286,16 +360,25 @@ def near_duplicates(
     texts = materialise(texts, "texts")
     links = materialise(confirm(pairs, texts, shingle, percent), "confirmed")
     groups = connected_components(links)
-    while not crowded.isEmpty():
+
+    def place(crowded: DataFrame) -> DataFrame:
         placed = first.join(crowded, first["doc_id"] == crowded["a"], "left_semi").join(groups, first["doc_id"] == groups["node"], "left")
-        placed = materialise(placed.select("doc_id", "n_shingles", "signature", "sketch", F.coalesce("component", "doc_id").alias("component")), "crowded")
-        more, crowded = forest(placed, *LATER_ROUNDS, trees, percent=percent, agreeing=agreeing)
+        return materialise(placed.select("doc_id", "n_shingles", "signature", "sketch", F.coalesce("component", "doc_id").alias("component")), "crowded")
+
+    while not crowded.isEmpty():
+        more, crowded = forest(place(crowded), *LATER_ROUNDS, trees, percent=percent, agreeing=agreeing)
         more = materialise(more.join(pairs, ["a", "b"], "left_anti"), "more-candidates")
         found = materialise(confirm(more, texts, shingle, percent), "confirmed")
         if found.isEmpty():
             break
         pairs, links = pairs.union(more), links.union(found)
         groups = connected_components(links)
+    if not crowded.isEmpty():  # no further round finds a link: all pairs that are left, without a limit
+        rest = join_crowded(place(crowded), texts, shingle, percent, trees * STEP, agreeing)
+        rest = materialise(rest, "last-candidates")
+        found = materialise(confirm(rest, texts, shingle, percent), "confirmed")
+        if not found.isEmpty():
+            groups = connected_components(links.union(found))
     named = classes.join(groups, F.col("class_id") == F.col("node"), "left").select(
         "text_a", "text_b", F.coalesce("component", "class_id").alias("component")
     )

@@ -167,6 +167,27 @@ def test_near_duplicates_in_a_dense_region(spark):
     assert got == want
 
 
+def test_near_duplicates_beyond_the_limits_of_an_order(spark, monkeypatch):
+    """A family of texts that are mostly no links: the best candidates of an order are refused
+    ones, and the links among the rest must be found all the same."""
+    import random
+
+    monkeypatch.setattr(near_dedup, "FIRST_ROUND", (4, 1))
+    monkeypatch.setattr(near_dedup, "LATER_ROUNDS", (4, 1))
+    monkeypatch.setattr(near_dedup, "BLOCK", 50, raising=False)
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(100)]
+    texts = []
+    for _ in range(300):
+        own = list(base)
+        for _ in range(3):
+            own[rnd.randrange(100)] = f"v{rnd.randrange(10**6)}"
+        texts.append(" ".join(own))
+    want = brute.near_duplicates(list(enumerate(texts)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(frame(spark, texts)).collect()}
+    assert got == want
+
+
 def test_connected_components(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(7, 3), (3, 7), (5, 5), (9, 200), (200, 130), (None, 4)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
