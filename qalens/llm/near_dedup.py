@@ -57,7 +57,7 @@ DEEPEST = 4
 LEAST_AGREEING = 44
 #: (places looked ahead, candidates asked for by a document per order): first, later rounds.
 FIRST_ROUND, LATER_ROUNDS = (32, 1), (64, 4)
-#: Holders of one shingle that a task of the exact join compares at a time, on either side.
+#: Holders of one shingle that the exact join compares with as many others at a time.
 BLOCK = 1024
 
 
@@ -283,8 +283,34 @@ def shingles(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return texts.select("id", "text", "component").mapInArrow(tidy(rows), "id long, component long, shingle long")
 
 
+def _group_starts(rows: pa.RecordBatch) -> np.ndarray:
+    """Where a new (shingle, i, j) begins."""
+    keys = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in range(3)])
+    return np.concatenate(([0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1))
+
+
+def _alike(rows: pa.RecordBatch, starts: np.ndarray, ends: np.ndarray, percent: int, agreeing: int) -> pa.RecordBatch:
+    """Pairs of each group whose components differ and whose sizes, shingles left and sketches
+    allow the similarity."""
+    i, j, block, ids, component, n, left = (rows.column(c).to_numpy() for c in range(1, 8))
+    sketches = np.frombuffer(b"".join(rows.column(8).to_pylist()), dtype=np.uint8).reshape(rows.num_rows, -1)
+    found = [np.empty((0, 2), dtype=np.int64)]
+    for lo, hi in zip(starts.tolist(), ends.tolist()):
+        for at in range(lo, hi, 64):
+            x, y = np.arange(at, min(hi, at + 64))[:, None], np.arange(lo, hi)[None, :]
+            good = (ids[x] < ids[y]) & (component[x] != component[y]) & ((block[x] != block[y]) | (i[lo] == j[lo]))
+            good &= 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
+            good &= (100 + percent) * np.minimum(left[x], left[y]) >= percent * (n[x] + n[y])
+            a, b = np.nonzero(good)
+            a, b = a + at, b + lo
+            near = _agreeing(sketches[a], sketches[b]) >= agreeing
+            found.append(np.stack([ids[a[near]], ids[b[near]]], axis=1))
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
 def join_crowded(
-    crowded: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent: int = 75, values: int = TREES * STEP, agreeing: int = LEAST_AGREEING
+    crowded: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent: int = 75, agreeing: int = LEAST_AGREEING
 ) -> DataFrame:
     """Every pair ``(a, b)``, ``a < b``, of ``crowded`` documents in different components that have
     a similarity of ``percent``: none is left out for the number of its rivals.
@@ -302,35 +328,35 @@ def join_crowded(
     apart = F.min("component") < F.max("component")
     common = held.groupBy("shingle").agg(F.count("*").alias("holders"), apart.alias("apart")).where("apart").drop("apart")
     own = held.join(common, "shingle").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("holders", "shingle"))).alias("own"))
-    width = -(-values // 32) * 32
-    words = [F.conv(F.hex(F.substring(F.rpad("sketch", width // 2, b"\x00"), 8 * i + 1, 8)), 16, -10).cast("long") for i in range(width // 16)]
     first = F.size("own") + 1 - F.expr(f"CAST(({percent} * n_shingles + 99) DIV 100 AS INT)")
     sets = crowded.join(own, crowded["doc_id"] == own["id"]).withColumn("first", first).where("first > 0")
     sets = materialise(
-        sets.select("id", "component", F.col("n_shingles").alias("n"), F.array(*words).alias("sketch"), "first", F.col("own.shingle").alias("own")), "crowded-sets"
+        sets.select("id", "component", F.col("n_shingles").alias("n"), "sketch", "first", F.col("own.shingle").alias("own")), "crowded-sets"
     )
     prefix = sets.select("id", "component", "n", "sketch", F.size("own").alias("n_own"), F.posexplode(F.slice("own", 1, F.col("first")))).select(
         "id", "component", "n", "sketch", (F.col("n_own") - F.col("pos")).alias("left"), F.col("col").alias("shingle")
     )
     shared = prefix.groupBy("shingle").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), apart.alias("apart")).where("apart").drop("apart")
-    dealt = prefix.join(shared, "shingle").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = dealt.select("shingle", F.col("block").alias("i"), every.alias("j"), F.struct("id", "component", "n", "sketch", "left").alias("a"))
-    right = dealt.select("shingle", every.alias("i"), F.col("block").alias("j"), F.struct("id", "component", "n", "sketch", "left").alias("b"))
-    # places of 4 bits that differ, 16 to a word
-    differing = " + ".join(
-        f"bit_count((x | shiftrightunsigned(x, 1) | shiftrightunsigned(x, 2) | shiftrightunsigned(x, 3)) & 1229782938247303441L)".replace("x", f"(a.sketch[{i}] ^ b.sketch[{i}])")
-        for i in range(width // 16)
-    )
-    # comparisons, not bytes, are the work: as many tasks as the session has partitions
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = prefix.join(shared, "shingle").select(*prefix.columns, block.alias("block"), other)
     keys = ["shingle", "i", "j"]
-    near = left.repartition(parts, *keys).join(right.repartition(parts, *keys).hint("merge"), keys).where(
-        "a.id < b.id AND a.component <> b.component"
-        f" AND 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)"
-        f" AND {100 + percent} * least(a.left, b.left) >= {percent} * (a.n + b.n)"
-        f" AND {differing} <= {values - agreeing}"
-    )
-    pairs = materialise(near.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct(), "crowded-pairs")
+    dealt = dealt.select("shingle", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component", "n", "left", "sketch")
+    # comparisons, not bytes, are the work: as many tasks as the session has partitions
+    dealt = dealt.repartition(parts, *keys).sortWithinPartitions(*keys)
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if batch.num_rows:
+                held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+                starts = _group_starts(held)
+                yield _alike(held, starts[:-1], starts[1:], percent, agreeing)
+                held = held.slice(starts[-1])
+        if held is not None:
+            yield _alike(held, np.array([0]), np.array([held.num_rows]), percent, agreeing)
+
+    pairs = materialise(dealt.mapInArrow(tidy(pair), "a long, b long").distinct(), "crowded-pairs")
     one, other = (sets.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("own").alias(f"own_{x}")) for x in ("a", "b"))
     both = pairs.repartition(parts, "a", "b").join(one, "a").join(other, "b").withColumn("shared", F.size(F.array_intersect("own_a", "own_b")))
     return both.where(f"100 * shared >= {percent} * (n_a + n_b - shared)").select("a", "b")
@@ -374,7 +400,7 @@ def near_duplicates(
         pairs, links = pairs.union(more), links.union(found)
         groups = connected_components(links)
     if not crowded.isEmpty():  # no further round finds a link: all pairs that are left, without a limit
-        rest = join_crowded(place(crowded), texts, shingle, percent, trees * STEP, agreeing)
+        rest = join_crowded(place(crowded), texts, shingle, percent, agreeing)
         rest = materialise(rest, "last-candidates")
         found = materialise(confirm(rest, texts, shingle, percent), "confirmed")
         if not found.isEmpty():
