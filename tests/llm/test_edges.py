@@ -188,6 +188,27 @@ def test_near_duplicates_beyond_the_limits_of_an_order(spark, monkeypatch):
     assert got == want
 
 
+def test_crowded_documents_are_joined_exactly(spark, monkeypatch):
+    import random
+
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(near_dedup, "BLOCK", 7)
+    rnd = random.Random(8)
+    texts = []
+    for _ in range(80):
+        own = [f"w{i}" for i in range(60)]
+        for _ in range(rnd.randint(0, 3)):
+            own[rnd.randrange(60)] = f"v{rnd.randrange(10**6)}"
+        texts.append(" ".join(own))
+    docs = frame(spark, texts)
+    crowded = near_dedup.sign(docs).select("doc_id", "n_shingles", "sketch", F.expr("doc_id - doc_id % 3").alias("component"))
+    got = near_dedup.join_crowded(crowded, docs.select(F.col("doc_id").alias("id"), "text")).collect()
+    sets = [brute.shingles(t) for t in texts]
+    want = [(a, b) for b in range(80) for a in range(b) if a // 3 != b // 3 and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    assert sorted((r.a, r.b) for r in got) == sorted(want) and len(want) > 100
+
+
 def test_connected_components(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(7, 3), (3, 7), (5, 5), (9, 200), (200, 130), (None, 4)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
