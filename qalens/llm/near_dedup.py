@@ -17,8 +17,8 @@ round finds no link.
 What the rounds leave out is found exactly. A pair that a limit of an order drops (places looked
 ahead, candidates asked for) has both its documents marked as crowded, so the documents still
 crowded after the last round are joined among themselves on their shingles (``join_crowded``):
-each takes the prefix of its set that any partner of the similarity sought must share, shingles
-of one component last in no prefix. There is no limit on candidates there, and pairs within a
+each takes the prefix of its set, rarest shingles first, in which any partner of the similarity
+sought must share one; shingles that a single component holds are compared with none. There is no limit on candidates there, and pairs within a
 component are not formed, so no group of copies is expanded into its pairs.
 
 Identical word sequences are one class before any of this. Links join classes; connected
