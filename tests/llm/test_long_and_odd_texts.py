@@ -16,6 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from conftest import SF_SMALL  # noqa: E402
 from qalens.llm import near_dedup, quality, surrogates, token_counts, toxicity  # noqa: E402
+from qalens.sources.supplied import read_supplied  # noqa: E402
 
 N = 20_000  # a tenth of this ended the executor
 LONG = {
@@ -149,6 +150,73 @@ def test_megabytes_of_one_character_are_counted(spark):
     assert got["mixed"] > 100
 
 
+def test_a_text_like_an_example_of_rare_words_is_found_over_all_terms(spark):
+    """No term tells the classes apart: half of an example's rare words must find it."""
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5][:240]
+    docs = [(i, f"awful{i} nasty{i} vile{i} mean{i}" if n % 2 else f"fine{i} nice{i} good{i} kind{i}") for n, i in enumerate(ids)]
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, toxic int")
+    like = [(5000 + i, " ".join(t.split()[:2]) + f" other{i}") for i, t in docs]
+    frame = spark.createDataFrame(docs + like, "doc_id long, text string")
+    model = toxicity.fit(frame, labels)
+    assert len(model.vocabulary) == 4 * len(ids) and not model.vocabulary.n_telling
+    got = {r.doc_id: r for r in toxicity.score(frame, model).collect()}
+    for n, i in enumerate(ids):
+        assert got[5000 + i].nearest == [i] and got[5000 + i].predicted == n % 2
+
+
+@pytest.mark.parametrize("common", [1, 16, 10**6])
+def test_search_over_all_terms_equals_brute_force(monkeypatch, common):
+    """Whatever counts as common, in blocks and parts of any size, ties included."""
+    import numpy as np
+
+    monkeypatch.setattr(toxicity, "COMMON", common)
+    monkeypatch.setattr(toxicity, "WIDE_BLOCK", 8)
+    monkeypatch.setattr(toxicity, "QUERIES", 7)
+    monkeypatch.setattr(toxicity, "POSTINGS", 500)
+    rng = np.random.default_rng(3)
+    dense = np.zeros((150, 300))
+    for i in range(140):  # the last ten have no term
+        terms = np.minimum(rng.zipf(1.3, rng.integers(1, 30)), 300) - 1
+        dense[i, terms] = rng.integers(1, 4, len(terms))
+        dense[i] /= np.sqrt(dense[i] @ dense[i])
+    dense[100:105] = dense[:5]
+    row, term = np.nonzero(dense)
+    index = toxicity.WideIndex(300, np.searchsorted(row, np.arange(151)), term, dense[row, term])
+    for without in (None, np.arange(150)):
+        similar = np.round(dense @ dense.T, 12)
+        if without is not None:
+            np.fill_diagonal(similar, 0)
+        got = index.nearest(row, term, dense[row, term], 150, 15, without)
+        for s, near in zip(similar, got):
+            want = sorted(((x, j) for j, x in enumerate(s) if x > 0), key=lambda x: (-x[0], x[1]))[:15]
+            assert [j for _, j in near] == [j for _, j in want] and np.allclose([x for x, _ in near], [x for x, _ in want])
+
+
+def test_toxicity_neighbours_equal_brute_force(spark):
+    """``nearest`` of the query itself: TF-IDF over all terms of the examples, every document."""
+    from collections import Counter
+    from math import log, sqrt
+
+    documents, labels = read_supplied(spark, SF_SMALL, "documents"), read_supplied(spark, SF_SMALL, "labels")
+    words = {r.doc_id: Counter(re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r.text or "").encode().lower())) for r in documents.collect()}
+    known = {r.doc_id for r in labels.where("toxic IS NOT NULL").collect()}
+    examples = sorted(i for i in known & set(words) if zlib.crc32(str(i).encode()) % 5)
+    df = Counter(w for c in words.values() for w in c)
+    terms = {w for i in examples for w in words[i]}
+
+    def vector(counts):
+        own = {w: (1 + log(n)) * (log((1 + len(words)) / (1 + df[w])) + 1) for w, n in counts.items() if w in terms}
+        length = sqrt(sum(x * x for x in own.values()))
+        return {w: x / length for w, x in own.items()}
+
+    vectors = {i: vector(words[i]) for i in examples}
+    got = {r.doc_id: r for r in toxicity.score(documents, toxicity.fit(documents, labels)).collect()}
+    for i, counts in words.items():
+        own = vector(counts)
+        similar = sorted(((-round(sum(x * v.get(w, 0) for w, x in own.items()), 9), j) for j, v in vectors.items()))[:5]
+        assert got[i].nearest == [j for s, j in similar if s < 0]
+
+
 def test_a_copy_of_any_example_finds_it(spark):
     """Toxic rows of words that stand nowhere else: no term tells the classes apart, copies do."""
     def ids(n, start):
