@@ -8,24 +8,24 @@ shared value is enough between adjacent documents, more the further apart two st
 (``DEEPEST`` at most), so where nobody else is near, a short prefix does.
 
 Candidates whose signatures agree in fewer than ``LEAST_AGREEING`` places (4 bits of each
-value are compared) are no links: of pairs at the similarity sought 2 in 10^11 agree so
-little. Of the others each document asks for the best few per order, and every pair asked for
-is confirmed on the full sets. Documents with more candidates than that (dense regions) enter
-further rounds, which look only at neighbours that are not yet in the same component, until a
-round finds no link.
-
-What the rounds leave out is found exactly. A pair that a limit of an order drops (places looked
-ahead, candidates asked for) has both its documents marked as crowded, so the documents still
-crowded after the last round are joined among themselves on their shingles (``join_crowded``):
-each takes the prefix of its set, rarest shingles first, in which any partner of the similarity
-sought must share one; shingles that a single component holds are compared with none. There is no limit on candidates there, and pairs within a
-component are not formed, so no group of copies is expanded into its pairs.
+value are compared) are put aside. Of the others each document asks for the best few per order,
+and every pair asked for is confirmed on the full sets. Documents with more candidates than that
+(dense regions) enter further rounds, which look only at neighbours that are not yet in the same
+component, until a round finds no link.
+
+None of this decides what is found, only how soon. Before the forest, shingles are counted
+(``shared_counts``): a text that shares too few of them with other texts to have a partner
+is left out of all that follows, and of the others none is. After the last round all of these
+are joined among themselves on their shingles (``join_crowded``): each takes the prefix of its
+set, rarest shingles first, in which any partner of the similarity sought must share one;
+shingles that a single component holds are compared with none. There is no limit on candidates
+there, and no sketch is asked, so a pair that an order, its depth, its limits or
+``LEAST_AGREEING`` put aside is found all the same. Pairs within a component are not formed, so
+no group of copies is expanded into its pairs.
 
 Identical word sequences are one class before any of this. Links join classes; connected
-components name each document's group by its smallest id.
-
-A pair of similarity 0.75 shares the prefix needed with probability 0.75^d per tree (d the
-depth its region asks for); over 24 trees a miss at d = 2 has probability 3e-9, at d = 4 1e-4.
+components name each document's group by its smallest id. Only hashes stand for equality:
+64 bits a shingle and, in the count, a text; 128 bits a class.
 
 Defined results: a null or blank text has the empty set and is linked with nothing; fewer
 words than a shingle are one shingle; a row without an id is returned with a null component
@@ -57,6 +57,8 @@ DEEPEST = 4
 LEAST_AGREEING = 44
 #: (places looked ahead, candidates asked for by a document per order): first, later rounds.
 FIRST_ROUND, LATER_ROUNDS = (32, 1), (64, 4)
+#: Shingles that are counted at a time: of a task's texts, of a range of hashes.
+AT_ONCE, RANGE = 1 << 18, 1 << 19
 #: Holders of one shingle that the exact join compares with as many others at a time.
 BLOCK = 1024
 
@@ -283,17 +285,127 @@ def shingles(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return texts.select("id", "text", "component").mapInArrow(tidy(rows), "id long, component long, shingle long")
 
 
+def missing(n, percent: int):
+    """The most shingles of a set of ``n`` that a partner can lack."""
+    return n - (percent * n + 99) // 100
+
+
+def _binaries(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The bytes of ``values``, so many values to a row."""
+    ends = np.concatenate(([0], np.cumsum(counts) * values.itemsize)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _counted(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], ["text_a", "shared"])
+
+
+def _deal(value: np.ndarray, key: np.ndarray, ranges: int) -> Iterator[pa.RecordBatch]:
+    """Shingles and the texts that hold them as one row per range of hashes. Of more than two
+    holders here, two are sent on; the others are known to share the shingle, and are counted
+    (in a row of a negative range), so a common shingle is never sent with all its holders."""
+    spread = mix(value)
+    low = np.uint64(32)
+    place = ((spread >> low) * np.uint64(ranges) >> low) << low | spread & np.uint64(0xFFFFFFFF)
+    order = np.lexsort((key, place))
+    value, key, place = value[order], key[order], place[order]
+    again = np.zeros(len(place), dtype=bool)
+    again[1:] = (place[1:] == place[:-1]) & (key[1:] == key[:-1])
+    clash = again.copy()  # two shingles of a text that the place does not tell apart count as shared
+    clash[1:] &= value[1:] != value[:-1]
+    known, key, place = [key[clash]], key[~again], place[~again]
+    inner = np.zeros(len(place), dtype=bool)
+    inner[1:-1] = place[2:] == place[:-2]
+    known, times = np.unique(np.concatenate((*known, key[inner])), return_counts=True)
+    key, place = key[~inner], place[~inner]
+    at = (place >> low).astype(np.int64)
+    starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    counts = np.diff(np.append(starts, len(at)))
+    names = ["range", "tags", "texts"]
+    tags = place.astype(np.uint32)
+    yield pa.RecordBatch.from_arrays([pa.array(at[starts]), _binaries(tags, counts), _binaries(key, counts)], names)
+    if len(known):
+        one = np.array([len(known)])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([-1 - int(known[0] >> np.uint64(48))]), _binaries(times.astype(np.uint32), one), _binaries(known, one)], names
+        )
+
+
+def _shared(tag: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+    """How many shingles of a range each text shares with another text."""
+    order = np.argsort(tag, kind="stable")
+    tag, key = tag[order], key[order]
+    starts = np.flatnonzero(np.concatenate(([True], tag[1:] != tag[:-1])))
+    apart = np.minimum.reduceat(key, starts) < np.maximum.reduceat(key, starts)
+    held = np.repeat(apart, np.diff(np.append(starts, len(tag))))
+    tag, key = tag[held], key[held]
+    order = np.lexsort((tag, key))
+    tag, key = tag[order], key[order]
+    new = np.ones(len(tag), dtype=bool)
+    new[1:] = (tag[1:] != tag[:-1]) | (key[1:] != key[:-1])
+    return _counted(*np.unique(key[new], return_counts=True))
+
+
+def shared_counts(texts: DataFrame, total: int, shingle: int = SHINGLE, percent: int = 75) -> DataFrame:
+    """``(text_a, shared)``: how many of a text's first ``2 m + 1`` shingles are among the first
+    shingles of another text, too; ``m`` is ``missing``, first are those of the least hashes.
+    ``total`` (all shingles) says into how many ranges of hashes they are dealt.
+
+    Two sets of the similarity sought share all but ``m + 1`` of these, and at least one, so a
+    text that shares fewer has no partner. The count may be too large, never too small. Whole copies
+    of a text count as one.
+    """
+    ranges = total // RANGE + 1
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for chunk in word_chunks(batch.column(0), SPACE_WORDS, LOWER_ASCII):
+                row, value = shingle_hashes(chunk, shingle)
+                n = np.bincount(row, minlength=chunk.hi - chunk.lo)
+                rank = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                first = rank < (2 * missing(n, percent) + 1)[row]
+                text = window_hashes(chunk.hashes(), chunk.first[:-1], chunk.counts)
+                held.append((value[first], text[row[first]]))
+                size += int(first.sum())
+                if size >= AT_ONCE:
+                    yield from _deal(*(np.concatenate(x) for x in zip(*held)), ranges)
+                    held, size = [], 0
+        if size:
+            yield from _deal(*(np.concatenate(x) for x in zip(*held)), ranges)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for i, at in enumerate(batch.column(0).to_pylist()):
+                tags, keys = (np.frombuffer(batch.column(c)[i].as_buffer(), dtype=t) for c, t in ((1, np.uint32), (2, np.uint64)))
+                if at < 0:
+                    yield _counted(keys, tags)
+                    continue
+                if at != now and held:
+                    yield _shared(*(np.concatenate(x) for x in zip(*held)))
+                    held = []
+                now = at
+                held.append((tags, keys))
+        if held:
+            yield _shared(*(np.concatenate(x) for x in zip(*held)))
+
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = texts.select("text").mapInArrow(tidy(deal), "range long, tags binary, texts binary")
+    counts = dealt.repartition(parts, "range").sortWithinPartitions("range").mapInArrow(tidy(count), "text_a long, shared long")
+    return counts.groupBy("text_a").agg(F.sum("shared").alias("shared"))
+
+
 def _group_starts(rows: pa.RecordBatch) -> np.ndarray:
     """Where a new (shingle, i, j) begins."""
     keys = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in range(3)])
     return np.concatenate(([0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1))
 
 
-def _alike(rows: pa.RecordBatch, starts: np.ndarray, ends: np.ndarray, percent: int, agreeing: int) -> pa.RecordBatch:
-    """Pairs of each group whose components differ and whose sizes, shingles left and sketches
-    allow the similarity."""
+def _alike(rows: pa.RecordBatch, starts: np.ndarray, ends: np.ndarray, percent: int) -> pa.RecordBatch:
+    """Pairs of each group whose components differ and whose sizes and shingles left allow the
+    similarity."""
     i, j, block, ids, component, n, left = (rows.column(c).to_numpy() for c in range(1, 8))
-    sketches = np.frombuffer(b"".join(rows.column(8).to_pylist()), dtype=np.uint8).reshape(rows.num_rows, -1)
     found = [np.empty((0, 2), dtype=np.int64)]
     for lo, hi in zip(starts.tolist(), ends.tolist()):
         for at in range(lo, hi, 64):
@@ -302,18 +414,14 @@ def _alike(rows: pa.RecordBatch, starts: np.ndarray, ends: np.ndarray, percent:
             good &= 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
             good &= (100 + percent) * np.minimum(left[x], left[y]) >= percent * (n[x] + n[y])
             a, b = np.nonzero(good)
-            a, b = a + at, b + lo
-            near = _agreeing(sketches[a], sketches[b]) >= agreeing
-            found.append(np.stack([ids[a[near]], ids[b[near]]], axis=1))
+            found.append(np.stack([ids[a + at], ids[b + lo]], axis=1))
     pairs = np.unique(np.concatenate(found), axis=0)
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
-def join_crowded(
-    crowded: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent: int = 75, agreeing: int = LEAST_AGREEING
-) -> DataFrame:
+def join_crowded(crowded: DataFrame, texts: DataFrame, shingle: int = SHINGLE, percent: int = 75) -> DataFrame:
     """Every pair ``(a, b)``, ``a < b``, of ``crowded`` documents in different components that have
-    a similarity of ``percent``: none is left out for the number of its rivals.
+    a similarity of ``percent``: none is left out for the number of its rivals or its sketch.
 
     A shingle held by one component only cannot make such a pair. The others are ordered by
     their holders; a partner shares at least ``ceil(percent * n / 100)`` of a set of n, so one of
@@ -331,17 +439,17 @@ def join_crowded(
     first = F.size("own") + 1 - F.expr(f"CAST(({percent} * n_shingles + 99) DIV 100 AS INT)")
     sets = crowded.join(own, crowded["doc_id"] == own["id"]).withColumn("first", first).where("first > 0")
     sets = materialise(
-        sets.select("id", "component", F.col("n_shingles").alias("n"), "sketch", "first", F.col("own.shingle").alias("own")), "crowded-sets"
+        sets.select("id", "component", F.col("n_shingles").alias("n"), "first", F.col("own.shingle").alias("own")), "crowded-sets"
     )
-    prefix = sets.select("id", "component", "n", "sketch", F.size("own").alias("n_own"), F.posexplode(F.slice("own", 1, F.col("first")))).select(
-        "id", "component", "n", "sketch", (F.col("n_own") - F.col("pos")).alias("left"), F.col("col").alias("shingle")
+    prefix = sets.select("id", "component", "n", F.size("own").alias("n_own"), F.posexplode(F.slice("own", 1, F.col("first")))).select(
+        "id", "component", "n", (F.col("n_own") - F.col("pos")).alias("left"), F.col("col").alias("shingle")
     )
     shared = prefix.groupBy("shingle").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), apart.alias("apart")).where("apart").drop("apart")
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     dealt = prefix.join(shared, "shingle").select(*prefix.columns, block.alias("block"), other)
     keys = ["shingle", "i", "j"]
-    dealt = dealt.select("shingle", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component", "n", "left", "sketch")
+    dealt = dealt.select("shingle", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component", "n", "left")
     # comparisons, not bytes, are the work: as many tasks as the session has partitions
     dealt = dealt.repartition(parts, *keys).sortWithinPartitions(*keys)
 
@@ -351,10 +459,10 @@ def join_crowded(
             if batch.num_rows:
                 held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
                 starts = _group_starts(held)
-                yield _alike(held, starts[:-1], starts[1:], percent, agreeing)
+                yield _alike(held, starts[:-1], starts[1:], percent)
                 held = held.slice(starts[-1])
         if held is not None:
-            yield _alike(held, np.array([0]), np.array([held.num_rows]), percent, agreeing)
+            yield _alike(held, np.array([0]), np.array([held.num_rows]), percent)
 
     pairs = materialise(dealt.mapInArrow(tidy(pair), "a long, b long").distinct(), "crowded-pairs")
     one, other = (sets.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("own").alias(f"own_{x}")) for x in ("a", "b"))
@@ -372,43 +480,51 @@ def near_duplicates(
     agreeing: int = LEAST_AGREEING,
 ) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id``, ``kept``."""
-    signed = materialise(sign(documents, doc_id, text, shingle, trees * STEP), "signatures")
-    linkable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = materialise(linkable.groupBy("text_a", "text_b").agg(F.min("doc_id").alias("class_id")), "classes")
-    first = materialise(
-        linkable.join(classes, ["text_a", "text_b"]).where("doc_id = class_id").select("doc_id", "n_shingles", "signature", "sketch"), "representatives"
-    )
+    sizes = materialise(sign(documents, doc_id, text, shingle, 0).select("doc_id", "n_shingles", "text_a", "text_b"), "sizes")
+    linkable = sizes.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    classes = linkable.groupBy("text_a", "text_b").agg(F.min("doc_id").alias("class_id"), F.max("n_shingles").alias("n_shingles"))
+    classes = materialise(classes, "classes")
+    given = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text IS NOT NULL")
+    # the texts that share enough with others to have a partner; only these go on
+    total = sizes.agg(F.sum("n_shingles")).first()[0] or 0
+    counts = shared_counts(given, total, shingle, percent)
+    lacking = classes.withColumn("m", F.expr(f"n_shingles - ({percent} * n_shingles + 99) DIV 100"))
+    likely = lacking.join(counts, "text_a").where("shared >= greatest(1, least(n_shingles, 2 * m + 1) - m - 1)").drop("m")
+    likely = materialise(likely, "likely")
+    # their texts are shuffled once, for all rounds. The ids grow with the input: they are dealt
+    # like the texts at every size, never broadcast
+    wanted = likely.select(F.col("class_id").alias("id")).distinct()
+    texts = materialise(given.join(wanted.hint("merge"), "id", "left_semi").dropDuplicates(["id", "text"]), "texts")
+    signed = sign(texts, "id", "text", shingle, trees * STEP)
+    own = likely.select(F.col("class_id").alias("doc_id"), "text_a", "text_b")
+    first = signed.join(own, ["doc_id", "text_a", "text_b"], "left_semi").select("doc_id", "n_shingles", "signature", "sketch")
+    first = materialise(first, "representatives")
     pairs, crowded = forest(first.withColumn("component", F.col("doc_id")), *FIRST_ROUND, trees, percent=percent, agreeing=agreeing)
-    # texts are shuffled once, for all rounds: those of documents that are in a pair or may be.
-    # The ids grow with the input: they are dealt like the texts at every size, never broadcast
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(crowded.select(F.col("a").alias("id"))).distinct()
-    texts = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text IS NOT NULL").join(wanted.hint("merge"), "id", "left_semi")
-    texts = materialise(texts, "texts")
     links = materialise(confirm(pairs, texts, shingle, percent), "confirmed")
     groups = connected_components(links)
 
-    def place(crowded: DataFrame) -> DataFrame:
-        placed = first.join(crowded, first["doc_id"] == crowded["a"], "left_semi").join(groups, first["doc_id"] == groups["node"], "left")
-        return materialise(placed.select("doc_id", "n_shingles", "signature", "sketch", F.coalesce("component", "doc_id").alias("component")), "crowded")
+    def place(rows: DataFrame) -> DataFrame:
+        placed = rows.join(groups, rows["doc_id"] == groups["node"], "left")
+        return placed.select("doc_id", "n_shingles", "signature", "sketch", F.coalesce("component", "doc_id").alias("component"))
 
     while not crowded.isEmpty():
-        more, crowded = forest(place(crowded), *LATER_ROUNDS, trees, percent=percent, agreeing=agreeing)
+        among = materialise(place(first.join(crowded, first["doc_id"] == crowded["a"], "left_semi")), "crowded")
+        more, crowded = forest(among, *LATER_ROUNDS, trees, percent=percent, agreeing=agreeing)
         more = materialise(more.join(pairs, ["a", "b"], "left_anti"), "more-candidates")
         found = materialise(confirm(more, texts, shingle, percent), "confirmed")
         if found.isEmpty():
             break
         pairs, links = pairs.union(more), links.union(found)
         groups = connected_components(links)
-    if not crowded.isEmpty():  # no further round finds a link: all pairs that are left, without a limit
-        rest = join_crowded(place(crowded), texts, shingle, percent, agreeing)
-        rest = materialise(rest, "last-candidates")
-        found = materialise(confirm(rest, texts, shingle, percent), "confirmed")
-        if not found.isEmpty():
-            groups = connected_components(links.union(found))
+    # whatever the orders, their limits and the rounds left out: all pairs, without a limit
+    rest = materialise(join_crowded(materialise(place(first), "placed"), texts, shingle, percent), "last-candidates")
+    found = materialise(confirm(rest, texts, shingle, percent), "confirmed")
+    if not found.isEmpty():
+        groups = connected_components(links.union(found))
     named = classes.join(groups, F.col("class_id") == F.col("node"), "left").select(
         "text_a", "text_b", F.coalesce("component", "class_id").alias("component")
     )
-    sized = signed.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("text_a")).alias("text_a"), "text_b")
+    sized = sizes.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("text_a")).alias("text_a"), "text_b")
     return sized.join(named, ["text_a", "text_b"], "left").select(
         "doc_id",
         "n_shingles",

@@ -209,6 +209,57 @@ def test_crowded_documents_are_joined_exactly(spark, monkeypatch):
     assert sorted((r.a, r.b) for r in got) == sorted(want) and len(want) > 100
 
 
+def test_pairs_that_no_order_proposes_are_linked_all_the_same(spark):
+    """Sketches of 96 places cannot agree in 97: the forest proposes nothing at all."""
+    import random
+
+    rnd = random.Random(12)
+    texts = ["", "a b", "A  b", "a b c", None]
+    for n in (3, 4, 8, 9, 20, 61, 61, 130):
+        base = [f"w{n}-{rnd.randrange(10**6)}" for _ in range(n)]
+        for cut in range(4):
+            own = base[: n - cut] + [f"v{rnd.randrange(10**6)}" for _ in range(rnd.randrange(3))]
+            texts.append(" ".join(own))
+    want = brute.near_duplicates(list(enumerate(texts)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(frame(spark, texts), agreeing=97).collect()}
+    assert got == want and sum(i != c for i, (_, c) in want.items() if c is not None) > 10
+
+
+def test_counts_of_shared_shingles(spark, monkeypatch):
+    """Every text's count is that of a plain loop, whatever the ranges and what a task deals at a
+    time; and no text that has a partner shares too few."""
+    import random
+
+    monkeypatch.setattr(near_dedup, "RANGE", 200)
+    rnd = random.Random(4)
+    common = [" ".join(f"{x}{i}" for i in range(9)) for x in "pqr"]
+    texts = []
+    for i in range(60):
+        own = [f"w{i // 3}-{j}" for j in range((3, 12, 60)[i // 3 % 3])]
+        if i % 3:
+            own[rnd.randrange(len(own))] = f"v{i}"
+        texts.append(" ".join([*common[: i // 3 % 2], *own, common[rnd.randrange(3)]]))
+    docs = frame(spark, texts).repartition(2)
+    names = {r.text_a: r.doc_id for r in near_dedup.sign(docs, values=0).collect()}
+    (chunk,) = near_dedup.word_chunks(near_dedup.pa.array(texts), near_dedup.SPACE_WORDS, near_dedup.LOWER_ASCII)
+    row, value = near_dedup.shingle_hashes(chunk)
+    sets = [value[row == i].tolist() for i in range(len(texts))]
+    firsts = [set(s[: 2 * near_dedup.missing(len(s), 75) + 1]) for s in sets]
+    want = {i: sum(any(x in firsts[j] for j in range(60) if j != i) for x in firsts[i]) for i in range(60)}
+    for at_once in (40, 1 << 18):
+        monkeypatch.setattr(near_dedup, "AT_ONCE", at_once)
+        counts = near_dedup.shared_counts(docs.select("text"), sum(map(len, sets))).collect()
+        assert {names[r.text_a]: r.shared for r in counts} == {i: n for i, n in want.items() if n}
+    partners = 0
+    for a in range(60):
+        for b in range(a):
+            x, y = set(sets[a]), set(sets[b])
+            if 100 * len(x & y) >= 75 * len(x | y):
+                partners += 1
+                assert all(want[i] >= max(1, near_dedup.missing(len(sets[i]), 75)) for i in (a, b))
+    assert partners > 5
+
+
 def test_connected_components(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(7, 3), (3, 7), (5, 5), (9, 200), (200, 130), (None, 4)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
